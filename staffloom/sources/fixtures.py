@@ -204,6 +204,29 @@ class Fixtures:
             F.when((k % 8 != 0) | (F.col("v") != 0), sent).alias("updated_at"),
         )
 
+    def changes(self) -> DataFrame:
+        """Purchases as salary changes, several per employee, some to unknown ones."""
+        return (
+            self.table("events")
+            .filter(F.col("event_type") == "purchase")
+            .select(
+                (F.col("user_id") * 3 - 20).alias("employee_id"),
+                F.col("value").cast("decimal(10,2)").alias("new_salary"),
+                F.col("event_id").alias("change_seq"),
+            )
+        )
+
+    def hires(self) -> DataFrame:
+        """Customers as new hires."""
+        return self.table("customer").select(
+            F.concat(F.lit("H"), (F.col("c_custkey") % 89).cast("string")).alias("first_name"),
+            F.col("c_name").alias("last_name"),
+            F.concat(F.lit("h"), F.col("c_custkey").cast("string"), F.lit("@example.com"))
+            .alias("email"),
+            F.abs("c_acctbal").cast("decimal(10,2)").alias("salary"),
+            F.col("c_nationkey").cast("bigint").alias("department_id"),
+        )
+
 
 def _first(*branches: tuple[Column, Column]) -> Column:
     return F.coalesce(*[F.when(test, value) for test, value in branches])
