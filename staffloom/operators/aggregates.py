@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from staffloom import fixedvalues as V
 from staffloom.functions import rules
 from staffloom.functions.dates import days_before
+from staffloom.operators.hotkeys import HOT_ROWS
+from staffloom.operators.numbering import rank_in_groups
+from staffloom.sources.workspace import Workspace
 
 
 def count_if(test: Column) -> Column:
@@ -76,15 +79,33 @@ def department_measures(facts: DataFrame) -> DataFrame:
     )
 
 
-def rank_departments(measures: DataFrame) -> DataFrame:
-    """Three ranks over all departments. The input holds one row per department."""
-    by_salary = Window.orderBy(F.col("avg_salary").desc())
-    by_rejects = Window.orderBy(F.col("total_rejects").desc())
-    by_activity = Window.orderBy(F.col("active_ratio_pct").asc())
-    return measures.withColumns(
-        {
-            "rank_by_avg_salary": F.dense_rank().over(by_salary),
-            "rank_by_data_rejects": F.dense_rank().over(by_rejects),
-            "rank_by_low_activity": F.dense_rank().over(by_activity),
-        }
-    )
+def rank_departments(
+    measures: DataFrame, ws: Workspace, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Three ranks over all departments.
+
+    The measures, one row per department, are settled to be counted; up to
+    `hot_rows` departments are ranked in one task, more by ranges.
+    """
+    measures = ws.settle(measures, "department-measures")
+    falling = {
+        "rank_by_avg_salary": F.col("avg_salary"),
+        "rank_by_data_rejects": F.col("total_rejects"),
+        "rank_by_low_activity": -F.col("active_ratio_pct"),
+    }
+    if measures.count() <= hot_rows:
+        return measures.withColumns(
+            {
+                name: F.dense_rank().over(Window.orderBy(value.desc()))
+                for name, value in falling.items()
+            }
+        )
+    ranked = measures
+    for name, value in falling.items():
+        keyed = ranked.withColumns({"_all": F.lit(0), "_value": value})
+        ranked = (
+            rank_in_groups(keyed, "_all", "_value", "department_id", ws)
+            .withColumnRenamed("value_rank", name)
+            .drop("_all", "_value", "value_tile")
+        )
+    return ranked

@@ -7,12 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from staffloom.sources.workspace import planned_bytes
+
+# An input up to this size fits one task whole, hot keys and all.
+ONE_TASK_BYTES = 64 * 1024 * 1024
 # A key below this many rows is left to one task.
 HOT_ROWS = 2_000_000
 # A key holding more than 1/HOT_KEYS of the rows is among the HOT_KEYS most
 # frequent, so a list of this length misses none of them.
 HOT_KEYS = 1_000
 SKETCH_ITEMS = 65_536
+PARTS_PER_PARTITION = 4
 
 
 def key_hash(*keys: Column) -> Column:
@@ -28,6 +33,8 @@ def hot_hashes(df: DataFrame, keys: Sequence[Column], hot_rows: int = HOT_ROWS)
     The list steers where rows go, never what the result is, so a key the
     sketch estimates badly costs time and nothing else.
     """
+    if hot_rows >= HOT_ROWS and planned_bytes(df) <= ONE_TASK_BYTES:
+        return []
     top = df.select(key_hash(*keys).alias("h")).agg(
         F.expr(f"approx_top_k(h, {HOT_KEYS}, {SKETCH_ITEMS})").alias("top")
     )
@@ -38,8 +45,12 @@ def hot_hashes(df: DataFrame, keys: Sequence[Column], hot_rows: int = HOT_ROWS)
 
 
 def splits(df: DataFrame) -> int:
-    """Into how many parts a hot key is spread: one per shuffle partition."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Into how many parts a hot key is spread.
+
+    Several per shuffle partition, since parts land in partitions by hash and a few
+    large ones would land unevenly.
+    """
+    return PARTS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def is_hot(hashes: Sequence[int], *keys: Column) -> Column:

@@ -19,6 +19,7 @@ def lookup(
     keys: Sequence[str],
     spread_by: str,
     hot_rows: int = HOT_ROWS,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Left join on `keys`, which `table` holds at most once; NULL keys never match.
 
@@ -26,12 +27,15 @@ def lookup(
     they are. Beyond the limit both sides shuffle, and keys holding many rows, as
     well as rows with a NULL key, are spread over all partitions by `spread_by`:
     a hot key's one table row is repeated per part, a NULL key needs no partner.
+    Hot keys are looked for in `keys_from`, a cheaper frame in which the keys occur
+    as they do in `rows`, where there is one.
     """
     if is_broadcastable(table):
         return rows.join(table, list(keys), "left")
     key_columns = [F.col(k) for k in keys]
     unmatched = reduce(operator.or_, [k.isNull() for k in key_columns])
-    hashes = hot_hashes(rows.filter(~unmatched), key_columns, hot_rows)
+    counted = rows if keys_from is None else keys_from
+    hashes = hot_hashes(counted.filter(~unmatched), key_columns, hot_rows)
     n = splits(rows)
     part = F.pmod(F.xxhash64(spread_by), F.lit(n)).cast("int")
     left = rows.withColumn(

@@ -49,7 +49,7 @@ def employee_facts(
     )
     joined = base.join(newest, "employee_id", "left")
     joined = lookup(
-        joined, sources, ["source_system", "source_employee_id"], "employee_id", hot_rows
+        joined, sources, ["source_system", "source_employee_id"], "employee_id", hot_rows, enriched
     )
     return joined.select(
         "employee_id",
@@ -64,7 +64,9 @@ def employee_facts(
     )
 
 
-def score_departments(measures: DataFrame) -> DataFrame:
+def score_departments(
+    measures: DataFrame, ws: Workspace, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Ranks, risk score, risk band and recommended action per department."""
     score = rules.risk_score(
         F.col("total_rejects"),
@@ -72,7 +74,7 @@ def score_departments(measures: DataFrame) -> DataFrame:
         F.col("early_tenure_pct"),
         F.col("salary_stddev"),
     )
-    ranked = rank_departments(measures).withColumn("risk_score_raw", score)
+    ranked = rank_departments(measures, ws, hot_rows).withColumn("risk_score_raw", score)
     return ranked.withColumns(
         {
             "risk_band": rules.risk_band(F.col("risk_score_raw")),
@@ -115,19 +117,18 @@ def department_dashboard(
         "location",
         rules.dashboard_region(F.col("location")).alias("geo_cluster"),
     )
-    measures = department_measures(facts).join(places, "department_id", "left")
-    measures = measures.withColumns(
+    scored = score_departments(department_measures(facts), ws, hot_rows).filter(
+        (F.col("total_employees") >= min_employees)
+        & (F.col("active_ratio_pct") >= min_active_ratio_pct)
+        & F.col("risk_band").isin(*[band for _, band in V.RISK_BANDS])
+    )
+    named = scored.join(places, "department_id", "left").withColumns(
         {
             "department_name": F.coalesce("department_name", F.lit("Unknown")),
             "location": F.coalesce("location", F.lit("N/A")),
             "geo_cluster": F.coalesce("geo_cluster", F.lit(V.DASHBOARD_REGION_UNKNOWN)),
         }
     )
-    scored = score_departments(measures).filter(
-        (F.col("total_employees") >= min_employees)
-        & (F.col("active_ratio_pct") >= min_active_ratio_pct)
-        & F.col("risk_band").isin(*[band for _, band in V.RISK_BANDS])
-    )
     run = latest_run(audit, run_status).select(
         F.col("run_id").alias("latest_run_id"),
         F.col("started_at").alias("latest_run_start"),
@@ -140,7 +141,7 @@ def department_dashboard(
         F.round(c, 2).cast("decimal(20,2)").alias(c)
         for c in ("avg_salary", "min_salary", "max_salary", "salary_stddev")
     ]
-    dashboard = with_one_row(scored, run).select(
+    dashboard = with_one_row(named, run).select(
         "department_id",
         "department_name",
         "location",

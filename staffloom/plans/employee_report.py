@@ -107,11 +107,11 @@ def employee_report(
         "location",
         rules.report_region(F.col("location")).alias("geo_region"),
     )
-    joined = lookup(wanted, places, ["department_id"], "employee_id", hot_rows)
+    joined = lookup(wanted, places, ["department_id"], "employee_id", hot_rows, employees)
     joined = joined.filter(F.col("geo_region").isin(*regions))
-    joined = lookup(joined, stats, ["department_id"], "employee_id", hot_rows)
+    joined = lookup(joined, stats, ["department_id"], "employee_id", hot_rows, employees)
     joined = lookup(
-        joined, sources, ["source_system", "source_employee_id"], "employee_id", hot_rows
+        joined, sources, ["source_system", "source_employee_id"], "employee_id", hot_rows, enriched
     )
     joined = joined.filter(F.col("reject_count").isNull() | (F.col("reject_count") <= max_rejects))
     joined = joined.withColumn("source_quality_band", rules.quality_band(F.col("reject_count")))

@@ -6,6 +6,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -150,13 +151,16 @@ def resolve(
         .groupBy(F.lower("email").alias("email"))
         .agg(F.min("employee_id").alias("existing_employee_id"))
     )
-    found = kept.withColumn("_folded", F.lower("department_name"))
+    folded = kept.withColumn("_folded", F.lower("department_name"))
+    found = folded
     for table, key in (
         (by_id, "department_id_from_source"),
         (by_name, "_folded"),
         (by_email, "email"),
     ):
-        found = lookup(found, table, [key], spread_by="business_key", hot_rows=hot_rows)
+        found = lookup(
+            found, table, [key], spread_by="business_key", hot_rows=hot_rows, keys_from=folded
+        )
     return found.select(
         "source_system",
         "source_employee_id",
@@ -179,14 +183,22 @@ def resolve(
     )
 
 
-def enrich(resolved: DataFrame, employees: DataFrame, as_of: Column, ws: Workspace) -> DataFrame:
+def enrich(
+    resolved: DataFrame,
+    employees: DataFrame,
+    as_of: Column,
+    ws: Workspace,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
     """Number the survivors and add band, tenure and compensation index."""
     numbered = number_rows(resolved, ["business_key"], "_seq", ws)
     averages = ws.settle(
         numbered.groupBy("department_id").agg(F.avg("salary").alias("_average")),
         "department-averages",
     )
-    with_average = lookup(numbered, averages, ["department_id"], spread_by="business_key")
+    with_average = lookup(
+        numbered, averages, ["department_id"], spread_by="business_key", hot_rows=hot_rows
+    )
     top = changes.highest_id(employees, "employee_id", "_top")
     years = complete_years(F.col("hire_date"), as_of)
     return (
@@ -331,87 +343,102 @@ class Tables:
     rejects: DataFrame
 
 
-@dataclass(frozen=True)
-class LoadResult:
-    """Next snapshots (employees, departments, enriched), and rows to append."""
-
-    run_id: str
-    judged: DataFrame
-    final: DataFrame
-    employees: DataFrame
-    departments: DataFrame
-    enriched: DataFrame
-    new_rejects: DataFrame
-    audit_row: DataFrame
-
-
 def next_departments(departments: DataFrame, kept: DataFrame, ws: Workspace) -> DataFrame:
     """Departments with the default one and every name the batch discovers."""
     base = schemas.DEPARTMENTS.conform(departments)
-    base = changes.insert_absent(
-        base, changes.default_department(ws.spark), "department_id"
-    )
+    base = changes.insert_absent(base, changes.default_department(ws.spark), "department_id")
     return base.unionByName(changes.discover_departments(kept, base, ws))
 
 
-def run_load(
-    staging: DataFrame,
-    tables: Tables,
-    run_id: str | None = None,
-    as_of: Clock = None,
-    as_of_ts: Clock = None,
-    final_status: str = V.FINAL_STATUS,
-    ws: Workspace | None = None,
-    hot_rows: int = HOT_ROWS,
-) -> LoadResult:
-    """Plan a load. Judged rows, departments and final rows are settled on the way;
-    the snapshots themselves are lazy and read only settled or given tables."""
-    spark = staging.sparkSession
-    ws = ws or Workspace(spark)
-    run_id = run_id or str(uuid.uuid4())
-    if as_of_ts is None:
-        # One clock for the whole load: a lazy current_timestamp moves per query.
-        as_of_ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    moment = now(as_of_ts)
-    day = today(as_of) if as_of is not None else moment.cast("date")
-
-    judged = ws.settle(judge(staging, moment, hot_rows), "judged", partition_by="kept")
-    kept = survivors(judged)
-    departments = ws.settle(next_departments(tables.departments, kept, ws), "departments")
-    resolved = resolve(kept, departments, tables.employees, hot_rows)
-    final = ws.settle(enrich(resolved, tables.employees, day, ws), "final")
-
-    return LoadResult(
-        run_id=run_id,
-        judged=judged,
-        final=final,
-        employees=changes.upsert(
-            schemas.EMPLOYEES.conform(tables.employees, moment),
-            employee_changes(final, moment),
+class Load:
+    """One load, each part worked out when first asked for and only once.
+
+    Judged rows, departments and final rows are settled, since several parts read
+    them; the next snapshots are lazy and read only settled or given tables.
+    """
+
+    def __init__(
+        self,
+        staging: DataFrame,
+        before: Tables,
+        run_id: str | None = None,
+        as_of: Clock = None,
+        as_of_ts: Clock = None,
+        final_status: str = V.FINAL_STATUS,
+        ws: Workspace | None = None,
+        hot_rows: int = HOT_ROWS,
+    ):
+        if as_of_ts is None:
+            # One clock for the whole load: a lazy current_timestamp moves per query.
+            as_of_ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        self.staging = staging
+        self.before = before
+        self.run_id = run_id or str(uuid.uuid4())
+        self.moment = now(as_of_ts)
+        self.day = today(as_of) if as_of is not None else self.moment.cast("date")
+        self.final_status = final_status
+        self.ws = ws or Workspace(staging.sparkSession)
+        self.hot_rows = hot_rows
+
+    @cached_property
+    def judged(self) -> DataFrame:
+        rows = judge(self.staging, self.moment, self.hot_rows)
+        return self.ws.settle(rows, "judged", partition_by="kept")
+
+    @cached_property
+    def departments(self) -> DataFrame:
+        """The next departments snapshot."""
+        rows = next_departments(self.before.departments, survivors(self.judged), self.ws)
+        return self.ws.settle(rows, "departments")
+
+    @cached_property
+    def final(self) -> DataFrame:
+        """The survivors, resolved, numbered and enriched."""
+        resolved = resolve(
+            survivors(self.judged), self.departments, self.before.employees, self.hot_rows
+        )
+        rows = enrich(resolved, self.before.employees, self.day, self.ws, self.hot_rows)
+        return self.ws.settle(rows, "final")
+
+    @cached_property
+    def employees(self) -> DataFrame:
+        """The next employees snapshot."""
+        return changes.upsert(
+            schemas.EMPLOYEES.conform(self.before.employees, self.moment),
+            employee_changes(self.final, self.moment),
             "employee_id",
             EMPLOYEE_UPDATES,
-        ),
-        departments=departments,
-        enriched=changes.upsert(
-            schemas.ENRICHED.conform(tables.enriched, moment),
-            enriched_changes(final, run_id, moment),
-            "employee_id",
-        ),
-        new_rejects=rejects(judged, run_id, moment, tables.rejects, ws),
-        audit_row=close_run(
-            open_run(spark, run_id, moment), run_id, run_counts(judged), moment, final_status
-        ),
-    )
+        )
 
+    @cached_property
+    def enriched(self) -> DataFrame:
+        """The next enriched snapshot."""
+        return changes.upsert(
+            schemas.ENRICHED.conform(self.before.enriched, self.moment),
+            enriched_changes(self.final, self.run_id, self.moment),
+            "employee_id",
+        )
 
-def publish(result: LoadResult, folder: str) -> None:
-    """Write a load's outcome. The audit row comes last: it marks a whole run."""
-    snapshot = f"{folder}/snapshots/{result.run_id}"
-    write_snapshot(result.departments, f"{snapshot}/departments")
-    write_snapshot(result.employees, f"{snapshot}/employees")
-    write_snapshot(result.enriched, f"{snapshot}/employee_enriched_target")
-    append_to(result.new_rejects, f"{folder}/etl_employee_rejects", partition_by="run_id")
-    append_to(result.audit_row, f"{folder}/etl_run_audit")
+    @cached_property
+    def new_rejects(self) -> DataFrame:
+        """The rows to append to the reject log."""
+        return rejects(self.judged, self.run_id, self.moment, self.before.rejects, self.ws)
+
+    @cached_property
+    def audit_row(self) -> DataFrame:
+        """The row to append to the run audit."""
+        opened = open_run(self.ws.spark, self.run_id, self.moment)
+        counts = run_counts(self.judged)
+        return close_run(opened, self.run_id, counts, self.moment, self.final_status)
+
+    def publish(self, folder: str) -> None:
+        """Write the outcome. The audit row comes last: it marks a whole run."""
+        snapshot = f"{folder}/snapshots/{self.run_id}"
+        write_snapshot(self.departments, f"{snapshot}/departments")
+        write_snapshot(self.employees, f"{snapshot}/employees")
+        write_snapshot(self.enriched, f"{snapshot}/employee_enriched_target")
+        append_to(self.new_rejects, f"{folder}/etl_employee_rejects", partition_by="run_id")
+        append_to(self.audit_row, f"{folder}/etl_run_audit")
 
 
 # --- read-back -------------------------------------------------------------------

@@ -239,7 +239,8 @@ def dept_kpis(fx):
 
 @query
 def dept_global_ranks(fx):
-    return dashboard.score_departments(_measures(fx, Workspace(fx.spark))).select(
+    ws = Workspace(fx.spark)
+    return dashboard.score_departments(_measures(fx, ws), ws).select(
         "department_id",
         "rank_by_avg_salary",
         "rank_by_data_rejects",
@@ -438,7 +439,7 @@ def new_departments(fx):
 def _loaded(fx, **how):
     target = report.latest_enriched(fx.enriched())
     before = load.Tables(fx.employees_before(), fx.departments(), target, fx.rejects())
-    return load.run_load(fx.staging(), before, RUN_ID, AS_OF, AS_OF_TS, **how)
+    return load.Load(fx.staging(), before, RUN_ID, AS_OF, AS_OF_TS, **how)
 
 
 @query
