@@ -390,6 +390,17 @@ DASHBOARD = f"""
     WHERE total_employees >= {V.DASHBOARD_MIN_EMPLOYEES}
       AND risk_band <> {quote(V.RISK_BAND_LOW)} AND active_ratio_pct >= """
 
+SOURCE_LOOKUP = """
+    SELECT employee_id, source_system, source_employee_id, reject_count
+    FROM newest LEFT JOIN (SELECT source_system, source_employee_id, count(*) AS reject_count
+                           FROM fx_rejects GROUP BY ALL)
+    USING (source_system, source_employee_id)"""
+
+SURVIVORS = """
+    SELECT source_system, source_employee_id, first_name, last_name, email, hire_date, salary,
+           department_id_from_source, department_name, standardized_status, event_ts,
+           ingested_at, business_key FROM kept"""
+
 EMPLOYEES = "SELECT * FROM fx_employees"
 LOW_AND_GONE = (
     f"salary < {V.DELETE_SALARY_BELOW} AND status = {quote(V.DELETE_STATUS)}"
@@ -509,11 +520,8 @@ QUERIES: dict[str, str] = {
     "latest_version_join": """
         SELECT employee_id, etl_run_id, source_system
         FROM fx_employees LEFT JOIN newest USING (employee_id)""",
-    "source_key_lookup": """
-        SELECT employee_id, source_system, source_employee_id, reject_count
-        FROM newest LEFT JOIN (SELECT source_system, source_employee_id, count(*) AS reject_count
-                               FROM fx_rejects GROUP BY ALL)
-        USING (source_system, source_employee_id)""",
+    "source_key_lookup": SOURCE_LOOKUP,
+    "source_key_lookup_salted": SOURCE_LOOKUP,
     "folded_name_lookup": """
         SELECT source_employee_id, updated_at, department_name_raw, department_id
         FROM fx_staging LEFT JOIN fx_departments
@@ -525,10 +533,8 @@ QUERIES: dict[str, str] = {
                department_id_from_source, department_name, standardized_status, event_ts,
                ingested_at, business_key FROM typed""",
     "stg_validated": "SELECT business_key, event_ts, ingested_at, reject_reason FROM judged",
-    "stg_survivors": """
-        SELECT source_system, source_employee_id, first_name, last_name, email, hire_date, salary,
-               department_id_from_source, department_name, standardized_status, event_ts,
-               ingested_at, business_key FROM kept""",
+    "stg_survivors": SURVIVORS,
+    "stg_survivors_salted": SURVIVORS,
     "stg_rejects": f"""
         SELECT *, 'run-under-test' AS run_id, {AS_OF_TS} AS rejected_at FROM refused""",
     "rejects_readback": "SELECT reject_id, rejection_reason FROM refused",

@@ -20,30 +20,43 @@ def lookup(
     spread_by: str,
     hot_rows: int = HOT_ROWS,
     keys_from: DataFrame | None = None,
+    small_rows: bool | None = None,
+    small_table: bool | None = None,
 ) -> DataFrame:
     """Left join on `keys`, which `table` holds at most once; NULL keys never match.
 
-    A table within the broadcast limit is broadcast by Spark and `rows` stay where
-    they are. Beyond the limit both sides shuffle, and keys holding many rows, as
-    well as rows with a NULL key, are spread over all partitions by `spread_by`:
-    a hot key's one table row is repeated per part, a NULL key needs no partner.
-    Hot keys are looked for in `keys_from`, a cheaper frame in which the keys occur
-    as they do in `rows`, where there is one.
+    - A table within the broadcast limit is broadcast; `rows` stay where they are.
+    - Rows within the limit have their keys broadcast to cut the table down first;
+      the table is read but not shuffled whole.
+    - Beyond the limit on both sides the join is salted, see `_salted`.
+
+    The planned sizes decide unless the caller has checked and says. Hot keys are
+    looked for in `keys_from`, a cheaper frame in which the keys occur as they do
+    in `rows`, where there is one.
     """
-    if is_broadcastable(table):
+    if is_broadcastable(table) if small_table is None else small_table:
+        return rows.join(F.broadcast(table), list(keys), "left")
+    if is_broadcastable(rows) if small_rows is None else small_rows:
+        wanted = rows.select(*keys).dropna().distinct()
+        table = table.join(F.broadcast(wanted), list(keys), "left_semi")
         return rows.join(table, list(keys), "left")
-    key_columns = [F.col(k) for k in keys]
-    unmatched = reduce(operator.or_, [k.isNull() for k in key_columns])
-    counted = rows if keys_from is None else keys_from
-    hashes = hot_hashes(counted.filter(~unmatched), key_columns, hot_rows)
+    return _salted(rows, table, keys, spread_by, hot_rows, rows if keys_from is None else keys_from)
+
+
+def _salted(rows, table, keys, spread_by, hot_rows, keys_from) -> DataFrame:
+    """Both sides shuffle. Keys holding many rows, as well as rows with a NULL key,
+    are spread over all partitions by `spread_by`: a hot key's one table row is
+    repeated per part, a NULL key needs no partner."""
+    columns = [F.col(k) for k in keys]
+    unmatched = reduce(operator.or_, [k.isNull() for k in columns])
+    hashes = hot_hashes(keys_from.filter(~unmatched), columns, hot_rows)
     n = splits(rows)
     part = F.pmod(F.xxhash64(spread_by), F.lit(n)).cast("int")
     left = rows.withColumn(
-        "_part", F.when(unmatched | is_hot(hashes, *key_columns), part).otherwise(F.lit(0))
+        "_part", F.when(unmatched | is_hot(hashes, *columns), part).otherwise(F.lit(0))
     )
-    copies = F.when(is_hot(hashes, *key_columns), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(
+    copies = F.when(is_hot(hashes, *columns), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(
         F.array(F.lit(0))
     )
     right = table.withColumn("_part", F.explode(copies))
-    # AQE's own skew split still applies to what remains uneven.
     return left.join(right, [*keys, "_part"], "left").drop("_part")

@@ -21,7 +21,7 @@ from staffloom.operators.lookup import lookup
 from staffloom.operators.numbering import number_rows
 from staffloom.sources import schemas
 from staffloom.sources.tables import append_to, write_snapshot
-from staffloom.sources.workspace import Workspace
+from staffloom.sources.workspace import Workspace, is_broadcastable
 
 RAW_COLUMNS = (
     "first_name_raw",
@@ -33,14 +33,24 @@ RAW_COLUMNS = (
     "department_name_raw",
     "status_raw",
 )
+TYPED_COLUMNS = (
+    "first_name",
+    "last_name",
+    "email",
+    "hire_date",
+    "salary",
+    "department_id_from_source",
+    "department_name",
+    "standardized_status",
+)
 EMPLOYEE_UPDATES = ("first_name", "last_name", "hire_date", "salary", "department_id", "status")
 
 
 # --- clean, judge, deduplicate -----------------------------------------------
 
 
-def normalise(staging: DataFrame, as_of_ts: Column) -> DataFrame:
-    """Trim every raw field, read the typed values, form the business key."""
+def trim_fields(staging: DataFrame, as_of_ts: Column) -> DataFrame:
+    """Trim every raw field, time the record and form its business key."""
     trimmed = staging.select(
         "source_system",
         "source_employee_id",
@@ -51,7 +61,16 @@ def normalise(staging: DataFrame, as_of_ts: Column) -> DataFrame:
         F.coalesce("updated_at", "ingested_at", as_of_ts).alias("event_ts"),
         "ingested_at",
     )
-    typed = trimmed.withColumns(
+    named = (F.nullif(c, F.lit("")) for c in ("email_raw", "first_name_raw", "last_name_raw"))
+    return trimmed.withColumn(
+        "business_key",
+        cleaning.business_key(F.col("source_system"), F.col("source_employee_id"), *named),
+    )
+
+
+def read_fields(trimmed: DataFrame) -> DataFrame:
+    """Read the typed values out of the trimmed fields."""
+    return trimmed.withColumns(
         {
             "first_name": cleaning.blank_to_null(F.col("first_name_raw")),
             "last_name": cleaning.blank_to_null(F.col("last_name_raw")),
@@ -63,8 +82,10 @@ def normalise(staging: DataFrame, as_of_ts: Column) -> DataFrame:
             "standardized_status": cleaning.standard_status(F.col("status_raw")),
         }
     )
-    parts = ("source_system", "source_employee_id", "email", "first_name", "last_name")
-    return typed.withColumn("business_key", cleaning.business_key(*map(F.col, parts)))
+
+
+def normalise(staging: DataFrame, as_of_ts: Column) -> DataFrame:
+    return read_fields(trim_fields(staging, as_of_ts))
 
 
 def validate(normalised: DataFrame) -> DataFrame:
@@ -81,12 +102,14 @@ def judge(staging: DataFrame, as_of_ts: Column, hot_rows: int = HOT_ROWS) -> Dat
     alike, and any one of them stands for the others.
     """
     newest = [F.col("event_ts").desc(), F.col("ingested_at").desc(), *map(F.col, RAW_COLUMNS)]
+    # Only the raw text goes through the shuffle; it is parsed on the other side.
     marked = mark_latest(
-        validate(normalise(staging, as_of_ts)), "business_key", newest, hot_rows=hot_rows
+        trim_fields(staging, as_of_ts), "business_key", newest, hot_rows=hot_rows
     )
+    judged = validate(read_fields(marked))
     kept = F.col("reject_reason").isNull() & F.col("is_latest")
     reason = cleaning.rejection_reason(F.col("reject_reason"), F.col("is_latest"))
-    return marked.withColumns({"kept": kept, "rejection_reason": F.when(~kept, reason)})
+    return judged.withColumns({"kept": kept, "rejection_reason": F.when(~kept, reason)})
 
 
 def survivors(judged: DataFrame) -> DataFrame:
@@ -136,9 +159,16 @@ def rejects(
 
 
 def resolve(
-    kept: DataFrame, departments: DataFrame, employees: DataFrame, hot_rows: int = HOT_ROWS
+    kept: DataFrame,
+    departments: DataFrame,
+    employees: DataFrame,
+    hot_rows: int = HOT_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
-    """Find each survivor's department, by id or else by name, and employee, by e-mail."""
+    """Find each survivor's department, by id or else by name, and employee, by e-mail.
+
+    `small` says that the survivors are known to be within the broadcast limit.
+    """
     department = F.struct("department_id", "department_name")
     by_id = departments.select(
         F.col("department_id").alias("department_id_from_source"), department.alias("_by_id")
@@ -158,9 +188,7 @@ def resolve(
         (by_name, "_folded"),
         (by_email, "email"),
     ):
-        found = lookup(
-            found, table, [key], spread_by="business_key", hot_rows=hot_rows, keys_from=folded
-        )
+        found = lookup(found, table, [key], "business_key", hot_rows, folded, small)
     return found.select(
         "source_system",
         "source_employee_id",
@@ -353,7 +381,7 @@ def next_departments(departments: DataFrame, kept: DataFrame, ws: Workspace) ->
 class Load:
     """One load, each part worked out when first asked for and only once.
 
-    Judged rows, departments and final rows are settled, since several parts read
+    Judged rows, departments and numbered rows are settled, since several parts read
     them; the next snapshots are lazy and read only settled or given tables.
     """
 
@@ -382,8 +410,16 @@ class Load:
 
     @cached_property
     def judged(self) -> DataFrame:
+        """Every staging row: typed values where kept, raw text where refused."""
         rows = judge(self.staging, self.moment, self.hot_rows)
-        return self.ws.settle(rows, "judged", partition_by="kept")
+        one_sided = {c: F.when(~F.col("kept"), F.col(c)) for c in RAW_COLUMNS}
+        one_sided |= {c: F.when(F.col("kept"), F.col(c)) for c in TYPED_COLUMNS}
+        return self.ws.settle(rows.withColumns(one_sided), "judged", partition_by="kept")
+
+    @cached_property
+    def small_batch(self) -> bool:
+        """Whether the survivors, by the size they have on disk, can be broadcast."""
+        return is_broadcastable(survivors(self.judged))
 
     @cached_property
     def departments(self) -> DataFrame:
@@ -395,10 +431,16 @@ class Load:
     def final(self) -> DataFrame:
         """The survivors, resolved, numbered and enriched."""
         resolved = resolve(
-            survivors(self.judged), self.departments, self.before.employees, self.hot_rows
+            survivors(self.judged),
+            self.departments,
+            self.before.employees,
+            self.hot_rows,
+            self.small_batch,
         )
         rows = enrich(resolved, self.before.employees, self.day, self.ws, self.hot_rows)
-        return self.ws.settle(rows, "final")
+        # A small batch is read several times by each upsert, a large one once: for it
+        # re-reading the numbered rows costs less than writing the wider final ones.
+        return self.ws.settle(rows, "final") if self.small_batch else rows
 
     @cached_property
     def employees(self) -> DataFrame:
@@ -408,6 +450,7 @@ class Load:
             employee_changes(self.final, self.moment),
             "employee_id",
             EMPLOYEE_UPDATES,
+            small=self.small_batch,
         )
 
     @cached_property
@@ -417,6 +460,7 @@ class Load:
             schemas.ENRICHED.conform(self.before.enriched, self.moment),
             enriched_changes(self.final, self.run_id, self.moment),
             "employee_id",
+            small=self.small_batch,
         )
 
     @cached_property

@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from staffloom import fixedvalues as V
 from staffloom.functions.dates import Clock
 from staffloom.functions.scalar import employee_tenure
+from staffloom.operators.lookup import lookup
 from staffloom.sources.tables import publish_view
 
 
 def with_department(employees: DataFrame, departments: DataFrame) -> DataFrame:
     """Employees that have a department, with its name."""
-    return employees.join(
-        departments.select("department_id", "department_name"), "department_id", "inner"
-    )
+    named = departments.select("department_id", "department_name", F.lit(True).alias("_known"))
+    found = lookup(employees, named, ["department_id"], "employee_id")
+    return found.filter("_known").drop("_known")
 
 
 def active_employees(
@@ -46,7 +47,7 @@ def salary_summary(employees: DataFrame, departments: DataFrame) -> DataFrame:
         F.max("salary").alias("max_salary"),
         F.sum("salary").alias("total_salary"),
     )
-    return with_department(summed, departments).select(
+    return summed.join(departments, "department_id").select(
         "department_name",
         "employee_count",
         "avg_salary",

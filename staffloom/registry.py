@@ -320,9 +320,7 @@ def latest_version_join(fx):
     return fx.employees().select("employee_id").join(newest, "employee_id", "left")
 
 
-@query
-def source_key_lookup(fx):
-    """Enriched rows beside the rejects of their source record, on two keys."""
+def _source_lookup(fx, **how):
     counted = Workspace(fx.spark).settle(
         fx.rejects()
         .groupBy("source_system", "source_employee_id")
@@ -331,7 +329,19 @@ def source_key_lookup(fx):
     )
     newest = latest_per_key(fx.enriched(), ["employee_id"], [F.col("loaded_at").desc()])
     rows = newest.select("employee_id", "source_system", "source_employee_id")
-    return lookup(rows, counted, ["source_system", "source_employee_id"], "employee_id")
+    return lookup(rows, counted, ["source_system", "source_employee_id"], "employee_id", **how)
+
+
+@query
+def source_key_lookup(fx):
+    """Enriched rows beside the rejects of their source record, on two keys."""
+    return _source_lookup(fx)
+
+
+@query
+def source_key_lookup_salted(fx):
+    """The same as for sides beyond the broadcast limit, repeated keys spread."""
+    return _source_lookup(fx, hot_rows=5, small_rows=False, small_table=False)
 
 
 @query
@@ -398,6 +408,12 @@ def stg_survivors(fx):
     return _kept(fx)
 
 
+@query
+def stg_survivors_salted(fx):
+    """The same with every repeated business key ranked in salted parts first."""
+    return load.survivors(load.judge(fx.staging(), _moment(), hot_rows=1))
+
+
 @query
 def stg_rejects(fx):
     return load.rejects(_judged(fx), RUN_ID, _moment(), fx.rejects(), Workspace(fx.spark))

@@ -149,7 +149,7 @@ def test_lookup_spreads_a_hot_key(spark, skewed, ws, no_broadcast):
     crowd = skewed.filter("k = 'hot' OR k IS NULL")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        got = lookup(crowd, table, ["k"], "id", hot_rows=100)
+        got = lookup(crowd, table, ["k"], "id", hot_rows=100, small_rows=False)
         parts = [r["count"] for r in got.groupBy("k", F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
