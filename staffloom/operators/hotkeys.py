@@ -14,9 +14,12 @@ ONE_TASK_BYTES = 64 * 1024 * 1024
 # A key below this many rows is left to one task.
 HOT_ROWS = 2_000_000
 # A key holding more than 1/HOT_KEYS of the rows is among the HOT_KEYS most
-# frequent, so a list of this length misses none of them.
+# frequent, so a list of this length misses none of them. The tasks are sketched in
+# SKETCH_FAN parts, each naming keys down to 1/PART_KEYS of its rows.
 HOT_KEYS = 1_000
-SKETCH_ITEMS = 65_536
+SKETCH_FAN = 512
+SKETCH_ITEMS = 8_192
+PART_KEYS = 4_096
 PARTS_PER_PARTITION = 4
 
 
@@ -28,20 +31,30 @@ def key_hash(*keys: Column) -> Column:
 def hot_hashes(df: DataFrame, keys: Sequence[Column], hot_rows: int = HOT_ROWS) -> list[int]:
     """Hashes of the keys with more than `hot_rows` rows, by a one-pass sketch.
 
-    The sketch merges in a tree of fixed-size partials and only its result, at
-    most `HOT_KEYS` numbers, reaches the driver. NULL keys count as a key.
-    The list steers where rows go, never what the result is, so a key the
-    sketch estimates badly costs time and nothing else.
+    Every task fills a sketch of bounded size. Sketches are merged per part of the
+    tasks, so that no task merges those of all others, and the parts' counts are
+    added up; at most `HOT_KEYS` numbers reach the driver. NULL keys count as a key.
+    The list steers where rows go, never what the result is, so a key the sketch
+    estimates badly costs time and nothing else.
     """
     if hot_rows >= HOT_ROWS and planned_bytes(df) <= ONE_TASK_BYTES:
         return []
-    top = df.select(key_hash(*keys).alias("h")).agg(
-        F.expr(f"approx_top_k(h, {HOT_KEYS}, {SKETCH_ITEMS})").alias("top")
+    parts = (
+        df.select(
+            key_hash(*keys).alias("h"), (F.spark_partition_id() % SKETCH_FAN).alias("part")
+        )
+        .groupBy("part")
+        .agg(F.expr(f"approx_top_k(h, {PART_KEYS}, {SKETCH_ITEMS})").alias("top"))
     )
-    found = top.select(
-        F.transform(F.filter("top", lambda t: t["count"] > hot_rows), lambda t: t["item"])
-    ).first()[0]
-    return list(found or [])
+    hot = (
+        parts.select(F.inline("top"))
+        .groupBy("item")
+        .agg(F.sum("count").alias("rows"))
+        .filter(F.col("rows") > hot_rows)
+        .orderBy(F.col("rows").desc())
+        .limit(HOT_KEYS)
+    )
+    return hot.agg(F.collect_list("item")).first()[0]
 
 
 def splits(df: DataFrame) -> int:

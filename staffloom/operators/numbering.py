@@ -33,11 +33,16 @@ def number_rows(
     """All rows with `id_col` = `after` + 1, 2, 3, ... in `order` (NULL first).
 
     Equal rows by `order` get adjacent numbers in no fixed order, so `order` should
-    name a unique key. `after` may use columns of `df`; without it numbers start at 1.
+    name a unique key. They are told apart by the task they come from, or a crowd of
+    copies would make one range. `after` may use columns of `df`; without it numbers
+    start at 1.
     """
+    wholly = [*order, "_from"]
     ranged = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        df.withColumn("_from", F.spark_partition_id())
+        .repartitionByRange(*wholly)
+        .sortWithinPartitions(*wholly)
+        .drop("_from")
         .withColumn("_at", F.monotonically_increasing_id())
     )
     settled = ws.settle(ranged, "numbered").withColumn("_slice", _slice("_at"))

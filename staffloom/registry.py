@@ -96,6 +96,14 @@ def view_by_name(fx):
     )
 
 
+def _beside_average(people):
+    """Employees beside their department's average, which is aggregated first."""
+    averages = Workspace(people.sparkSession).settle(
+        people.groupBy("department_id").agg(F.avg("salary").alias("dept_avg_salary")), "averages"
+    )
+    return lookup(people, averages, ["department_id"], "employee_id")
+
+
 # --- functions and rules -------------------------------------------------------
 
 
@@ -182,11 +190,10 @@ def quality_rules(fx):
 @query
 def hr_action_rules(fx):
     """The action on every employee, its department average beside it."""
-    averages = fx.employees().groupBy("department_id").agg(F.avg("salary").alias("average"))
     years = complete_years(F.col("hire_date"), _day())
-    salary, average = F.col("salary"), F.col("average")
+    salary, average = F.col("salary"), F.col("dept_avg_salary")
     quality = rules.quality_band(F.nullif((F.col("employee_id") % 8).cast("int"), F.lit(0)))
-    return fx.employees().join(averages, "department_id").select(
+    return _beside_average(fx.employees()).select(
         "employee_id",
         rules.percent_off_average(salary, average).alias("pct_vs_dept_avg"),
         rules.employee_action(years, salary, average, quality).alias("recommended_hr_action"),
@@ -302,12 +309,8 @@ def dept_rank_quartile_sliced(fx):
 def dept_avg_window(fx):
     """Compensation index: the department average is aggregated, then looked up."""
     people = fx.employees().select("employee_id", "department_id", "salary")
-    averages = Workspace(fx.spark).settle(
-        people.groupBy("department_id").agg(F.avg("salary").alias("dept_avg_salary")), "averages"
-    )
-    beside = lookup(people, averages, ["department_id"], "employee_id")
     index = rules.compensation_index(F.col("salary"), F.col("dept_avg_salary"))
-    return beside.withColumn("compensation_index", index)
+    return _beside_average(people).withColumn("compensation_index", index)
 
 
 # --- joins ---------------------------------------------------------------------

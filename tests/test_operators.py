@@ -393,3 +393,18 @@ def test_groups_are_counted_once(spark, skewed):
         per[r.k] += 1
     got = skewed.groupBy("k").agg(aggregates.count_if(F.lit(True)).alias("n"))
     assert {r.k: r.n for r in got.collect()} == dict(per)
+
+
+def test_copies_do_not_crowd_one_range(spark, ws, monkeypatch):
+    alike = spark.range(4000, numPartitions=8).select(F.lit("k").alias("k"))
+    settled = []
+    settle = ws.settle
+    monkeypatch.setattr(ws, "settle", lambda *a: settled.append(settle(*a)) or settled[-1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = sorted(r.n for r in number_rows(alike, ["k"], "n", ws).collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == list(range(1, 4001))
+    ranges = settled[0].groupBy(F.shiftright("_at", 33)).count().collect()
+    assert len(ranges) >= 6 and max(r["count"] for r in ranges) <= 1000
