@@ -35,26 +35,25 @@ def mark_latest(
     """All rows, with `flag` true on exactly one row per key: the first by `order`.
 
     Rows of one key meet in one task, but for hot keys. A hot key is first ranked
-    in salted parts; only the part winners, one per salt, meet in a second
-    ranking. The salt mixes row content with the input partition, so a key whose
-    rows are all alike is spread too.
+    in salted parts, and only the part winners meet in a second ranking. The salt
+    mixes row content with the input partition, so a key whose rows are all alike is
+    spread too.
     """
     hashes = hot_hashes(df, [F.col(key)], hot_rows)
+    first = F.row_number().over(Window.partitionBy(key).orderBy(*order)) == 1
     if not hashes:
-        place = Window.partitionBy(key).orderBy(*order)
-        return df.withColumn(flag, F.row_number().over(place) == 1)
-
-    spread = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(splits(df)))
-    salted = df.withColumn("_hot", is_hot(hashes, F.col(key))).withColumn(
-        "_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0))
-    )
-    within = Window.partitionBy(key, "_salt").orderBy(*order)
-    ranked = salted.withColumn("_first", F.row_number().over(within) == 1)
-    # Second ranking: part winners compete under their key; every other row keeps
-    # a group of its own salt in which it has nothing to win.
-    contender = F.col("_hot") & F.col("_first")
-    ranked = ranked.withColumn("_salt", F.when(contender, F.lit(-1)).otherwise(F.col("_salt")))
-    final = Window.partitionBy(key, "_salt").orderBy(F.col("_first").desc(), *order)
-    placed = ranked.withColumn("_place", F.row_number().over(final))
-    won = F.col("_first") & (F.col("_place") == 1)
-    return placed.withColumn(flag, won).drop("_hot", "_salt", "_first", "_place")
+        return df.withColumn(flag, first)
+    hot = is_hot(hashes, F.col(key))
+    cold = df.filter(~hot).withColumn(flag, first)
+    return cold.unionByName(_mark_in_parts(df.filter(hot), key, order, flag))
+
+
+def _mark_in_parts(df: DataFrame, key: str, order: Sequence[Column], flag: str) -> DataFrame:
+    part = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(splits(df)))
+    within = Window.partitionBy(key, "_part").orderBy(*order)
+    ranked = df.withColumn("_part", part).withColumn("_won", F.row_number().over(within) == 1)
+    # Part winners compete in a part of their own, -1; the others stay where they
+    # are, with nothing to win.
+    placed = ranked.withColumn("_part", F.when(F.col("_won"), F.lit(-1)).otherwise(F.col("_part")))
+    first = F.row_number().over(within) == 1
+    return placed.withColumn(flag, first & (F.col("_part") == -1)).drop("_part", "_won")

@@ -211,60 +211,61 @@ def resolve(
     )
 
 
+def number(resolved: DataFrame, employees: DataFrame, ws: Workspace) -> DataFrame:
+    """Give every survivor its employee id: the known one, or a new one.
+
+    All survivors are numbered, known ones too, so new ids have gaps.
+    """
+    top = changes.highest_id(employees, "employee_id", "_top")
+    numbered = number_rows(
+        changes.with_one_row(resolved, top), ["business_key"], "_new", ws, after=F.col("_top")
+    )
+    return numbered.withColumn(
+        "employee_id", F.coalesce("existing_employee_id", "_new")
+    ).drop("_new", "_top")
+
+
 def enrich(
-    resolved: DataFrame,
-    employees: DataFrame,
-    as_of: Column,
-    ws: Workspace,
-    hot_rows: int = HOT_ROWS,
+    numbered: DataFrame, as_of: Column, ws: Workspace, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Number the survivors and add band, tenure and compensation index."""
-    numbered = number_rows(resolved, ["business_key"], "_seq", ws)
+    """Add salary band, tenure and compensation index."""
     averages = ws.settle(
         numbered.groupBy("department_id").agg(F.avg("salary").alias("_average")),
         "department-averages",
     )
-    with_average = lookup(
-        numbered, averages, ["department_id"], spread_by="business_key", hot_rows=hot_rows
-    )
-    top = changes.highest_id(employees, "employee_id", "_top")
-    years = complete_years(F.col("hire_date"), as_of)
-    return (
-        changes.with_one_row(with_average, top)
-        .withColumn("tenure_years", years)
-        .select(
-            F.coalesce("existing_employee_id", F.col("_top") + F.col("_seq")).alias("employee_id"),
-            "first_name",
-            "last_name",
-            "email",
-            "hire_date",
-            "salary",
-            "department_id",
-            "standardized_status",
-            "source_system",
-            "source_employee_id",
-            "department_name",
-            "tenure_years",
-            rules.salary_band(F.col("salary")).alias("salary_band"),
-            rules.tenure_bucket(F.col("tenure_years")).alias("tenure_bucket"),
-            rules.compensation_index(F.col("salary"), F.col("_average")).alias(
-                "compensation_index"
-            ),
-            "existing_employee_id",
-            "business_key",
-        )
+    beside = lookup(numbered, averages, ["department_id"], "business_key", hot_rows)
+    return beside.withColumn(
+        "tenure_years", complete_years(F.col("hire_date"), as_of)
+    ).select(
+        "employee_id",
+        "first_name",
+        "last_name",
+        "email",
+        "hire_date",
+        "salary",
+        "department_id",
+        "standardized_status",
+        "source_system",
+        "source_employee_id",
+        "department_name",
+        "tenure_years",
+        rules.salary_band(F.col("salary")).alias("salary_band"),
+        rules.tenure_bucket(F.col("tenure_years")).alias("tenure_bucket"),
+        rules.compensation_index(F.col("salary"), F.col("_average")).alias("compensation_index"),
+        "existing_employee_id",
+        "business_key",
     )
 
 
 # --- publish -------------------------------------------------------------------
 
 
-def employee_changes(final: DataFrame, as_of_ts: Column) -> DataFrame:
+def employee_changes(numbered: DataFrame, as_of_ts: Column) -> DataFrame:
     """One employees row per e-mail: its smallest id, the values of its last key.
 
     Rows without an e-mail stand for themselves.
     """
-    row = final.select(
+    row = numbered.select(
         "employee_id",
         "first_name",
         "last_name",
@@ -428,8 +429,8 @@ class Load:
         return self.ws.settle(rows, "departments")
 
     @cached_property
-    def final(self) -> DataFrame:
-        """The survivors, resolved, numbered and enriched."""
+    def numbered(self) -> DataFrame:
+        """The survivors with their departments and employee ids."""
         resolved = resolve(
             survivors(self.judged),
             self.departments,
@@ -437,17 +438,23 @@ class Load:
             self.hot_rows,
             self.small_batch,
         )
-        rows = enrich(resolved, self.before.employees, self.day, self.ws, self.hot_rows)
-        # A small batch is read several times by each upsert, a large one once: for it
-        # re-reading the numbered rows costs less than writing the wider final ones.
-        return self.ws.settle(rows, "final") if self.small_batch else rows
+        return number(resolved, self.before.employees, self.ws)
+
+    @cached_property
+    def final(self) -> DataFrame:
+        """The survivors, resolved, numbered and enriched."""
+        return enrich(self.numbered, self.day, self.ws, self.hot_rows)
+
+    def _incoming(self, rows: DataFrame, name: str) -> DataFrame:
+        # An upsert reads a small batch several times, a large one once.
+        return self.ws.settle(rows, name) if self.small_batch else rows
 
     @cached_property
     def employees(self) -> DataFrame:
         """The next employees snapshot."""
         return changes.upsert(
             schemas.EMPLOYEES.conform(self.before.employees, self.moment),
-            employee_changes(self.final, self.moment),
+            self._incoming(employee_changes(self.numbered, self.moment), "employee-changes"),
             "employee_id",
             EMPLOYEE_UPDATES,
             small=self.small_batch,
@@ -456,9 +463,10 @@ class Load:
     @cached_property
     def enriched(self) -> DataFrame:
         """The next enriched snapshot."""
+        rows = enriched_changes(self.final, self.run_id, self.moment)
         return changes.upsert(
             schemas.ENRICHED.conform(self.before.enriched, self.moment),
-            enriched_changes(self.final, self.run_id, self.moment),
+            self._incoming(rows, "enriched-changes"),
             "employee_id",
             small=self.small_batch,
         )
