@@ -70,6 +70,17 @@ def deleted_log(table: DataFrame, where: Column, now: Column) -> DataFrame:
 # --- insert and upsert -------------------------------------------------------
 
 
+def align(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """`rows` with the table's columns, in its order and types; absent ones NULL."""
+    have = set(rows.columns)
+    return rows.select(
+        *[
+            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in table.schema.fields
+        ]
+    )
+
+
 def absent(
     incoming: DataFrame, table: DataFrame, key: str, small: bool | None = None
 ) -> DataFrame:
@@ -86,7 +97,7 @@ def absent(
 
 
 def insert_absent(table: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
-    return table.unionByName(absent(incoming, table, key))
+    return table.unionByName(align(absent(incoming, table, key), table))
 
 
 def upsert(
@@ -98,15 +109,17 @@ def upsert(
 ) -> DataFrame:
     """Insert incoming rows with new keys; on known keys set the `update` columns.
 
-    Without `update` all columns are set. Incoming values win even when NULL.
-    `incoming` holds each key once and has the table's columns; `small` is as in
-    `absent`. A small batch leaves the table where it is; a large one meets it in
-    one full outer join.
+    Without `update` all columns `incoming` has are set. Incoming values win even
+    when NULL. `incoming` holds each key once; columns only the table has stay as
+    they are, and are NULL on new rows. `small` is as in `absent`. A small batch
+    leaves the table where it is; a large one meets it in one full outer join.
     """
     columns = table.columns
-    update = [c for c in columns if c != key] if update is None else list(update)
+    given = [c for c in columns if c in incoming.columns and c != key]
+    update = given if update is None else list(update)
     if small is None:
         small = is_broadcastable(incoming)
+    incoming = align(incoming, table)
     if small:
         fresh = incoming.select(key, F.struct(*update).alias("_in"))
         hit = F.col("_in").isNotNull()

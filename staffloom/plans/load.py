@@ -374,9 +374,9 @@ class Tables:
 
 def next_departments(departments: DataFrame, kept: DataFrame, ws: Workspace) -> DataFrame:
     """Departments with the default one and every name the batch discovers."""
-    base = schemas.DEPARTMENTS.conform(departments)
+    base = schemas.DEPARTMENTS.complete(departments)
     base = changes.insert_absent(base, changes.default_department(ws.spark), "department_id")
-    return base.unionByName(changes.discover_departments(kept, base, ws))
+    return base.unionByName(changes.align(changes.discover_departments(kept, base, ws), base))
 
 
 class Load:
@@ -453,7 +453,7 @@ class Load:
     def employees(self) -> DataFrame:
         """The next employees snapshot."""
         return changes.upsert(
-            schemas.EMPLOYEES.conform(self.before.employees, self.moment),
+            schemas.EMPLOYEES.complete(self.before.employees, self.moment),
             self._incoming(employee_changes(self.numbered, self.moment), "employee-changes"),
             "employee_id",
             EMPLOYEE_UPDATES,
@@ -465,7 +465,7 @@ class Load:
         """The next enriched snapshot."""
         rows = enriched_changes(self.final, self.run_id, self.moment)
         return changes.upsert(
-            schemas.ENRICHED.conform(self.before.enriched, self.moment),
+            schemas.ENRICHED.complete(self.before.enriched, self.moment),
             self._incoming(rows, "enriched-changes"),
             "employee_id",
             small=self.small_batch,

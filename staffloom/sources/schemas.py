@@ -35,18 +35,33 @@ class Contract:
         A column missing from `df` takes its default; the default `NOW` stands
         for the `now` the caller passes.
         """
-        have = set(df.columns)
-        out = []
-        for f in self.schema.fields:
-            if f.name in have:
-                value = F.col(f.name)
-            else:
-                default = self.defaults.get(f.name)
-                value = now if default is NOW and now is not None else F.lit(
-                    None if default is NOW else default
-                )
-            out.append(value.cast(f.dataType).alias(f.name))
-        return df.select(*out)
+        return df.select(*self._columns(set(df.columns), now))
+
+    def _columns(self, have: set[str], now: Column | None) -> list[Column]:
+        return [
+            (F.col(f.name) if f.name in have else self._default(f.name, now))
+            .cast(f.dataType)
+            .alias(f.name)
+            for f in self.schema.fields
+        ]
+
+    def _default(self, name: str, now: Column | None) -> Column:
+        default = self.defaults.get(name)
+        if default is NOW:
+            return F.lit(None) if now is None else now
+        return F.lit(default)
+
+    def complete(self, df: DataFrame, now: Column | None = None) -> DataFrame:
+        """`df` as it is, with the contract's columns it lacks added and defaulted.
+
+        Unlike `conform` this keeps columns added to a table and types widened later.
+        """
+        lacking = [f for f in self.schema.fields if f.name not in df.columns]
+        if not lacking:
+            return df
+        return df.withColumns(
+            {f.name: self._default(f.name, now).cast(f.dataType) for f in lacking}
+        )
 
 
 class _Now:

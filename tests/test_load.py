@@ -346,3 +346,37 @@ def test_large_path_equals_small_path(spark, request, fixture_job):
         fx.staging(), tables_before, RUN_ID, AS_OF, AS_OF_TS, "SUCCESS", hot_rows=1
     )
     assert [rows_of(t) for t in (large.employees, large.enriched, large.new_rejects)] == expected
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_evolved_tables_keep_their_columns_and_types(spark, request, small):
+    """Columns added, types widened and narrow ids survive a load."""
+    if not small:
+        request.getfixturevalue("no_broadcast")
+    plain = before(spark, employees=((7, "seven@x.com"), (8, "eight@x.com")))
+    rich = Decimal("123456789012.00")
+    employees = plain.employees.withColumns(
+        {
+            "employee_id": F.col("employee_id").cast("int"),
+            "phone_number": F.lit("5550100"),
+            "salary": F.when(F.col("employee_id") == 8, rich)
+            .otherwise(F.col("salary"))
+            .cast("decimal(14,2)"),
+        }
+    )
+    departments = plain.departments.withColumns(
+        {"department_id": F.col("department_id").cast("int"), "employee_count": F.lit(3)}
+    ).drop("manager_id")
+    tables_before = load.Tables(employees, departments, plain.enriched, plain.rejects)
+    staging = staged(
+        spark,
+        {"n": 1, "email": "seven@x.com"},
+        {"n": 2, "department_id_raw": "x", "department_name_raw": "Ops"},
+    )
+    job = run(spark, staging, tables_before)
+    assert job.employees.schema.simpleString() == employees.schema.simpleString()
+    got = {r.employee_id: (r.phone_number, r.salary) for r in job.employees.collect()}
+    assert got == {7: ("5550100", 50000), 8: ("5550100", rich), 10: (None, 50000)}
+    assert dict(job.departments.dtypes)["department_id"] == "int"
+    counts = {r.department_id: r.employee_count for r in job.departments.collect()}
+    assert counts == {0: None, 1: 3, 5: 3, 6: None}
