@@ -139,7 +139,8 @@ STEPS: dict[str, tuple[tuple[str, ...], str]] = {
                nullif(department_name_raw, '') AS department_name,
                {mapped("upper(status_raw)", STATUS, V.DEFAULT_STATUS)} AS standardized_status,
                array_to_string([coalesce(source_system, 'NA'), coalesce(source_employee_id, 'NA'),
-                   coalesce(nullif(email_raw, ''), 'NA'), coalesce(nullif(first_name_raw, ''), 'NA'),
+                   coalesce(nullif(email_raw, ''), 'NA'),
+                   coalesce(nullif(first_name_raw, ''), 'NA'),
                    coalesce(nullif(last_name_raw, ''), 'NA')], '|') AS business_key
         FROM trimmed
         """,
@@ -235,7 +236,8 @@ STEPS: dict[str, tuple[tuple[str, ...], str]] = {
                    seq + (SELECT max(employee_id) FROM fx_employees_before)) AS employee_id,
                first_name, last_name, email, hire_date, salary, department_id,
                standardized_status, source_system, source_employee_id, department_name,
-               years AS tenure_years, {below("salary", V.SALARY_CUTS, V.SALARY_BANDS)} AS salary_band,
+               years AS tenure_years,
+               {below("salary", V.SALARY_CUTS, V.SALARY_BANDS)} AS salary_band,
                {below("years", V.TENURE_CUTS, V.TENURE_BUCKETS)} AS tenure_bucket,
                {index_of("salary", "dept_average")} AS compensation_index, existing_employee_id
         FROM (SELECT *, {years_between("hire_date")} AS years FROM placed)

@@ -81,18 +81,15 @@ def align(rows: DataFrame, table: DataFrame) -> DataFrame:
     )
 
 
-def absent(
-    incoming: DataFrame, table: DataFrame, key: str, small: bool | None = None
-) -> DataFrame:
+def absent(incoming: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """The incoming rows whose key the table does not hold.
 
-    For a small batch only the table's key column is read and filtered against the
-    broadcast batch; the table is not shuffled. `small` says that the caller has
-    checked the batch's size; without it the planned size decides.
+    For a batch within the broadcast limit only the table's key column is read and
+    filtered against the batch; the table is not shuffled.
     """
     known = table.select(key)
-    if is_broadcastable(incoming) if small is None else small:
-        known = known.join(F.broadcast(incoming.select(key)), key, "left_semi")
+    if is_broadcastable(incoming):
+        known = known.join(incoming.select(key), key, "left_semi")
     return incoming.join(known, key, "left_anti")
 
 
@@ -101,35 +98,30 @@ def insert_absent(table: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
 
 
 def upsert(
-    table: DataFrame,
-    incoming: DataFrame,
-    key: str,
-    update: Sequence[str] | None = None,
-    small: bool | None = None,
+    table: DataFrame, incoming: DataFrame, key: str, update: Sequence[str] | None = None
 ) -> DataFrame:
     """Insert incoming rows with new keys; on known keys set the `update` columns.
 
     Without `update` all columns `incoming` has are set. Incoming values win even
     when NULL. `incoming` holds each key once; columns only the table has stay as
-    they are, and are NULL on new rows. `small` is as in `absent`. A small batch
-    leaves the table where it is; a large one meets it in one full outer join.
+    they are, and are NULL on new rows. A batch within the broadcast limit leaves the
+    table where it is; a larger one meets it in one full outer join.
     """
     columns = table.columns
     given = [c for c in columns if c in incoming.columns and c != key]
     update = given if update is None else list(update)
-    if small is None:
-        small = is_broadcastable(incoming)
+    small = is_broadcastable(incoming)
     incoming = align(incoming, table)
     if small:
         fresh = incoming.select(key, F.struct(*update).alias("_in"))
         hit = F.col("_in").isNotNull()
-        changed = table.join(F.broadcast(fresh), key, "left").select(
+        changed = table.join(fresh, key, "left").select(
             *[
                 F.when(hit, F.col("_in")[c]).otherwise(F.col(c)).alias(c) if c in update else c
                 for c in columns
             ]
         )
-        return changed.unionByName(absent(incoming, table, key, small).select(*columns))
+        return changed.unionByName(absent(incoming, table, key).select(*columns))
 
     rest = [c for c in columns if c != key]
     old = table.select(key, F.struct(*rest).alias("_old"))

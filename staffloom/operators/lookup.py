@@ -25,7 +25,8 @@ def lookup(
 ) -> DataFrame:
     """Left join on `keys`, which `table` holds at most once; NULL keys never match.
 
-    - A table within the broadcast limit is broadcast; `rows` stay where they are.
+    - A table within the broadcast limit is left to Spark to broadcast; `rows` stay
+      where they are.
     - Rows within the limit have their keys broadcast to cut the table down first;
       the table is read but not shuffled whole.
     - Beyond the limit on both sides the join is salted, see `_salted`.
@@ -35,7 +36,7 @@ def lookup(
     in `rows`, where there is one.
     """
     if is_broadcastable(table) if small_table is None else small_table:
-        return rows.join(F.broadcast(table), list(keys), "left")
+        return rows.join(table, list(keys), "left")
     if is_broadcastable(rows) if small_rows is None else small_rows:
         wanted = rows.select(*keys).dropna().distinct()
         table = table.join(F.broadcast(wanted), list(keys), "left_semi")

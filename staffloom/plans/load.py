@@ -43,6 +43,7 @@ TYPED_COLUMNS = (
     "department_name",
     "standardized_status",
 )
+SMALL_BATCH_ROWS = 1_000_000
 EMPLOYEE_UPDATES = ("first_name", "last_name", "hire_date", "salary", "department_id", "status")
 
 
@@ -419,8 +420,9 @@ class Load:
 
     @cached_property
     def small_batch(self) -> bool:
-        """Whether the survivors, by the size they have on disk, can be broadcast."""
-        return is_broadcastable(survivors(self.judged))
+        """Whether the survivors, by size on disk and by number, can be broadcast."""
+        kept = survivors(self.judged)
+        return is_broadcastable(kept) and kept.count() <= SMALL_BATCH_ROWS
 
     @cached_property
     def departments(self) -> DataFrame:
@@ -446,7 +448,8 @@ class Load:
         return enrich(self.numbered, self.day, self.ws, self.hot_rows)
 
     def _incoming(self, rows: DataFrame, name: str) -> DataFrame:
-        # An upsert reads a small batch several times, a large one once.
+        # An upsert reads a small batch several times, a large one once; settled, the
+        # small one is also seen to be small.
         return self.ws.settle(rows, name) if self.small_batch else rows
 
     @cached_property
@@ -457,7 +460,6 @@ class Load:
             self._incoming(employee_changes(self.numbered, self.moment), "employee-changes"),
             "employee_id",
             EMPLOYEE_UPDATES,
-            small=self.small_batch,
         )
 
     @cached_property
@@ -468,7 +470,6 @@ class Load:
             schemas.ENRICHED.complete(self.before.enriched, self.moment),
             self._incoming(rows, "enriched-changes"),
             "employee_id",
-            small=self.small_batch,
         )
 
     @cached_property

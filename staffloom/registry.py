@@ -319,7 +319,8 @@ def dept_avg_window(fx):
 @query
 def latest_version_join(fx):
     """Every employee beside the newest enriched version, if any."""
-    newest = report.latest_enriched(fx.enriched()).select("employee_id", "etl_run_id", "source_system")
+    wanted = ("employee_id", "etl_run_id", "source_system")
+    newest = report.latest_enriched(fx.enriched()).select(*wanted)
     return fx.employees().select("employee_id").join(newest, "employee_id", "left")
 
 

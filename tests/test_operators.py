@@ -290,7 +290,9 @@ def test_salary_changes_chain(spark, ws):
 
 
 def test_counters(spark):
-    departments = spark.createDataFrame([(1, 5), (2, None), (3, 0)], "department_id long, employee_count long")
+    departments = spark.createDataFrame(
+        [(1, 5), (2, None), (3, 0)], "department_id long, employee_count long"
+    )
     inserted = spark.createDataFrame([(1,), (1,), (2,), (7,), (None,)], "department_id long")
     out = changes.count_inserted(departments, inserted)
     assert {r.department_id: r.employee_count for r in out.collect()} == {1: 205, 2: None, 3: 0}
