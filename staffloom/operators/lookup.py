@@ -38,7 +38,7 @@ def lookup(
     if is_broadcastable(table) if small_table is None else small_table:
         return rows.join(table, list(keys), "left")
     if is_broadcastable(rows) if small_rows is None else small_rows:
-        wanted = rows.select(*keys).dropna().distinct()
+        wanted = rows.select(*keys).dropna()
         table = table.join(F.broadcast(wanted), list(keys), "left_semi")
         return rows.join(table, list(keys), "left")
     return _salted(rows, table, keys, spread_by, hot_rows, rows if keys_from is None else keys_from)

@@ -416,7 +416,7 @@ class Load:
         rows = judge(self.staging, self.moment, self.hot_rows)
         one_sided = {c: F.when(~F.col("kept"), F.col(c)) for c in RAW_COLUMNS}
         one_sided |= {c: F.when(F.col("kept"), F.col(c)) for c in TYPED_COLUMNS}
-        return self.ws.settle(rows.withColumns(one_sided), "judged", partition_by="kept")
+        return self.ws.settle(rows.withColumns(one_sided), "judged")
 
     @cached_property
     def small_batch(self) -> bool:

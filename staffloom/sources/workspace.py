@@ -38,15 +38,11 @@ class Workspace:
         self.spark = spark
         self.root = f"{shared_folder(spark).rstrip('/')}/staffloom/{uuid.uuid4().hex}"
 
-    def settle(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    def settle(self, df: DataFrame, name: str) -> DataFrame:
         """Write `df` once and return a scan of what was written."""
         path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
-        schema = df.schema
-        writer = df.write
-        if partition_by:
-            writer = writer.partitionBy(partition_by)
-        writer.parquet(path)
-        return self.spark.read.schema(schema).parquet(path).select(*schema.names)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
 
 def planned_bytes(df: DataFrame) -> int:

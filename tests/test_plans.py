@@ -43,9 +43,10 @@ def test_one_partition_only_after_partial_aggregates(job):
             assert "partial_" in below or "HashAggregate" in below, text
 
 
-def test_survivors_read_only_their_folder(job):
+def test_survivors_read_no_raw_text(job):
     text = plan(load.survivors(job.judged))
-    assert re.search(r"PartitionFilters: \[.*kept", text)
+    assert re.search(r"PushedFilters: \[.*kept", text)
+    assert "_raw" not in re.search(r"ReadSchema: struct<([^>]*)", text).group(1)
 
 
 def test_dedupe_shuffles_once(spark):
