@@ -635,6 +635,27 @@ QUERIES: dict[str, str] = {
         f"SELECT {quote(c)} AS column_name, count(*) - count({c}) AS null_rows FROM fx_staging"
         for c in STAGED
     ),
+    "check_contract": """
+        SELECT 'required' AS check_name, * FROM (
+            UNPIVOT (SELECT 0::BIGINT AS employee_id, count(*) - count(first_name) AS first_name,
+                            count(*) - count(last_name) AS last_name,
+                            count(*) - count(hire_date) AS hire_date FROM typed)
+            ON COLUMNS(*) INTO NAME column_name VALUE bad_rows)
+        UNION ALL BY NAME
+        SELECT 'length' AS check_name, * FROM (
+            UNPIVOT (SELECT count(*) FILTER (length(first_name) > 50) AS first_name,
+                            count(*) FILTER (length(last_name) > 50) AS last_name,
+                            count(*) FILTER (length(email) > 100) AS email,
+                            count(*) FILTER (length(standardized_status) > 20) AS status FROM typed)
+            ON COLUMNS(*) INTO NAME column_name VALUE bad_rows)
+        UNION ALL BY NAME
+        SELECT 'type' AS check_name, 'salary' AS column_name, 0::BIGINT AS bad_rows
+        UNION ALL BY NAME
+        SELECT 'key' AS check_name, 'employee_id' AS column_name, count(*) AS bad_rows
+        FROM (SELECT 1 FROM typed GROUP BY source_employee_id HAVING count(*) > 1)
+        UNION ALL BY NAME
+        SELECT 'unique' AS check_name, 'email' AS column_name, count(*) AS bad_rows
+        FROM (SELECT 1 FROM typed WHERE email IS NOT NULL GROUP BY email HAVING count(*) > 1)""",
     "check_orphans": """
         SELECT employee_id, count(*) AS row_count FROM fx_changes
         WHERE employee_id NOT IN (SELECT employee_id FROM fx_employees) GROUP BY 1""",

@@ -26,12 +26,23 @@ def now(as_of_ts: Clock = None) -> Column:
     return moment.cast("timestamp_ntz")
 
 
-def complete_years(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("YEAR", start, end).cast("int")
+def complete_months(start: Column, end: Column) -> Column:
+    """Whole months from one date to another, negative when `end` is earlier.
 
+    Calendar arithmetic, so that no session time zone with a missing midnight can
+    take a month off.
+    """
+    apart = (F.year(end) - F.year(start)) * 12 + F.month(end) - F.month(start)
+    overshoot = F.sign(F.day(end) - F.day(start)).cast("int")
+    return (
+        F.when((apart > 0) & (overshoot < 0), apart - 1)
+        .when((apart < 0) & (overshoot > 0), apart + 1)
+        .otherwise(apart)
+    )
 
-def complete_months(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("MONTH", start, end).cast("int")
+
+def complete_years(start: Column, end: Column) -> Column:
+    return (complete_months(start, end) / 12).cast("int")
 
 
 def calendar_years(start: Column, end: Column) -> Column:

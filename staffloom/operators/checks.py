@@ -6,6 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from staffloom.sources.schemas import Contract
 
 
 def repeated_keys(df: DataFrame, key: Sequence[str], allow_null: bool = False) -> DataFrame:
@@ -51,3 +54,30 @@ def orphans(df: DataFrame, key: str, parent: DataFrame, parent_key: str) -> Data
         F.count(F.lit(1)).alias("row_count")
     )
     return counted.join(parent.select(F.col(parent_key).alias(key)), key, "left_anti")
+
+
+def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
+    """What a table breaks of its contract: check_name, column_name, bad_rows.
+
+    Required columns, lengths and decimal types are counted in one pass over the
+    rows; for keys and unique columns the repeated values are counted.
+    """
+    tests = {f"required {c}": F.col(c).isNull() for c in contract.required}
+    tests |= {f"length {c}": F.length(c) > n for c, n in contract.lengths.items()}
+    tests |= {
+        f"type {f.name}": F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
+        for f in contract.schema.fields
+        if isinstance(f.dataType, T.DecimalType)
+    }
+    report = _per_column(df, tests, "bad_rows")
+    repeats = [("key", contract.key, False), *[("unique", (c,), True) for c in contract.unique]]
+    for check, columns, allow_null in repeats:
+        if columns:
+            label = F.lit(f"{check} {','.join(columns)}").alias("column_name")
+            repeated = repeated_keys(df, columns, allow_null)
+            counted = repeated.agg(F.count(F.lit(1)).alias("bad_rows"))
+            report = report.unionByName(counted.select(label, "bad_rows"))
+    name = F.split("column_name", " ")
+    return report.select(
+        name[0].alias("check_name"), name[1].alias("column_name"), "bad_rows"
+    )

@@ -99,10 +99,11 @@ def judge(staging: DataFrame, as_of_ts: Column, hot_rows: int = HOT_ROWS) -> Dat
 
     The newest row of a business key is found before validity is looked at, so an
     invalid newest row takes its older valid ones down as duplicates. Rows that tie
-    on both times are told apart by their raw text; rows that tie on that too are
-    alike, and any one of them stands for the others.
+    on both times are told apart by their text; rows that tie on that too are alike,
+    and any one of them stands for the others.
     """
-    newest = [F.col("event_ts").desc(), F.col("ingested_at").desc(), *map(F.col, RAW_COLUMNS)]
+    told_apart = ("source_system", "source_employee_id", *RAW_COLUMNS)
+    newest = [F.col("event_ts").desc(), F.col("ingested_at").desc(), *map(F.col, told_apart)]
     # Only the raw text goes through the shuffle; it is parsed on the other side.
     marked = mark_latest(
         trim_fields(staging, as_of_ts), "business_key", newest, hot_rows=hot_rows
@@ -149,10 +150,10 @@ def rejects(
         "event_ts",
         "ingested_at",
     )
-    order = ["business_key", "event_ts", "ingested_at", "rejection_reason"]
-    raw = [c.removesuffix("_raw") if c in RAW_COLUMNS[:3] else c for c in RAW_COLUMNS]
+    order = ["business_key", "event_ts", "ingested_at"]
+    text = [c for c in schemas.REJECTS.schema.names if c in refused.columns and c not in order]
     return schemas.REJECTS.conform(
-        changes.append_ids(reject_log, refused, "reject_id", order + raw, ws)
+        changes.append_ids(reject_log, refused, "reject_id", order + text, ws)
     )
 
 

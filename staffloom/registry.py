@@ -653,6 +653,24 @@ def check_numbers(fx):
     )
 
 
+@query
+def check_contract(fx):
+    """The typed staging rows measured against the contract of employees."""
+    typed = load.normalise(fx.staging(), _moment())
+    candidates = typed.select(
+        F.col("source_employee_id").cast("bigint").alias("employee_id"),
+        "first_name",
+        "last_name",
+        "email",
+        "hire_date",
+        "salary",
+        F.col("department_id_from_source").alias("department_id"),
+        F.col("standardized_status").alias("status"),
+        F.col("ingested_at").alias("created_at"),
+    )
+    return checks.contract_report(candidates, schemas.EMPLOYEES)
+
+
 # --- reports -------------------------------------------------------------------
 
 

@@ -410,3 +410,22 @@ def test_copies_do_not_crowd_one_range(spark, ws, monkeypatch):
     assert got == list(range(1, 4001))
     ranges = settled[0].groupBy(F.shiftright("_at", 33)).count().collect()
     assert len(ranges) >= 6 and max(r["count"] for r in ranges) <= 1000
+
+
+def test_contract_report(spark):
+    df = spark.createDataFrame(
+        [(1, "a" * 101, None, "x"), (1, "b", None, "x" * 200), (2, None, None, None)],
+        "department_id long, department_name string, manager_id long, location string",
+    )
+    got = {(r.check_name, r.column_name): r.bad_rows
+           for r in checks.contract_report(df, schemas.DEPARTMENTS).collect()}
+    assert got == {
+        ("required", "department_id"): 0,
+        ("required", "department_name"): 1,
+        ("length", "department_name"): 1,
+        ("length", "location"): 1,
+        ("key", "department_id"): 1,
+    }
+    for contract in schemas.CONTRACTS.values():
+        empty = checks.contract_report(contract.empty(spark), contract) if contract.key else None
+        assert empty is None or {r.bad_rows for r in empty.collect()} == {0}

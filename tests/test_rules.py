@@ -190,6 +190,32 @@ def test_dates(spark):
     assert [(r.m, r.y, r.c) for r in out] == [(0, 0, 0), (11, 0, 1), (24, 2, 2), (23, 1, 2)]
 
 
+def test_months_and_years_agree_with_spark_in_utc(spark):
+    days = spark.range(0, 4000, 37).select(
+        F.date_add(F.lit("1996-01-01").cast("date"), F.col("id").cast("int")).alias("a")
+    )
+    pairs = days.crossJoin(days.withColumnRenamed("a", "b"))
+    a, b = F.col("a"), F.col("b")
+    wrong = pairs.filter(
+        (dates.complete_months(a, b) != F.timestamp_diff("MONTH", a, b))
+        | (dates.complete_years(a, b) != F.timestamp_diff("YEAR", a, b))
+    )
+    assert pairs.count() > 10_000 and wrong.count() == 0
+
+
+def test_no_month_is_lost_to_a_missing_midnight(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        start, end = F.lit("2000-10-08").cast("date"), F.lit("2001-10-08").cast("date")
+        row = spark.range(1).select(
+            dates.complete_months(start, end), dates.complete_years(start, end)
+        )
+        assert tuple(row.first()) == (12, 1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_days_before_keeps_the_time(spark):
     cut = dates.days_before(dates.now("2024-01-31 10:30:00"), 90)
     assert spark.range(1).select(cut).first()[0] == dt.datetime(2023, 11, 2, 10, 30)
