@@ -20,7 +20,7 @@ from staffloom.operators.latest import mark_latest
 from staffloom.operators.lookup import lookup
 from staffloom.operators.numbering import number_rows
 from staffloom.sources import schemas
-from staffloom.sources.tables import append_to, write_snapshot
+from staffloom.sources.tables import append_to, read_table, replace_parts, write_snapshot
 from staffloom.sources.workspace import Workspace, is_broadcastable
 
 RAW_COLUMNS = (
@@ -486,13 +486,21 @@ class Load:
         return close_run(opened, self.run_id, counts, self.moment, self.final_status)
 
     def publish(self, folder: str) -> None:
-        """Write the outcome. The audit row comes last: it marks a whole run."""
+        """Write the outcome. The audit row comes last: it marks a whole run.
+
+        A broken attempt is published again under its run id; what it left is
+        replaced. A whole run is not published twice.
+        """
+        audit_path = f"{folder}/etl_run_audit"
+        audit = read_table(self.ws.spark, audit_path, schemas.RUN_AUDIT)
+        if not run_audit_of(audit, self.run_id).isEmpty():
+            raise ValueError(f"run {self.run_id} is already published")
         snapshot = f"{folder}/snapshots/{self.run_id}"
-        write_snapshot(self.departments, f"{snapshot}/departments")
-        write_snapshot(self.employees, f"{snapshot}/employees")
-        write_snapshot(self.enriched, f"{snapshot}/employee_enriched_target")
-        append_to(self.new_rejects, f"{folder}/etl_employee_rejects", partition_by="run_id")
-        append_to(self.audit_row, f"{folder}/etl_run_audit")
+        write_snapshot(self.departments, f"{snapshot}/departments", replace=True)
+        write_snapshot(self.employees, f"{snapshot}/employees", replace=True)
+        write_snapshot(self.enriched, f"{snapshot}/employee_enriched_target", replace=True)
+        replace_parts(self.new_rejects, f"{folder}/etl_employee_rejects", by="run_id")
+        append_to(self.audit_row, audit_path)
 
 
 # --- read-back -------------------------------------------------------------------

@@ -6,18 +6,28 @@ from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from staffloom.sources.schemas import Contract
 
 
 def read_table(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
-    """The table at `path`, or the contract's empty table when nothing is there."""
+    """The table at `path`, or the contract's empty table when nothing is there.
+
+    Columns the contract declares as text are read as text: a folder name such as
+    `run_id=007` would otherwise be taken for a number.
+    """
     try:
-        return spark.read.parquet(path)
+        found = spark.read.parquet(path)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return contract.empty(spark)
         raise
+    text = {f.name for f in contract.schema.fields if f.dataType == T.StringType()}
+    wanted = T.StructType(
+        [T.StructField(f.name, T.StringType()) if f.name in text else f for f in found.schema]
+    )
+    return found if wanted == found.schema else spark.read.schema(wanted).parquet(path)
 
 
 def literal_rows(
@@ -36,20 +46,27 @@ def append_rows(table: DataFrame, rows: DataFrame, contract: Contract, now: Colu
     return contract.conform(table, now).unionByName(contract.conform(rows, now))
 
 
-def write_snapshot(df: DataFrame, path: str) -> None:
+def write_snapshot(df: DataFrame, path: str, replace: bool = False) -> None:
     """Write the next state of a table to a path of its own.
 
-    The previous state may be an input of `df`, so an existing path is refused.
+    The previous state may be an input of `df`, so an existing path is refused unless
+    the caller knows it for the rest of a broken attempt.
     """
-    df.write.mode("error").parquet(path)
+    df.write.mode("overwrite" if replace else "error").parquet(path)
+
 
+def append_to(df: DataFrame, path: str) -> None:
+    df.write.mode("append").parquet(path)
 
-def append_to(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Append to a log table, one folder per value of `partition_by`."""
-    writer = df.write.mode("append")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+
+def replace_parts(df: DataFrame, path: str, by: str) -> None:
+    """Write to a log table kept in one folder per value of `by`.
+
+    The folders of the values in `df` are replaced, the others left alone, so that
+    writing the same rows again does not double them.
+    """
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(by).parquet(path)
 
 
 def publish_view(df: DataFrame, name: str) -> DataFrame:

@@ -277,10 +277,37 @@ def test_publish_and_read_back(spark, tmp_path):
         "Invalid salary format"
     ]
     assert load.newest_enriched_first(enriched).first().employee_id == 1
-    with pytest.raises(Exception, match="already exists"):
+    with pytest.raises(ValueError, match="already published"):
         run(spark, staging).publish(folder)
 
 
+def test_a_broken_publish_is_repeated(spark, tmp_path, monkeypatch):
+    staging = staged(spark, {"n": 1}, {"n": 2, "salary_raw": "x"})
+    folder = str(tmp_path)
+    other = tables.literal_rows(
+        spark,
+        schemas.REJECTS,
+        [{"reject_id": 1, "run_id": "007", "rejection_reason": "x", "rejected_at": MORNING}],
+    )
+    alone = f"{folder}/alone"
+    tables.replace_parts(other, alone, by="run_id")
+    read = tables.read_table(spark, alone, schemas.REJECTS)
+    assert [r.run_id for r in load.rejects_of(read, "007").collect()] == ["007"]
+    tables.replace_parts(other, f"{folder}/etl_employee_rejects", by="run_id")
+
+    def lost(*_):
+        raise RuntimeError("lost before the audit row")
+
+    with monkeypatch.context() as broken, pytest.raises(RuntimeError):
+        broken.setattr(load, "append_to", lost)
+        run(spark, staging).publish(folder)
+    run(spark, staging).publish(folder)
+    log = tables.read_table(spark, f"{folder}/etl_employee_rejects", schemas.REJECTS)
+    assert sorted(r.run_id for r in log.collect()) == ["007", "r1"]
+    audit = tables.read_table(spark, f"{folder}/etl_run_audit", schemas.RUN_AUDIT)
+    assert audit.count() == 1
+
+
 def test_an_empty_batch(spark):
     job = run(spark, schemas.STAGING.empty(spark), before(spark, employees=((7, "a@x.com"),)))
     assert [r.employee_id for r in job.employees.collect()] == [7]
