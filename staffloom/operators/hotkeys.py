@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +20,6 @@ HOT_KEYS = 1_000
 SKETCH_FAN = 512
 SKETCH_ITEMS = 8_192
 PART_KEYS = 4_096
-PARTS_PER_PARTITION = 4
 
 
 def key_hash(*keys: Column) -> Column:
@@ -28,18 +27,23 @@ def key_hash(*keys: Column) -> Column:
     return F.xxhash64(*keys)
 
 
-def hot_hashes(df: DataFrame, keys: Sequence[Column], hot_rows: int = HOT_ROWS) -> list[int]:
-    """Hashes of the keys with more than `hot_rows` rows, by a one-pass sketch.
+def hot_parts(
+    df: DataFrame, keys: Sequence[Column], hot_rows: int = HOT_ROWS
+) -> dict[int, int]:
+    """Hash of each key with more than `hot_rows` rows -> how many parts to cut it into.
 
-    Every task fills a sketch of bounded size. Sketches are merged per part of the
-    tasks, so that no task merges those of all others, and the parts' counts are
-    added up; at most `HOT_KEYS` numbers reach the driver. NULL keys count as a key.
-    The list steers where rows go, never what the result is, so a key the sketch
-    estimates badly costs time and nothing else.
+    A part is meant to hold at most `hot_rows` / 2 rows, so all parts together number
+    no more than the rows of the table over that, whatever the skew.
+
+    The rows are counted by a one-pass sketch. Every task fills one of bounded size.
+    Sketches are merged per part of the tasks, so that no task merges those of all
+    others, and their counts are added up; at most `HOT_KEYS` pairs of numbers reach
+    the driver. NULL keys count as a key. The answer steers where rows go, never what
+    the result is, so a key the sketch estimates badly costs time and nothing else.
     """
     if hot_rows >= HOT_ROWS and planned_bytes(df) <= ONE_TASK_BYTES:
-        return []
-    parts = (
+        return {}
+    sketched = (
         df.select(
             key_hash(*keys).alias("h"), (F.spark_partition_id() % SKETCH_FAN).alias("part")
         )
@@ -47,24 +51,26 @@ def hot_hashes(df: DataFrame, keys: Sequence[Column], hot_rows: int = HOT_ROWS)
         .agg(F.expr(f"approx_top_k(h, {PART_KEYS}, {SKETCH_ITEMS})").alias("top"))
     )
     hot = (
-        parts.select(F.inline("top"))
+        sketched.select(F.inline("top"))
         .groupBy("item")
         .agg(F.sum("count").alias("rows"))
         .filter(F.col("rows") > hot_rows)
         .orderBy(F.col("rows").desc())
         .limit(HOT_KEYS)
     )
-    return hot.agg(F.collect_list("item")).first()[0]
+    found = hot.agg(F.collect_list(F.struct("item", "rows"))).first()[0]
+    return {item: 1 << (2 * rows // hot_rows).bit_length() for item, rows in found}
 
 
-def splits(df: DataFrame) -> int:
-    """Into how many parts a hot key is spread.
+def parts_of(hot: Mapping[int, int], *keys: Column) -> Column:
+    """Into how many parts the key of a row is cut: 1 unless it is hot.
 
-    Several per shuffle partition, since parts land in partitions by hash and a few
-    large ones would land unevenly.
+    Part counts are powers of two, so a handful of hash lists says it all.
     """
-    return PARTS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def is_hot(hashes: Sequence[int], *keys: Column) -> Column:
-    return key_hash(*keys).isin(list(hashes)) if hashes else F.lit(False)
+    by_parts: dict[int, list[int]] = {}
+    for item, parts in hot.items():
+        by_parts.setdefault(parts, []).append(item)
+    cut = [
+        F.when(key_hash(*keys).isin(items), F.lit(parts)) for parts, items in by_parts.items()
+    ]
+    return F.coalesce(*cut, F.lit(1))

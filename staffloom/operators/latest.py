@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from staffloom.operators.hotkeys import HOT_ROWS, hot_hashes, is_hot, splits
+from staffloom.operators.hotkeys import HOT_ROWS, hot_parts, parts_of
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -39,17 +39,19 @@ def mark_latest(
     mixes row content with the input partition, so a key whose rows are all alike is
     spread too.
     """
-    hashes = hot_hashes(df, [F.col(key)], hot_rows)
+    hot = hot_parts(df, [F.col(key)], hot_rows)
     first = F.row_number().over(Window.partitionBy(key).orderBy(*order)) == 1
-    if not hashes:
+    if not hot:
         return df.withColumn(flag, first)
-    hot = is_hot(hashes, F.col(key))
-    cold = df.filter(~hot).withColumn(flag, first)
-    return cold.unionByName(_mark_in_parts(df.filter(hot), key, order, flag))
+    parts = parts_of(hot, F.col(key))
+    cold = df.filter(parts == 1).withColumn(flag, first)
+    return cold.unionByName(_mark_in_parts(df.filter(parts > 1), key, parts, order, flag))
 
 
-def _mark_in_parts(df: DataFrame, key: str, order: Sequence[Column], flag: str) -> DataFrame:
-    part = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(splits(df)))
+def _mark_in_parts(
+    df: DataFrame, key: str, parts: Column, order: Sequence[Column], flag: str
+) -> DataFrame:
+    part = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), parts)
     within = Window.partitionBy(key, "_part").orderBy(*order)
     ranked = df.withColumn("_part", part).withColumn("_won", F.row_number().over(within) == 1)
     # Part winners compete in a part of their own, -1; the others stay where they

@@ -9,9 +9,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staffloom.operators.hotkeys import HOT_ROWS, hot_hashes, is_hot, splits
+from staffloom.operators.hotkeys import HOT_ROWS, hot_parts, parts_of
 from staffloom.sources.workspace import is_broadcastable
 
+# Rows without a key are scattered over so many values; they have no table rows to
+# repeat, so the number costs nothing.
+NULL_PARTS = 1 << 20
+
 
 def lookup(
     rows: DataFrame,
@@ -45,19 +49,16 @@ def lookup(
 
 
 def _salted(rows, table, keys, spread_by, hot_rows, keys_from) -> DataFrame:
-    """Both sides shuffle. Keys holding many rows, as well as rows with a NULL key,
-    are spread over all partitions by `spread_by`: a hot key's one table row is
-    repeated per part, a NULL key needs no partner."""
+    """Both sides shuffle. A key holding many rows is cut into parts by `spread_by`
+    and its one table row repeated per part; rows with a NULL key need no partner and
+    are spread over all partitions."""
     columns = [F.col(k) for k in keys]
     unmatched = reduce(operator.or_, [k.isNull() for k in columns])
-    hashes = hot_hashes(keys_from.filter(~unmatched), columns, hot_rows)
-    n = splits(rows)
-    part = F.pmod(F.xxhash64(spread_by), F.lit(n)).cast("int")
+    parts = parts_of(hot_parts(keys_from.filter(~unmatched), columns, hot_rows), *columns)
+    everywhere = F.lit(NULL_PARTS)
     left = rows.withColumn(
-        "_part", F.when(unmatched | is_hot(hashes, *columns), part).otherwise(F.lit(0))
-    )
-    copies = F.when(is_hot(hashes, *columns), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(
-        F.array(F.lit(0))
+        "_part",
+        F.pmod(F.xxhash64(spread_by), F.when(unmatched, everywhere).otherwise(parts)).cast("int"),
     )
-    right = table.withColumn("_part", F.explode(copies))
+    right = table.withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
     return left.join(right, [*keys, "_part"], "left").drop("_part")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from conftest import rows_of
 from staffloom.functions.dates import now, today
 from staffloom.operators import aggregates, changes, checks, evolve
-from staffloom.operators.hotkeys import hot_hashes
+from staffloom.operators.hotkeys import hot_parts, parts_of
 from staffloom.operators.latest import latest_overall, latest_per_key, mark_latest
 from staffloom.operators.lookup import lookup
 from staffloom.operators.numbering import number_rows, previous_in_order, rank_in_groups
@@ -32,14 +32,18 @@ def skewed(spark):
     return spark.createDataFrame(data, "id long, k string, t int, s string").repartition(6)
 
 
-def test_hot_hashes_finds_the_hot_keys(spark, skewed):
-    found = hot_hashes(skewed, [F.col("k")], hot_rows=100)
-    expected = {
-        r[0]
-        for r in skewed.groupBy("k").count().filter("count > 100").select(F.xxhash64("k")).collect()
-    }
-    assert set(found) == expected and len(expected) == 2
-    assert hot_hashes(skewed, [F.col("k")]) == []
+def test_hot_parts_finds_the_hot_keys(spark, skewed):
+    found = hot_parts(skewed, [F.col("k")], hot_rows=100)
+    counts = skewed.groupBy("k").count().select(F.xxhash64("k").alias("h"), "count")
+    expected = {r.h: r["count"] for r in counts.filter("count > 100").collect()}
+    assert set(found) == set(expected) and len(expected) == 2
+    # No part is meant to hold more than half of hot_rows, nor are there many more.
+    for key, parts in found.items():
+        assert expected[key] / 50 <= parts <= 4 * expected[key] / 50
+    assert hot_parts(skewed, [F.col("k")]) == {}
+    cut = skewed.select("k", parts_of(found, F.col("k")).alias("n")).distinct().collect()
+    assert {r.n for r in cut if r.k not in ("hot", None)} == {1}
+    assert all(r.n > 1 for r in cut if r.k in ("hot", None))
 
 
 @pytest.mark.parametrize("hot_rows", [10, 100, 2_000_000])
