@@ -7,6 +7,7 @@ import re
 
 import pytest
 
+from staffloom.plans import employee_report as report
 from staffloom.plans import load, views
 from staffloom.registry import QUERIES
 from staffloom.sources import schemas
@@ -74,11 +75,6 @@ def test_filters_and_columns_reach_the_scan(spark, ws):
     }
 
 
-def test_summary_adds_up_before_it_joins(spark):
-    text = plan(QUERIES["salary_summary"](spark, FOLDER))
-    assert text.index("BroadcastHashJoin") < text.index("HashAggregate")
-
-
 def test_no_python_rows_and_no_whole_results_on_the_driver():
     banned = re.compile(
         r"\.collect\(|\.toPandas\(|\.toLocalIterator\(|\.rdd\b|localCheckpoint|\budf\(|pandas_udf"
@@ -87,3 +83,22 @@ def test_no_python_rows_and_no_whole_results_on_the_driver():
     for path in LIBRARY.rglob("*.py"):
         hit = banned.search(path.read_text())
         assert hit is None, f"{path}: {hit.group()}"
+
+
+def test_the_report_joins_as_planned(spark, ws):
+    """One-row run beside all rows; small lookups broadcast; one shuffle per department."""
+    fx = Fixtures(spark, FOLDER)
+    names = ("employees", "departments", "enriched", "rejects", "audit")
+    given = [ws.settle(getattr(fx, n)(), n) for n in names]
+    text = plan(report.employee_report(*given, ws, AS_OF, AS_OF_TS))
+    assert text.count("BroadcastNestedLoopJoin") == 1 and "CartesianProduct" not in text
+    assert text.count("Exchange hashpartitioning(department_id") == 1
+    assert "SortMergeJoin [department_id" not in text
+    assert "SortMergeJoin [source_system" not in text
+
+
+def test_departments_are_summed_before_they_are_named(spark, ws):
+    fx = Fixtures(spark, FOLDER)
+    employees = ws.settle(fx.employees(), "employees")
+    text = plan(views.salary_summary(employees, fx.departments()))
+    assert text.index("Join") < text.index("HashAggregate") < text.index("partial_sum(salary")
