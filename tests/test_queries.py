@@ -42,7 +42,7 @@ def test_query(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(QUERIES) == set(entry_points.queries())
+    assert set(QUERIES) <= set(SQL) <= set(entry_points.queries())
 
 
 def test_fixtures_agree(spark, duck):
