@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from staffloom.llm import bpe, simhash
+from staffloom.llm import bpe, mixing, secrets, simhash, toxicity
 from staffloom.sources.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,23 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def labels(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/labels.parquet")
+
+
+@query
+def op3_source_mixing(spark, folder):
+    return mixing.mixed(documents(spark, folder), Workspace(spark))
+
+
+SQL["op3_source_mixing"] = mixing.SQL
+
+
+@query
+def op6_secret_scan(spark, folder):
+    return secrets.report(documents(spark, folder))
+
+
 @query
 def op8_simhash_near_dedup(spark, folder):
     return simhash.near_duplicates(documents(spark, folder), Workspace(spark))
@@ -33,3 +50,8 @@ def op8_simhash_near_dedup(spark, folder):
 @query
 def op9_bpe_round_trip(spark, folder):
     return bpe.round_trip(documents(spark, folder), public_tokenizers.path(VOCABULARY))
+
+
+@query
+def op10_toxicity(spark, folder):
+    return toxicity.rated(documents(spark, folder), labels(spark, folder))
