@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from staffloom.llm import bpe, mixing, secrets, simhash, toxicity
+from staffloom.llm import bpe, mixing, quality, secrets, simhash, toxicity
 from staffloom.sources.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,14 @@ def labels(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/labels.parquet")
 
 
+@query
+def op1_quality_rules(spark, folder):
+    return quality.judged(documents(spark, folder), Workspace(spark))
+
+
+SQL["op1_quality_rules"] = quality.SQL
+
+
 @query
 def op3_source_mixing(spark, folder):
     return mixing.mixed(documents(spark, folder), Workspace(spark))
