@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from staffloom.llm import bpe, mixing, quality, secrets, simhash, syncmers, toxicity
+from staffloom.llm import bpe, mixing, pii, quality, secrets, simhash, syncmers, toxicity
 from staffloom.sources.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,11 @@ def op3_source_mixing(spark, folder):
 SQL["op3_source_mixing"] = mixing.SQL
 
 
+@query
+def op4_pii(spark, folder):
+    return pii.report(documents(spark, folder), Workspace(spark))
+
+
 @query
 def op5_syncmer_fingerprints(spark, folder):
     return syncmers.compared(documents(spark, folder))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 SPACE = r"[\x20\x09-\x0D]"
 SPAN = "array<struct<start:bigint,end:bigint,text:string>>"
+SPAN_AROUND = "array<struct<start:bigint,end:bigint,text:string,before:string,after:string>>"
 # Lengths that are summed together, so that the i-th place costs few additions.
 BLOCK = 256
 
@@ -50,14 +51,17 @@ def _block_sums(lengths: Column) -> Column:
     )
 
 
-def found(text: Column, pattern: str) -> Column:
-    """Start, end and text of each match, leftmost first, none overlapping.
+def found(text: Column, pattern: str | Column, around: int = 0) -> Column:
+    """Start, end and text of each match, leftmost first, none overlapping; with `around`
+    also up to so many characters before and after, as far as the neighbouring matches.
 
     A match must not be empty. Text without a match is looked at once.
     """
+    regex = F.lit(pattern) if isinstance(pattern, str) else pattern
+    kind = SPAN_AROUND if around else SPAN
     both = F.struct(
-        F.split(text, pattern, -1).alias("between"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"),
+        F.split(text, regex, -1).alias("between"),
+        F.regexp_extract_all(text, regex, F.lit(0)).alias("hits"),
     )
 
     def place(v: Column) -> Column:
@@ -68,6 +72,10 @@ def found(text: Column, pattern: str) -> Column:
         def spans(size: Column) -> Column:
             def each(blocks: Column) -> Column:
                 def span(m: Column, i: Column) -> Column:
+                    beside = [
+                        F.right(v["between"][i], F.lit(around)).alias("before"),
+                        F.left(v["between"][i + 1], F.lit(around)).alias("after"),
+                    ]
                     start = _sums(size)(blocks, i) + F.length(v["between"][i])
                     return let(
                         start,
@@ -75,6 +83,7 @@ def found(text: Column, pattern: str) -> Column:
                             s.cast("bigint").alias("start"),
                             (s + F.length(m)).cast("bigint").alias("end"),
                             m.alias("text"),
+                            *(beside if around else []),
                         ),
                     )
 
@@ -84,8 +93,8 @@ def found(text: Column, pattern: str) -> Column:
 
         return let(lengths, spans)
 
-    none = F.array().cast(SPAN)
-    return F.when(text.rlike(pattern), let(both, place)).otherwise(none).cast(SPAN)
+    none = F.array().cast(kind)
+    return F.when(F.rlike(text, regex), let(both, place)).otherwise(none).cast(kind)
 
 
 def labelled(kinds: Sequence[tuple[str, Column]]) -> Column:
