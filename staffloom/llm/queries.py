@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from staffloom.llm import bpe, mixing, pii, quality, secrets, simhash, syncmers, toxicity
+from staffloom.llm import bpe, html, mixing, pii, quality, secrets, simhash, syncmers, toxicity
 from staffloom.sources.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,12 @@ def op1_quality_rules(spark, folder):
 SQL["op1_quality_rules"] = quality.SQL
 
 
+@query
+def op2_html_extraction(spark, folder):
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    return html.extracted(pages, html.learn(pages))
+
+
 @query
 def op3_source_mixing(spark, folder):
     return mixing.mixed(documents(spark, folder), Workspace(spark))
