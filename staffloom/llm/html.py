@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_PAGES = 250
-TREES, DEPTH, RATE, LEAST_LEAF, CUTS = 50, 4, 0.2, 10, 32
+TREES, DEPTH, RATE, LEAST_LEAF, CUTS = 80, 3, 0.1, 30, 32
 
 # Fixed values of HTML: elements without content, without text, and those in a line.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
