@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from staffloom.llm import bpe, html, mixing, pii, quality, secrets, simhash, syncmers, toxicity
+from staffloom.llm import bpe, html, licences, mixing, pii, quality, secrets, simhash, syncmers, toxicity
 from staffloom.sources.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,12 @@ def op6_secret_scan(spark, folder):
     return secrets.report(documents(spark, folder))
 
 
+@query
+def op7_licence_scan(spark, folder):
+    docs = documents(spark, folder)
+    return licences.scanned(docs, licences.learn(docs))
+
+
 @query
 def op8_simhash_near_dedup(spark, folder):
     return simhash.near_duplicates(documents(spark, folder), Workspace(spark))
