@@ -180,7 +180,7 @@ def examples(lines: list[str], seed: int = 5) -> tuple[list[list[str]], np.ndarr
                 # A line of the template as it may be wrapped, or more of it.
                 start = rng.randrange(max(1, len(words) - 8))
                 length = rng.randint(min(len(words), 8), len(words))
-                part = [w for w in words[start : start + length] if rng.random() > 0.04]
+                part = [w for w in words[start : start + length] if rng.random() > 0.04] or words
                 beside = rng.choice(other)[: rng.randint(0, 5)] if other and len(part) > 8 else []
                 found.append((part + beside if rng.random() < 0.5 else beside + part, k))
             for _ in range(VARIANTS // 6):
