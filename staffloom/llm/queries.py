@@ -66,6 +66,9 @@ def op6_secret_scan(spark, folder):
     return secrets.report(documents(spark, folder))
 
 
+SQL["op6_secret_scan"] = secrets.SQL
+
+
 @query
 def op7_licence_scan(spark, folder):
     docs = documents(spark, folder)

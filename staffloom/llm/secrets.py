@@ -152,3 +152,60 @@ def redacted(
         length = F.length(F.col(text)).cast(kind)
         changed = changed.withColumn(n_chars, F.when(F.size(marks) > 0, length).otherwise(F.col(n_chars)))
     return changed.select(*df.columns)
+
+
+def _sql() -> str:
+    """The same in SQL, window by window instead of by incremental counts."""
+
+    def either_case(word: str) -> str:
+        return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+    names = "|".join(either_case(w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+    shapes = {
+        "assign": rf"""({names})["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""",
+        "access": r"AKIA[A-Z0-9]{12,}",
+        "hex": r"[0-9a-f]{32,}",
+        "entropy": r"[A-Za-z0-9+/_=-]{20,}",
+    }
+    found = " UNION ALL ".join(
+        f"""
+  SELECT doc_id, {n} AS n, '{kind}' AS kind, hit, i,
+    (sum(length(gap)) OVER w + sum(length(hit)) OVER w - length(hit))::BIGINT AS start
+  FROM (SELECT doc_id, unnest(hits) AS hit, unnest(gaps[:len(hits)]) AS gap, generate_subscripts(hits, 1) AS i
+        FROM (SELECT doc_id, regexp_extract_all(text, '{shape}') AS hits, string_split_regex(text, '{shape}') AS gaps
+              FROM texts) WHERE len(hits) > 0)
+  WINDOW w AS (PARTITION BY doc_id ORDER BY i)"""
+        for n, (kind, shape) in enumerate(shapes.items())
+    )
+    assign = shapes["assign"]
+    allowed = " OR ".join(f"regexp_matches(c, '{a}')" for a in ALLOWED)
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+found AS ({found}),
+candidates AS (SELECT DISTINCT hit AS c FROM found WHERE kind = 'entropy'),
+windows AS (SELECT c, substr(c, unnest(range(1, length(c) - {WINDOW - 2})), {WINDOW}) AS w FROM candidates),
+letters AS (SELECT c, w, unnest(list_distinct(string_split(w, ''))) AS x FROM (SELECT DISTINCT c, w FROM windows)),
+sums AS (SELECT c, w, sum({_SUMS}[{WINDOW + 1} - length(replace(w, x, ''))]) AS s FROM letters GROUP BY c, w),
+least AS (SELECT c, min(s) AS s FROM sums GROUP BY c),
+secret AS (
+  SELECT c FROM least WHERE NOT ({allowed}) AND s <= CASE
+    WHEN regexp_matches(c, '{HEX_CLASS}') THEN {_most(HEX_LIMIT)}
+    WHEN regexp_matches(c, '{UPPER_CLASS}') THEN {_most(UPPER_LIMIT)}
+    WHEN regexp_matches(c, '{LOWER_CLASS}') THEN {_most(LOWER_LIMIT)}
+    ELSE {_most(MIXED_LIMIT)} END),
+kept AS (
+  SELECT doc_id, n, kind, start, concat_ws(':', kind, start, start + length(hit)) AS mark FROM found
+  WHERE CASE kind WHEN 'assign' THEN length(regexp_extract(hit, '{assign}', 2)) >= {ASSIGN_LEAST}
+    WHEN 'entropy' THEN hit IN (SELECT c FROM secret) ELSE true END),
+marks AS (
+  SELECT doc_id, count(*) FILTER (n = 0) AS n_assign, count(*) FILTER (n = 1) AS n_access,
+    count(*) FILTER (n = 2) AS n_hex, string_agg(mark, ',' ORDER BY start, n) FILTER (n < 3) AS base,
+    string_agg(mark, ',' ORDER BY start, n) AS spans
+  FROM kept GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+  coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts t LEFT JOIN marks m ON t.doc_id = m.doc_id
+"""
+
+
+SQL = _sql()
