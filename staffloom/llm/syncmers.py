@@ -50,11 +50,11 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 def _pieces(codes: np.ndarray, longest: int) -> dict[int, np.ndarray]:
     """Length -> polynomial hash of the piece of that length from every place."""
-    found, size, base = {1: codes}, 1, _STEP
+    found, size, base = {1: codes}, 1, int(_STEP)
     while size < longest:
         half = found[size]
-        found[2 * size] = half[:-size] * base + half[size:]
-        size, base = 2 * size, base * base
+        found[2 * size] = half[:-size] * np.uint64(base) + half[size:]
+        size, base = 2 * size, base * base % (1 << 64)
     return found
 
 
