@@ -44,7 +44,8 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
                CASE WHEN o_orderkey % 10 <> 9 THEN 'u' || o_orderkey || '@example.com' END AS email,
                o_orderdate::DATE - (o_orderkey % 3 * 1826)::INT AS hire_date,
                o_totalprice::DECIMAL(10,2) AS salary,
-               c_nationkey::BIGINT AS department_id,
+               CASE WHEN o_orderkey % 211 = 0 THEN NULL WHEN o_orderkey % 223 = 0 THEN 99
+                    ELSE c_nationkey END::BIGINT AS department_id,
                MAP {'F': 'Active', 'O': 'Inactive', 'P': 'On Leave'}[o_orderstatus] AS status,
                o_orderdate AS created_at, o_custkey, o_orderpriority
         FROM orders JOIN customer ON c_custkey = o_custkey
@@ -66,8 +67,9 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
                {BUCKET} AS tenure_bucket, 1::DECIMAL(12,4) AS compensation_index,
                source_system, source_employee_id, etl_run_id, loaded_at
         FROM (
-            SELECT employee_id, first_name || ' ' || last_name AS full_name,
-                   email AS normalized_email, department_id, department_name,
+            SELECT if(o_orderpriority = '5-LOW', -employee_id, employee_id) AS employee_id,
+                   first_name || ' ' || last_name AS full_name, email AS normalized_email,
+                   department_id, coalesce(department_name, 'Nowhere') AS department_name,
                    status AS standardized_status,
                    (((salary * 100)::BIGINT * (100 + 5 * v) * 2 + 100) // 200
                        * 0.01::DECIMAL(3,2))::DECIMAL(10,2) AS salary,
@@ -75,8 +77,7 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
                    'sys' || (o_custkey % 2) AS source_system,
                    o_custkey::VARCHAR AS source_employee_id, 'run-' || v AS etl_run_id,
                    (DATE '2024-01-01' + v)::TIMESTAMP AS loaded_at
-            FROM fx_wide JOIN fx_departments USING (department_id), (VALUES (0), (1)) t(v)
-            WHERE o_orderpriority <> '5-LOW'
+            FROM fx_wide LEFT JOIN fx_departments USING (department_id), (VALUES (0), (1)) t(v)
         )
         """,
     ),
@@ -85,10 +86,11 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
         """
         SELECT event_id AS reject_id, 'run-0' AS run_id, 'sys' || (rec % 2) AS source_system,
                rec::VARCHAR AS source_employee_id,
-               ['Invalid email format', 'Invalid salary format', 'Invalid or missing hire date']
-                   [event_id % 3 + 1] AS rejection_reason,
+               if(event_type = 'error', 'Unknown rejection',
+                  ['Invalid email format', 'Invalid salary format', 'Invalid or missing hire date']
+                      [event_id % 3 + 1]) AS rejection_reason,
                ts AS rejected_at
-        FROM (SELECT *, user_id * 4 + event_id % 4 AS rec FROM events WHERE event_type = 'error')
+        FROM (SELECT *, user_id * 32 + event_id % 32 AS rec FROM events)
         """,
     ),
     "fx_audit": (
@@ -135,7 +137,7 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
         """
         SELECT user_id * 3 - 20 AS employee_id, value::DECIMAL(10,2) AS new_salary,
                event_id AS change_seq
-        FROM events WHERE event_type = 'purchase'
+        FROM events
         """,
     ),
     "fx_hires": (

@@ -392,6 +392,37 @@ DASHBOARD = f"""
     WHERE total_employees >= {V.DASHBOARD_MIN_EMPLOYEES}
       AND risk_band <> {quote(V.RISK_BAND_LOW)} AND active_ratio_pct >= """
 
+REPORT = f"""
+        SELECT employee_id AS employee_key, first_name || ' ' || last_name AS employee_name,
+               coalesce(normalized_email, lower(email)) AS normalized_email, department_id,
+               department_name, location AS department_location, geo_region, hire_date,
+               service_years, service_months,
+               {below("service_years", V.TENURE_CUTS, V.TENURE_CLASSES)} AS tenure_classification,
+               pay AS effective_salary, salary_band,
+               {below("pay", V.SALARY_CUTS, V.COMPENSATION_TIERS)} AS compensation_tier,
+               place AS dept_salary_rank, tile AS dept_salary_quartile,
+               {off_average("pay", "dept_avg_salary")} AS pct_vs_dept_avg, dept_avg_salary,
+               dept_min_salary, dept_max_salary, state AS effective_status,
+               {mapped("upper(state)", V.REPORT_STATUS_LABELS, V.REPORT_STATUS_UNKNOWN)}
+                   AS status_label,
+               compensation_index, source_system, source_employee_id,
+               {quality("reject_count")} AS source_quality_band,
+               coalesce(reject_count, 0) AS reject_count_90d, last_rejected_at, reject_reasons,
+               run_id AS latest_success_run_id, started_at AS latest_run_started_at,
+               finished_at AS latest_run_finished_at, source_row_count AS latest_run_source_rows,
+               rejected_row_count AS latest_run_rejected_rows,
+               loaded_row_count AS latest_run_loaded_rows,
+               {position("place", "tile")} AS salary_position_label,
+               {hr_action("service_years", "pay", "dept_avg_salary", quality("reject_count"))}
+                   AS recommended_hr_action
+        FROM paid_ranked
+        JOIN places USING (department_id) JOIN salaries USING (department_id)
+        LEFT JOIN rejects_90 USING (source_system, source_employee_id), last_run
+        WHERE list_contains({listing(V.REPORT_STATUSES)}, state)
+          AND pay >= {V.REPORT_MIN_SALARY} AND service_months >= {V.REPORT_MIN_MONTHS}
+          AND geo_region <> {quote(V.REPORT_REGION_UNKNOWN)}
+          AND coalesce(reject_count, 0) <= {V.REPORT_MAX_REJECTS}"""
+
 SOURCE_LOOKUP = """
     SELECT employee_id, source_system, source_employee_id, reject_count
     FROM newest LEFT JOIN (SELECT source_system, source_employee_id, count(*) AS reject_count
@@ -403,6 +434,27 @@ SURVIVORS = """
            department_id_from_source, department_name, standardized_status, event_ts,
            ingested_at, business_key FROM kept"""
 
+GLOBAL_RANKS = """
+        SELECT department_id, rank_by_avg_salary, rank_by_data_rejects, rank_by_low_activity,
+               risk_score_raw, risk_band, recommended_action FROM scored"""
+
+HIRED = f"""
+        SELECT row_number() OVER (ORDER BY email) + (SELECT max(employee_id) FROM fx_employees)
+                   AS employee_id, first_name, last_name, email, {AS_OF} AS hire_date, salary,
+               department_id, 'Active' AS status, {AS_OF_TS} AS created_at
+        FROM fx_hires"""
+
+UPSERTED = f"""
+        SELECT employee_id, coalesce(f.first_name, e.first_name) AS first_name,
+               coalesce(f.last_name, e.last_name) AS last_name,
+               if(e.employee_id IS NULL, f.email, e.email) AS email,
+               coalesce(f.hire_date, e.hire_date) AS hire_date,
+               coalesce(f.salary, e.salary) AS salary,
+               coalesce(f.department_id, e.department_id) AS department_id,
+               coalesce(f.standardized_status, e.status) AS status,
+               coalesce(e.created_at, {AS_OF_TS}) AS created_at
+        FROM fx_employees_before e FULL JOIN final f USING (employee_id)"""
+
 EMPLOYEES = "SELECT * FROM fx_employees"
 LOW_AND_GONE = (
     f"salary < {V.DELETE_SALARY_BELOW} AND status = {quote(V.DELETE_STATUS)}"
@@ -493,8 +545,8 @@ QUERIES: dict[str, str] = {
         SELECT employee_id, {off_average("salary", "dept_avg_salary")} AS pct_vs_dept_avg,
                {hr_action("years", "salary", "dept_avg_salary",
                           quality("nullif(employee_id % 8, 0)"))} AS recommended_hr_action
-        FROM (SELECT *, {years_between("hire_date")} AS years FROM fx_employees)
-        JOIN salaries USING (department_id)""",
+        FROM (SELECT *, {years_between("hire_date")} AS years FROM fx_employees) e
+        JOIN salaries s ON s.department_id IS NOT DISTINCT FROM e.department_id""",
     "risk_rules": f"""
         SELECT order_key, risk_score_raw, {risk_band("risk_score_raw")} AS risk_band,
                {dept_action("order_key % 9", "order_key % 7", "order_key * 7 % 101")}
@@ -506,9 +558,8 @@ QUERIES: dict[str, str] = {
     "dept_kpis": """
         SELECT * REPLACE (round(salary_stddev, 2)::DECIMAL(20,2) AS salary_stddev)
         FROM measures""",
-    "dept_global_ranks": """
-        SELECT department_id, rank_by_avg_salary, rank_by_data_rejects, rank_by_low_activity,
-               risk_score_raw, risk_band, recommended_action FROM scored""",
+    "dept_global_ranks": GLOBAL_RANKS,
+    "dept_global_ranks_sliced": GLOBAL_RANKS,
     "reject_stats": "SELECT * FROM rejects_90",
     "reject_stats_14d": recent_rejects(14),
     "latest_enriched": "SELECT * FROM newest",
@@ -516,9 +567,10 @@ QUERIES: dict[str, str] = {
     "dept_rank_quartile": RANKED,
     "dept_rank_quartile_sliced": RANKED,
     "dept_avg_window": f"""
-        SELECT employee_id, department_id, salary, dept_avg_salary,
+        SELECT employee_id, e.department_id, salary, dept_avg_salary,
                {index_of("salary", "dept_avg_salary")} AS compensation_index
-        FROM fx_employees JOIN salaries USING (department_id)""",
+        FROM fx_employees e
+        JOIN salaries s ON s.department_id IS NOT DISTINCT FROM e.department_id""",
     "latest_version_join": """
         SELECT employee_id, etl_run_id, source_system
         FROM fx_employees LEFT JOIN newest USING (employee_id)""",
@@ -539,6 +591,8 @@ QUERIES: dict[str, str] = {
     "stg_survivors_salted": SURVIVORS,
     "stg_rejects": f"""
         SELECT *, 'run-under-test' AS run_id, {AS_OF_TS} AS rejected_at FROM refused""",
+    "run_readback": "SELECT * FROM fx_audit WHERE run_id = 'run-2024-01-03'",
+    "target_readback": "SELECT * FROM fx_enriched",
     "rejects_readback": "SELECT reject_id, rejection_reason FROM refused",
     "default_department": """
         SELECT department_id + 1 AS department_id, * EXCLUDE (department_id), false AS had_default
@@ -552,16 +606,13 @@ QUERIES: dict[str, str] = {
     "new_departments": "SELECT * FROM discovered",
     "departments_after": "SELECT * FROM departments_next",
     "employee_final": "SELECT * FROM final",
-    "employees_upsert": f"""
-        SELECT employee_id, coalesce(f.first_name, e.first_name) AS first_name,
-               coalesce(f.last_name, e.last_name) AS last_name,
-               if(e.employee_id IS NULL, f.email, e.email) AS email,
-               coalesce(f.hire_date, e.hire_date) AS hire_date,
-               coalesce(f.salary, e.salary) AS salary,
-               coalesce(f.department_id, e.department_id) AS department_id,
-               coalesce(f.standardized_status, e.status) AS status,
-               coalesce(e.created_at, {AS_OF_TS}) AS created_at
-        FROM fx_employees_before e FULL JOIN final f USING (employee_id)""",
+    "employees_upsert": UPSERTED,
+    "second_load_employees": UPSERTED,
+    "load_counters": f"""
+        SELECT d.*, {V.COUNTER_STEP} * (SELECT count(*) FROM final f
+            WHERE f.department_id = d.department_id
+              AND f.employee_id NOT IN (SELECT employee_id FROM fx_employees_before))
+            AS employee_count FROM departments_next d""",
     "target_upsert": """
         SELECT * FROM final_row UNION ALL
         SELECT * FROM newest WHERE employee_id NOT IN (SELECT employee_id FROM final_row)""",
@@ -596,11 +647,8 @@ QUERIES: dict[str, str] = {
     "deleted_log": f"""
         SELECT employee_id, first_name || ' ' || last_name AS name, {AS_OF_TS} AS deleted_date
         FROM fx_employees WHERE {LOW_AND_GONE}""",
-    "batch_hire": f"""
-        SELECT row_number() OVER (ORDER BY email) + (SELECT max(employee_id) FROM fx_employees)
-                   AS employee_id, first_name, last_name, email, {AS_OF} AS hire_date, salary,
-               department_id, 'Active' AS status, {AS_OF_TS} AS created_at
-        FROM fx_hires""",
+    "batch_hire": HIRED,
+    "employees_after_hire": f"SELECT * FROM fx_employees UNION ALL BY NAME ({HIRED})",
     "salary_change": """
         SELECT * EXCLUDE (new_salary) REPLACE (coalesce(new_salary, salary) AS salary)
         FROM fx_employees LEFT JOIN (
@@ -659,6 +707,9 @@ QUERIES: dict[str, str] = {
     "check_orphans": """
         SELECT employee_id, count(*) AS row_count FROM fx_changes
         WHERE employee_id NOT IN (SELECT employee_id FROM fx_employees) GROUP BY 1""",
+    "check_foreign_key": """
+        SELECT department_id, count(*) AS row_count FROM fx_employees
+        WHERE department_id NOT IN (SELECT department_id FROM fx_departments) GROUP BY 1""",
     "check_lengths": """
         UNPIVOT (SELECT count(*) FILTER (length(first_name) > 3) AS first_name,
                         count(*) FILTER (length(last_name) > 17) AS last_name,
@@ -669,36 +720,8 @@ QUERIES: dict[str, str] = {
         UNPIVOT (SELECT count(*) FILTER (o_totalprice >= 99999.995) AS o_totalprice,
                         count(*) FILTER (o_orderkey > 9999) AS o_orderkey FROM orders)
         ON COLUMNS(*) INTO NAME column_name VALUE unfit_rows""",
-    "employee_report": f"""
-        SELECT employee_id AS employee_key, first_name || ' ' || last_name AS employee_name,
-               coalesce(normalized_email, lower(email)) AS normalized_email, department_id,
-               department_name, location AS department_location, geo_region, hire_date,
-               service_years, service_months,
-               {below("service_years", V.TENURE_CUTS, V.TENURE_CLASSES)} AS tenure_classification,
-               pay AS effective_salary, salary_band,
-               {below("pay", V.SALARY_CUTS, V.COMPENSATION_TIERS)} AS compensation_tier,
-               place AS dept_salary_rank, tile AS dept_salary_quartile,
-               {off_average("pay", "dept_avg_salary")} AS pct_vs_dept_avg, dept_avg_salary,
-               dept_min_salary, dept_max_salary, state AS effective_status,
-               {mapped("upper(state)", V.REPORT_STATUS_LABELS, V.REPORT_STATUS_UNKNOWN)}
-                   AS status_label,
-               compensation_index, source_system, source_employee_id,
-               {quality("reject_count")} AS source_quality_band,
-               coalesce(reject_count, 0) AS reject_count_90d, last_rejected_at, reject_reasons,
-               run_id AS latest_success_run_id, started_at AS latest_run_started_at,
-               finished_at AS latest_run_finished_at, source_row_count AS latest_run_source_rows,
-               rejected_row_count AS latest_run_rejected_rows,
-               loaded_row_count AS latest_run_loaded_rows,
-               {position("place", "tile")} AS salary_position_label,
-               {hr_action("service_years", "pay", "dept_avg_salary", quality("reject_count"))}
-                   AS recommended_hr_action
-        FROM paid_ranked
-        JOIN places USING (department_id) JOIN salaries USING (department_id)
-        LEFT JOIN rejects_90 USING (source_system, source_employee_id), last_run
-        WHERE list_contains({listing(V.REPORT_STATUSES)}, state)
-          AND pay >= {V.REPORT_MIN_SALARY} AND service_months >= {V.REPORT_MIN_MONTHS}
-          AND geo_region <> {quote(V.REPORT_REGION_UNKNOWN)}
-          AND coalesce(reject_count, 0) <= {V.REPORT_MAX_REJECTS}""",
+    "employee_report": REPORT,
+    "employee_report_sliced": REPORT,
     "department_dashboard": DASHBOARD + "20",
     "department_dashboard_literal": DASHBOARD + str(V.DASHBOARD_MIN_ACTIVE_PCT),
 }

@@ -16,14 +16,19 @@ def _literal(moment: Clock) -> Column:
 
 
 def today(as_of: Clock = None) -> Column:
-    """`as_of` as a date column; the session's current date when not given."""
-    return F.current_date() if as_of is None else _literal(as_of).cast("date")
+    """`as_of` as a date column; the date of `now` when not given."""
+    return now().cast("date") if as_of is None else _literal(as_of).cast("date")
 
 
 def now(as_of_ts: Clock = None) -> Column:
-    """`as_of_ts` as a zone-free timestamp; the current one when not given."""
-    moment = F.current_timestamp() if as_of_ts is None else _literal(as_of_ts)
-    return moment.cast("timestamp_ntz")
+    """`as_of_ts` as a zone-free timestamp; the current one in UTC when not given.
+
+    Loads stamp their rows in UTC, so reports must count back from UTC as well, in
+    whatever time zone their session is.
+    """
+    if as_of_ts is None:
+        return F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()).cast("timestamp_ntz")
+    return _literal(as_of_ts).cast("timestamp_ntz")
 
 
 def complete_months(start: Column, end: Column) -> Column:

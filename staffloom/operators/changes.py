@@ -47,8 +47,9 @@ def update(
         for name, value in values.items()
     }
     if stamp:
-        old = F.col(stamp) if stamp in types else F.lit(None)
-        changed[stamp] = F.when(hit, now).otherwise(old.cast("timestamp_ntz"))
+        kind = types.get(stamp, "timestamp_ntz")
+        old = F.col(stamp) if stamp in types else F.lit(None).cast(kind)
+        changed[stamp] = F.when(hit, now.cast(kind)).otherwise(old)
     return table.withColumns(changed)
 
 

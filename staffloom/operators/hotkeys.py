@@ -7,19 +7,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staffloom.sources.workspace import planned_bytes
-
-# An input up to this size fits one task whole, hot keys and all.
-ONE_TASK_BYTES = 64 * 1024 * 1024
 # A key below this many rows is left to one task.
 HOT_ROWS = 2_000_000
-# A key holding more than 1/HOT_KEYS of the rows is among the HOT_KEYS most
-# frequent, so a list of this length misses none of them. The tasks are sketched in
-# SKETCH_FAN parts, each naming keys down to 1/PART_KEYS of its rows.
-HOT_KEYS = 1_000
+# The tasks are sketched in SKETCH_FAN parts, each naming its PART_KEYS most frequent
+# keys, or more where more keys than that can be hot, up to what a sketch can hold.
 SKETCH_FAN = 512
-SKETCH_ITEMS = 8_192
-PART_KEYS = 4_096
+PART_KEYS, MOST_PART_KEYS = 4_096, 1 << 18
 
 
 def key_hash(*keys: Column) -> Column:
@@ -35,28 +28,30 @@ def hot_parts(
     A part is meant to hold at most `hot_rows` / 2 rows, so all parts together number
     no more than the rows of the table over that, whatever the skew.
 
-    The rows are counted by a one-pass sketch. Every task fills one of bounded size.
-    Sketches are merged per part of the tasks, so that no task merges those of all
-    others, and their counts are added up; at most `HOT_KEYS` pairs of numbers reach
-    the driver. NULL keys count as a key. The answer steers where rows go, never what
-    the result is, so a key the sketch estimates badly costs time and nothing else.
+    A table of up to `hot_rows` rows has no hot key; rows are counted, not bytes, for
+    alike rows pack into next to nothing. Beyond that the keys are counted by a one-pass
+    sketch. Every task fills one of bounded size. Sketches are merged per part of the
+    tasks, so that no task merges those of all others, and their counts are added up.
+    All keys above `hot_rows` reach the driver as pairs of numbers: no more than rows /
+    `hot_rows` of them. NULL keys count as a key. The answer steers where rows go, never
+    what the result is, so a key the sketch estimates badly costs time and nothing else.
     """
-    if hot_rows >= HOT_ROWS and planned_bytes(df) <= ONE_TASK_BYTES:
+    rows = df.count()
+    if rows <= hot_rows:
         return {}
+    listed = min(max(PART_KEYS, 1 << (2 * rows // hot_rows).bit_length()), MOST_PART_KEYS)
     sketched = (
         df.select(
             key_hash(*keys).alias("h"), (F.spark_partition_id() % SKETCH_FAN).alias("part")
         )
         .groupBy("part")
-        .agg(F.expr(f"approx_top_k(h, {PART_KEYS}, {SKETCH_ITEMS})").alias("top"))
+        .agg(F.expr(f"approx_top_k(h, {listed}, {2 * listed})").alias("top"))
     )
     hot = (
         sketched.select(F.inline("top"))
         .groupBy("item")
         .agg(F.sum("count").alias("rows"))
         .filter(F.col("rows") > hot_rows)
-        .orderBy(F.col("rows").desc())
-        .limit(HOT_KEYS)
     )
     found = hot.agg(F.collect_list(F.struct("item", "rows"))).first()[0]
     return {item: 1 << (2 * rows // hot_rows).bit_length() for item, rows in found}

@@ -15,6 +15,8 @@ from staffloom.sources.workspace import is_broadcastable
 # Rows without a key are scattered over so many values; they have no table rows to
 # repeat, so the number costs nothing.
 NULL_PARTS = 1 << 20
+# A broadcast of so many keys is small whatever their size on disk said.
+SMALL_KEYS = 1_000_000
 
 
 def lookup(
@@ -31,8 +33,9 @@ def lookup(
 
     - A table within the broadcast limit is left to Spark to broadcast; `rows` stay
       where they are.
-    - Rows within the limit have their keys broadcast to cut the table down first;
-      the table is read but not shuffled whole.
+    - Rows within the limit, by size and with at most `SMALL_KEYS` different keys, have
+      their keys broadcast to cut the table down first; the table is read but not
+      shuffled whole.
     - Beyond the limit on both sides the join is salted, see `_salted`.
 
     The planned sizes decide unless the caller has checked and says. Hot keys are
@@ -42,9 +45,11 @@ def lookup(
     if is_broadcastable(table) if small_table is None else small_table:
         return rows.join(table, list(keys), "left")
     if is_broadcastable(rows) if small_rows is None else small_rows:
-        wanted = rows.select(*keys).dropna()
-        table = table.join(F.broadcast(wanted), list(keys), "left_semi")
-        return rows.join(table, list(keys), "left")
+        # Alike rows pack into few bytes: what counts is the number of keys.
+        wanted = rows.select(*keys).dropna().distinct()
+        if wanted.limit(SMALL_KEYS + 1).count() <= SMALL_KEYS:
+            table = table.join(F.broadcast(wanted), list(keys), "left_semi")
+            return rows.join(table, list(keys), "left")
     return _salted(rows, table, keys, spread_by, hot_rows, rows if keys_from is None else keys_from)
 
 

@@ -86,9 +86,10 @@ def rank_in_groups(
     """All rows with `value_rank` and `value_tile` of `value` inside `group`.
 
     `value_rank` is the dense rank by falling value (NULL last), `value_tile` the
-    ntile by rising value (NULL first), ties broken by `key`, which must be unique.
-    When the caller knows no group exceeds `hot_rows`, both come from one shuffle
-    on `group`; otherwise the groups are cut into ranges.
+    ntile by rising value (NULL first), ties broken by `key`; of rows that tie on the
+    key too it is not said which comes first. No group is a group as well. When the
+    caller knows no group exceeds `hot_rows`, both come from one shuffle on `group`;
+    otherwise the groups are cut into ranges. Either way every row comes out once.
     """
     if largest_group is not None and largest_group <= hot_rows:
         falling = Window.partitionBy(group).orderBy(F.col(value).desc())
@@ -96,16 +97,16 @@ def rank_in_groups(
         return df.withColumn("value_rank", F.dense_rank().over(falling)).withColumn(
             "value_tile", F.ntile(tiles).over(rising)
         )
-    ranks = _ranks_by_slices(df.select(group, value, key), group, value, key, ws, tiles)
-    return df.join(ranks, key)
+    return _rank_by_slices(df, group, value, key, ws, tiles)
 
 
-def _ranks_by_slices(df, group, value, key, ws, tiles) -> DataFrame:
-    """`key`, `value_rank`, `value_tile` from ranges of (group, value, key).
+def _rank_by_slices(df, group, value, key, ws, tiles) -> DataFrame:
+    """Ranks from ranges of (group, value, key).
 
     A slice is the part of a group in one range partition. Ranks are counted inside
     slices, then shifted by what the group's earlier slices hold; a value that
-    continues from the previous slice is not counted again.
+    continues from the previous slice is not counted again. The rows themselves are
+    sliced, so nothing has to find them again by key.
     """
     order = [group, value, key]
     ranged = (
@@ -141,7 +142,7 @@ def _ranks_by_slices(df, group, value, key, ws, tiles) -> DataFrame:
     same = F.col(group).eqNullSafe(F.col("_group")) & (F.col("_slice") == F.col("_of"))
     place = F.col("_rows_before") + F.col("_at") - F.col("_start") + 1
     return settled.join(slices, same).select(
-        key,
+        *df.columns,
         (F.col("_group_values") - F.col("_values_before") - F.col("_dense") + 1)
         .cast("int")
         .alias("value_rank"),

@@ -16,11 +16,11 @@ from staffloom.functions import cleaning, rules
 from staffloom.functions.dates import Clock, complete_years, now, today
 from staffloom.operators import changes
 from staffloom.operators.hotkeys import HOT_ROWS
-from staffloom.operators.latest import mark_latest
+from staffloom.operators.latest import latest_overall, mark_latest
 from staffloom.operators.lookup import lookup
 from staffloom.operators.numbering import number_rows
 from staffloom.sources import schemas
-from staffloom.sources.tables import append_to, read_table, replace_parts, write_snapshot
+from staffloom.sources.tables import append_to, read_table, replace_part, write_snapshot
 from staffloom.sources.workspace import Workspace, is_broadcastable
 
 RAW_COLUMNS = (
@@ -400,7 +400,8 @@ class Load:
         hot_rows: int = HOT_ROWS,
     ):
         if as_of_ts is None:
-            # One clock for the whole load: a lazy current_timestamp moves per query.
+            # One clock for the whole load: a lazy current_timestamp moves per query. It is
+            # the reports' clock too, see `now`.
             as_of_ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         self.staging = staging
         self.before = before
@@ -463,6 +464,18 @@ class Load:
             EMPLOYEE_UPDATES,
         )
 
+    @cached_property
+    def counted_departments(self) -> DataFrame:
+        """The next departments snapshot with `employee_count` raised, from 0 where there
+        is none, for every employee the load inserts, as a row trigger would."""
+        came = changes.absent(
+            employee_changes(self.numbered, self.moment), self.before.employees, "employee_id"
+        )
+        had = "employee_count" in self.departments.columns
+        count = F.coalesce("employee_count", F.lit(0)) if had else F.lit(0)
+        counted = self.departments.withColumn("employee_count", count.cast("bigint"))
+        return changes.count_inserted(counted, came)
+
     @cached_property
     def enriched(self) -> DataFrame:
         """The next enriched snapshot."""
@@ -499,10 +512,28 @@ class Load:
         write_snapshot(self.departments, f"{snapshot}/departments", replace=True)
         write_snapshot(self.employees, f"{snapshot}/employees", replace=True)
         write_snapshot(self.enriched, f"{snapshot}/employee_enriched_target", replace=True)
-        replace_parts(self.new_rejects, f"{folder}/etl_employee_rejects", by="run_id")
+        log = f"{folder}/etl_employee_rejects"
+        replace_part(self.new_rejects, log, "run_id", self.run_id)
         append_to(self.audit_row, audit_path)
 
 
+def published(spark: SparkSession, folder: str) -> Tables:
+    """What the newest published run left in `folder`, as the state before the next load.
+
+    Only runs with an audit row are whole. Without any, the tables are empty.
+    """
+    audit = read_table(spark, f"{folder}/etl_run_audit", schemas.RUN_AUDIT)
+    newest = [F.col("finished_at").desc(), F.col("started_at").desc(), F.col("run_id").desc()]
+    run = latest_overall(audit, newest).first()
+    at = f"{folder}/snapshots/{run['run_id']}" if run else f"{folder}/snapshots"
+    return Tables(
+        read_table(spark, f"{at}/employees", schemas.EMPLOYEES),
+        read_table(spark, f"{at}/departments", schemas.DEPARTMENTS),
+        read_table(spark, f"{at}/employee_enriched_target", schemas.ENRICHED),
+        read_table(spark, f"{folder}/etl_employee_rejects", schemas.REJECTS),
+    )
+
+
 # --- read-back -------------------------------------------------------------------
 
 
@@ -515,4 +546,5 @@ def rejects_of(reject_log: DataFrame, run_id: str) -> DataFrame:
 
 
 def newest_enriched_first(enriched: DataFrame) -> DataFrame:
-    return enriched.orderBy(F.col("loaded_at").desc())
+    """A run stamps all its rows with one time, so the id is what spreads them."""
+    return enriched.orderBy(F.col("loaded_at").desc(), "employee_id")

@@ -34,7 +34,7 @@ def active_employees(
             "department_name",
             "hire_date",
         )
-        .orderBy("last_name", "first_name")
+        .orderBy("last_name", "first_name", "employee_id")
     )
 
 
@@ -81,7 +81,7 @@ def high_earners(employees: DataFrame, above: float = V.HIGH_EARNER_SALARY) -> D
     return (
         employees.filter(F.col("salary") > above)
         .select("employee_id", "first_name", "last_name", "salary")
-        .orderBy(F.col("salary").desc())
+        .orderBy(F.col("salary").desc(), "employee_id")
     )
 
 

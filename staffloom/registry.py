@@ -97,11 +97,15 @@ def view_by_name(fx):
 
 
 def _beside_average(people):
-    """Employees beside their department's average, which is aggregated first."""
+    """Employees beside their department's average, which is aggregated first.
+
+    Those without a department are a group too, so the key is boxed: a box is not NULL.
+    """
+    boxed = people.withColumn("_group", F.struct("department_id"))
     averages = Workspace(people.sparkSession).settle(
-        people.groupBy("department_id").agg(F.avg("salary").alias("dept_avg_salary")), "averages"
+        boxed.groupBy("_group").agg(F.avg("salary").alias("dept_avg_salary")), "averages"
     )
-    return lookup(people, averages, ["department_id"], "employee_id")
+    return lookup(boxed, averages, ["_group"], "employee_id").drop("_group")
 
 
 # --- functions and rules -------------------------------------------------------
@@ -244,10 +248,9 @@ def dept_kpis(fx):
     return _measures(fx, Workspace(fx.spark)).withColumn("salary_stddev", spread)
 
 
-@query
-def dept_global_ranks(fx):
+def _global_ranks(fx, **how):
     ws = Workspace(fx.spark)
-    return dashboard.score_departments(_measures(fx, ws), ws).select(
+    return dashboard.score_departments(_measures(fx, ws), ws, **how).select(
         "department_id",
         "rank_by_avg_salary",
         "rank_by_data_rejects",
@@ -258,6 +261,17 @@ def dept_global_ranks(fx):
     )
 
 
+@query
+def dept_global_ranks(fx):
+    return _global_ranks(fx)
+
+
+@query
+def dept_global_ranks_sliced(fx):
+    """The same by ranges of the measures, as for departments beyond one task."""
+    return _global_ranks(fx, hot_rows=1)
+
+
 @query
 def reject_stats(fx):
     return aggregates.recent_rejects(fx.rejects(), _moment(), V.REPORT_REJECT_DAYS)
@@ -431,6 +445,18 @@ def rejects_readback(fx):
     return load.rejects_of(log, RUN_ID).select("reject_id", "rejection_reason")
 
 
+@query
+def run_readback(fx):
+    """One run of the audit."""
+    return load.run_audit_of(fx.audit(), "run-2024-01-03")
+
+
+@query
+def target_readback(fx):
+    """The enriched table, newest load first."""
+    return load.newest_enriched_first(fx.enriched())
+
+
 # --- departments and resolution ------------------------------------------------
 
 
@@ -477,6 +503,28 @@ def employees_upsert(fx):
     return _loaded(fx).employees
 
 
+@query
+def second_load_employees(fx):
+    """The batch loaded again on what its first load published, read from files.
+
+    Records without an e-mail, which would be new each time, come with a bad one, so
+    the second load changes nothing.
+    """
+    ws = Workspace(fx.spark)
+    first = _loaded(fx, final_status="SUCCESS", ws=ws)
+    folder = f"{ws.root}/published"
+    first.publish(folder)
+    staging = fx.staging().withColumn("email", F.coalesce("email", F.lit("no mail")))
+    before = load.published(fx.spark, folder)
+    return load.Load(staging, before, "second", AS_OF, AS_OF_TS, ws=ws).employees
+
+
+@query
+def load_counters(fx):
+    """Departments after the load, inserted employees counted."""
+    return _loaded(fx).counted_departments
+
+
 @query
 def target_upsert(fx):
     return _loaded(fx).enriched
@@ -570,6 +618,13 @@ def batch_hire(fx):
     return changes.hire(fx.employees(), fx.hires(), ["email"], _day(), _moment(), ws)
 
 
+@query
+def employees_after_hire(fx):
+    """The employees table with the batch of hires in it."""
+    added = changes.hire(fx.employees(), fx.hires(), ["email"], _day(), _moment(), Workspace(fx.spark))
+    return tables.append_rows(fx.employees(), added, schemas.EMPLOYEES)
+
+
 @query
 def salary_change(fx):
     return changes.change_salaries(fx.employees(), fx.changes())
@@ -635,11 +690,17 @@ def check_nulls(fx):
 
 @query
 def check_orphans(fx):
-    """Rejects of employees the employee table does not have."""
+    """Salary changes of employees the employee table does not have."""
     rows = fx.changes()
     return checks.orphans(rows, "employee_id", fx.employees(), "employee_id")
 
 
+@query
+def check_foreign_key(fx):
+    """Employees whose department, where they have one, the departments do not hold."""
+    return checks.orphans(fx.employees(), "department_id", fx.departments(), "department_id")
+
+
 @query
 def check_lengths(fx):
     limits = {"first_name": 3, "last_name": 17, "email": 15, "status": 7}
@@ -683,6 +744,14 @@ def employee_report(fx):
     return report.employee_report(*_report_tables(fx), Workspace(fx.spark), AS_OF, AS_OF_TS)
 
 
+@query
+def employee_report_sliced(fx):
+    """The same over ranges of the departments, hot keys spread."""
+    return report.employee_report(
+        *_report_tables(fx), Workspace(fx.spark), AS_OF, AS_OF_TS, hot_rows=10
+    )
+
+
 @query
 def department_dashboard(fx):
     return dashboard.department_dashboard(

@@ -18,6 +18,7 @@ AS_OF_TS = "2024-01-31 00:00:00"
 RUN_ID = "run-under-test"
 # Employees whose order is older were there before the load.
 KNOWN_BEFORE = "1998-06-01"
+UNKNOWN_DEPARTMENT = 99
 
 
 class Fixtures:
@@ -61,7 +62,12 @@ class Fixtures:
             F.date_sub(F.col("o_orderdate").cast("date"), (k % 3 * 1826).cast("int"))
             .alias("hire_date"),
             F.col("o_totalprice").cast("decimal(10,2)").alias("salary"),
-            F.col("c_nationkey").cast("bigint").alias("department_id"),
+            # Some have no department, some one that does not exist.
+            F.when(k % 211 == 0, F.lit(None))
+            .when(k % 223 == 0, F.lit(UNKNOWN_DEPARTMENT))
+            .otherwise(F.col("c_nationkey"))
+            .cast("bigint")
+            .alias("department_id"),
             status.otherwise("On Leave").alias("status"),
             F.col("o_orderdate").alias("created_at"),
             "o_custkey",
@@ -75,12 +81,12 @@ class Fixtures:
         return self.employees().filter(F.col("created_at") < F.lit(KNOWN_BEFORE).cast("date"))
 
     def enriched(self) -> DataFrame:
-        """Two versions per employee; none for orders of the lowest priority."""
+        """Two versions per order. Those of the lowest priority are enriched under an id
+        that no employee has, so some employees find none."""
         named = self.departments().select("department_id", "department_name")
         base = (
             self._employees()
-            .filter(F.col("o_orderpriority") != "5-LOW")
-            .join(named, "department_id")
+            .join(named, "department_id", "left")
             .withColumn("v", F.explode(F.array(F.lit(0), F.lit(1))))
         )
         salary = F.col("salary") * (100 + F.col("v") * 5) / 100
@@ -91,11 +97,13 @@ class Fixtures:
             }
         )
         return base.select(
-            "employee_id",
+            F.when(F.col("o_orderpriority") == "5-LOW", -F.col("employee_id"))
+            .otherwise(F.col("employee_id"))
+            .alias("employee_id"),
             F.concat("first_name", F.lit(" "), "last_name").alias("full_name"),
             F.col("email").alias("normalized_email"),
             "department_id",
-            "department_name",
+            F.coalesce("department_name", F.lit("Nowhere")).alias("department_name"),
             F.col("status").alias("standardized_status"),
             "salary",
             rules.salary_band(F.col("salary")).alias("salary_band"),
@@ -111,8 +119,8 @@ class Fixtures:
         )
 
     def rejects(self) -> DataFrame:
-        """Every error event as a reject; four source records per user."""
-        record = F.col("user_id") * 4 + F.col("event_id") % 4
+        """Every event as a reject, its type in the reason; many source records per user."""
+        record = F.col("user_id") * 32 + F.col("event_id") % 32
         reasons = F.array(
             F.lit("Invalid email format"),
             F.lit("Invalid salary format"),
@@ -120,15 +128,14 @@ class Fixtures:
         )
         return (
             self.table("events")
-            .filter(F.col("event_type") == "error")
             .select(
                 F.col("event_id").alias("reject_id"),
                 F.lit("run-0").alias("run_id"),
                 F.concat(F.lit("sys"), (record % 2).cast("string")).alias("source_system"),
                 record.cast("string").alias("source_employee_id"),
-                F.element_at(reasons, (F.col("event_id") % 3 + 1).cast("int")).alias(
-                    "rejection_reason"
-                ),
+                F.when(F.col("event_type") == "error", F.lit("Unknown rejection"))
+                .otherwise(F.element_at(reasons, (F.col("event_id") % 3 + 1).cast("int")))
+                .alias("rejection_reason"),
                 F.col("ts").alias("rejected_at"),
             )
         )
@@ -205,15 +212,11 @@ class Fixtures:
         )
 
     def changes(self) -> DataFrame:
-        """Purchases as salary changes, several per employee, some to unknown ones."""
-        return (
-            self.table("events")
-            .filter(F.col("event_type") == "purchase")
-            .select(
-                (F.col("user_id") * 3 - 20).alias("employee_id"),
-                F.col("value").cast("decimal(10,2)").alias("new_salary"),
-                F.col("event_id").alias("change_seq"),
-            )
+        """Events as salary changes, several per employee, some to unknown ones."""
+        return self.table("events").select(
+            (F.col("user_id") * 3 - 20).alias("employee_id"),
+            F.col("value").cast("decimal(10,2)").alias("new_salary"),
+            F.col("event_id").alias("change_seq"),
         )
 
     def hires(self) -> DataFrame:

@@ -59,14 +59,18 @@ def append_to(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def replace_parts(df: DataFrame, path: str, by: str) -> None:
-    """Write to a log table kept in one folder per value of `by`.
+# Characters that a partition folder's name holds as %XX.
+_ESCAPED = frozenset('"#%\'*/:=?\\{[]^\x7f') | {chr(i) for i in range(1, 32)}
 
-    The folders of the values in `df` are replaced, the others left alone, so that
+
+def replace_part(df: DataFrame, path: str, by: str, value: str) -> None:
+    """Write the rows of one `value` to a log table kept in one folder per value of `by`.
+
+    That folder is replaced, also by no rows at all; the others are left alone, so
     writing the same rows again does not double them.
     """
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(by).parquet(path)
+    folder = "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in value)
+    df.drop(by).write.mode("overwrite").parquet(f"{path}/{by}={folder}")
 
 
 def publish_view(df: DataFrame, name: str) -> DataFrame:

@@ -46,7 +46,11 @@ class Workspace:
 
 
 def planned_bytes(df: DataFrame) -> int:
-    """Catalyst's size of `df`: exact for a scan, an upper estimate above joins."""
+    """Catalyst's size of `df`: compressed bytes for a scan, a product above joins.
+
+    It says nothing on the number of rows. Like `broadcast_limit` it reads the classic
+    session's own objects, so the library does not run over Spark Connect.
+    """
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 

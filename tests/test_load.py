@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows_of
+from staffloom import fixedvalues as V
 from staffloom.plans import load
 from staffloom.sources import schemas, tables
 from staffloom.sources.fixtures import AS_OF, AS_OF_TS, RUN_ID, Fixtures
@@ -281,6 +282,40 @@ def test_publish_and_read_back(spark, tmp_path):
         run(spark, staging).publish(folder)
 
 
+def test_a_second_load_reads_what_the_first_published(spark, tmp_path):
+    folder = str(tmp_path)
+    nothing = load.published(spark, folder)
+    assert nothing.employees.isEmpty() and nothing.departments.isEmpty()
+    staging = staged(spark, {"n": 1, "email": "one@x.com"}, {"n": 2, "salary_raw": "x"})
+    run(spark, staging, nothing).publish(folder)
+    before = load.published(spark, folder)
+    assert before.employees.count() == 1 and before.rejects.count() == 1
+    again = load.Load(staging, before, "r2", "2024-01-01", "2024-02-01 00:00:00")
+    again.publish(folder)
+    after = load.published(spark, folder)
+    assert [r.employee_id for r in after.employees.collect()] == [1]
+    assert {r.etl_run_id for r in after.enriched.collect()} == {"r2"}
+    assert sorted(r.reject_id for r in after.rejects.collect()) == [1, 2]
+
+
+def test_a_repeated_publish_without_rejects_clears_them(spark, tmp_path):
+    path = f"{tmp_path}/log"
+    rows = tables.literal_rows(spark, schemas.REJECTS, [{"reject_id": 1, "run_id": "a:b/c", "rejection_reason": "x", "rejected_at": MORNING}])
+    tables.replace_part(rows, path, "run_id", "a:b/c")
+    tables.replace_part(rows.withColumn("run_id", F.lit("d")), path, "run_id", "d")
+    read = tables.read_table(spark, path, schemas.REJECTS)
+    assert sorted(r.run_id for r in read.collect()) == ["a:b/c", "d"]
+    tables.replace_part(rows.limit(0), path, "run_id", "a:b/c")
+    assert [r.run_id for r in tables.read_table(spark, path, schemas.REJECTS).collect()] == ["d"]
+
+
+def test_inserted_employees_are_counted(spark):
+    tables_before = before(spark, employees=((7, "seven@x.com"),))
+    staging = staged(spark, {"n": 1, "email": "seven@x.com"}, {"n": 2}, {"n": 3})
+    counted = run(spark, staging, tables_before).counted_departments
+    assert sum(r.employee_count for r in counted.collect()) == 2 * V.COUNTER_STEP
+
+
 def test_a_broken_publish_is_repeated(spark, tmp_path, monkeypatch):
     staging = staged(spark, {"n": 1}, {"n": 2, "salary_raw": "x"})
     folder = str(tmp_path)
@@ -290,10 +325,10 @@ def test_a_broken_publish_is_repeated(spark, tmp_path, monkeypatch):
         [{"reject_id": 1, "run_id": "007", "rejection_reason": "x", "rejected_at": MORNING}],
     )
     alone = f"{folder}/alone"
-    tables.replace_parts(other, alone, by="run_id")
+    tables.replace_part(other, alone, "run_id", "007")
     read = tables.read_table(spark, alone, schemas.REJECTS)
     assert [r.run_id for r in load.rejects_of(read, "007").collect()] == ["007"]
-    tables.replace_parts(other, f"{folder}/etl_employee_rejects", by="run_id")
+    tables.replace_part(other, f"{folder}/etl_employee_rejects", "run_id", "007")
 
     def lost(*_):
         raise RuntimeError("lost before the audit row")

@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 from conftest import rows_of
 from staffloom.functions.dates import now, today
 from staffloom.operators import aggregates, changes, checks, evolve
+from staffloom.operators.aggregates import rank_departments
 from staffloom.operators.hotkeys import hot_parts, parts_of
 from staffloom.operators.latest import latest_overall, latest_per_key, mark_latest
 from staffloom.operators.lookup import lookup
 from staffloom.operators.numbering import number_rows, previous_in_order, rank_in_groups
+from staffloom.plans import load, views
 from staffloom.sources import schemas, tables
 from staffloom.sources.workspace import is_broadcastable, planned_bytes
 
@@ -107,6 +109,97 @@ def test_rank_in_groups_by_ranges_equals_one_window(spark, ws, tiles):
     assert rows_of(by_ranges) == rows_of(by_window)
 
 
+def test_ranking_keeps_rows_without_group_or_key(spark, ws):
+    """NULL groups, NULL keys and repeated keys come out once each, whichever way."""
+    data = [(1, None, 5), (1, None, 7), (None, 1, 3), (None, 1, 3), (2, 1, 9), (2, 1, 9), (3, 2, None)]
+    df = spark.createDataFrame(data, "id long, g int, v int")
+    by_ranges = rank_in_groups(df, "g", "v", "id", ws)
+    by_window = rank_in_groups(df, "g", "v", "id", ws, largest_group=4)
+    assert rows_of(by_ranges) == rows_of(by_window)
+    assert by_ranges.count() == len(data)
+
+
+def test_global_ranks_keep_those_without_a_department(spark, ws):
+    rows = [(None, 10.0, 1, 5.0), (1, 20.0, 3, 5.0), (2, 20.0, 2, None)]
+    df = spark.createDataFrame(
+        rows, "department_id long, avg_salary double, total_rejects long, active_ratio_pct double"
+    )
+    assert rows_of(rank_departments(df, ws, hot_rows=1)) == rows_of(rank_departments(df, ws))
+
+
+def test_hot_keys_hide_in_few_bytes(spark, ws):
+    """Millions of alike rows pack into next to nothing; they are found all the same."""
+    alike = spark.range(3_000_000).select(F.lit("k").alias("k"))
+    settled = ws.settle(alike, "alike")
+    assert planned_bytes(settled) < 1_000_000
+    assert [*hot_parts(settled, [F.col("k")]).values()] == [4]
+    assert hot_parts(settled, [F.col("k")], hot_rows=3_000_000) == {}
+
+
+def test_hot_keys_beyond_a_thousand(spark):
+    many = spark.range(36_000).select((F.col("id") % 1_200).alias("k"))
+    assert len(hot_parts(many, [F.col("k")], hot_rows=20)) == 1_200
+
+
+def test_lookup_broadcasts_few_keys_only(spark, ws, monkeypatch):
+    from staffloom.operators import lookup as module
+
+    monkeypatch.setattr(module, "SMALL_KEYS", 10)
+    table = ws.settle(spark.range(1_000).select(F.col("id").alias("k"), F.lit(1).alias("x")), "t")
+    for keys, hinted in ((10, True), (11, False)):
+        rows = spark.range(5_000).select("id", (F.col("id") % keys).alias("k"))
+        found = lookup(rows, table, ["k"], "id", small_rows=True, small_table=False)
+        plan = found._jdf.queryExecution().logical().toString()
+        assert ("broadcast" in plan) is hinted
+        assert found.filter("x = 1").count() == 5_000
+
+
+def test_a_stamp_keeps_its_type(spark):
+    table = spark.createDataFrame([(1, None), (2, None)], "id int, at date")
+    out = changes.update(table, F.col("id") == 1, {}, stamp="at", now=F.lit("2024-01-02 03:04:05").cast("timestamp_ntz"))
+    assert out.schema["at"].dataType.simpleString() == "date"
+    assert sorted(map(str, (r.at for r in out.collect()))) == ["2024-01-02", "None"]
+
+
+def test_one_clock_in_any_time_zone(spark):
+    import datetime as dt
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for name in ("America/Los_Angeles", "Asia/Tokyo", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            seen = spark.range(1).select(now().alias("t"), today().alias("d")).first()
+            apart = seen.t - dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+            assert abs(apart.total_seconds()) < 60 and seen.d == seen.t.date()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_sorted_results_are_in_order(spark):
+    people = spark.createDataFrame(
+        [(i, f"f{i % 3}", f"l{i % 5}", 50_000 + i % 4 * 10_000, 1, "Active") for i in range(200)],
+        "employee_id long, first_name string, last_name string, salary int, department_id int, status string",
+    ).withColumns({"email": F.lit("e"), "hire_date": F.lit("2020-01-01").cast("date")})
+    rich = [(-r.salary, r.employee_id) for r in views.high_earners(people, 50_000).collect()]
+    assert rich == sorted(rich) and len(rich) == 150
+    places = spark.createDataFrame([(1, "Ops")], "department_id int, department_name string")
+    active = views.active_employees(people, places, "Active").collect()
+    named = [(r.last_name, r.first_name, r.employee_id) for r in active]
+    assert named == sorted(named) and len(named) == 200
+
+
+def test_one_run_sorts_into_several_partitions(spark):
+    rows = spark.range(200_000).select(
+        F.col("id").alias("employee_id"), F.lit("2024-01-01").cast("timestamp_ntz").alias("loaded_at")
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = load.newest_enriched_first(rows).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(out) > 1
+
+
 def test_previous_in_order(skewed, ws):
     df = skewed.filter("k IS NOT NULL").select("k", "id", "s")
     got = previous_in_order(df, "k", "id", "s", "before", ws)

@@ -81,6 +81,8 @@ def test_no_python_rows_and_no_whole_results_on_the_driver():
         r"|foreachPartition"
     )
     for path in LIBRARY.rglob("*.py"):
+        if "llm" in path.parts:  # text operators choose their style, see their own tests
+            continue
         hit = banned.search(path.read_text())
         assert hit is None, f"{path}: {hit.group()}"
 
