@@ -156,7 +156,7 @@ def limits(rows: DataFrame, ws: Workspace) -> DataFrame:
     )
     own = own.withColumnsRenamed({"lang": "gl", "source": "gs"})
     wider = wider.withColumnRenamed("lang", "wl")
-    each = groups.crossJoin(F.broadcast(_signals(rows)))
+    each = groups.withColumn("signal", F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1))))
     met = (
         each.join(
             own,
@@ -189,10 +189,6 @@ def limits(rows: DataFrame, ws: Workspace) -> DataFrame:
     )
 
 
-def _signals(rows: DataFrame) -> DataFrame:
-    return rows.sparkSession.range(len(SIGNALS)).select(F.col("id").cast("int").alias("signal"))
-
-
 def _quartiles(sketch: DataFrame, keys: list[str], prefix: str) -> DataFrame:
     """Count and both quartiles of every sketch: the floor of the bin that holds them."""
     of = Window.partitionBy(*keys, "signal")
