@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from staffloom import fixedvalues as V
@@ -19,6 +19,9 @@ from staffloom.operators.numbering import number_rows, previous_in_order
 from staffloom.sources import schemas
 from staffloom.sources.workspace import Workspace, is_broadcastable
 
+# So many rows are numbered in one task.
+FEW_ROWS = 100_000
+
 
 def holds(predicate: Column) -> Column:
     """Whether the predicate is true: NULL counts as not."""
@@ -182,9 +185,18 @@ def unseen_departments(names: DataFrame, departments: DataFrame) -> DataFrame:
 
 
 def discover_departments(names: DataFrame, departments: DataFrame, ws: Workspace) -> DataFrame:
-    """New department rows, numbered by name after the highest id in use."""
-    unseen = unseen_departments(names, departments)
-    numbered = append_ids(departments, unseen, "department_id", ["department_name"], ws)
+    """New department rows, numbered by name after the highest id in use.
+
+    New names are few as a rule; up to `FEW_ROWS` of them are numbered in one task, more
+    by ranges.
+    """
+    unseen = ws.settle(unseen_departments(names, departments), "unseen")
+    if unseen.count() <= FEW_ROWS:
+        top = highest_id(departments, "department_id", "_top")
+        place = F.row_number().over(Window.orderBy("department_name")).cast("bigint")
+        numbered = with_one_row(unseen, top).withColumn("department_id", F.col("_top") + place)
+    else:
+        numbered = append_ids(departments, unseen, "department_id", ["department_name"], ws)
     return schemas.DEPARTMENTS.conform(
         numbered.withColumn("location", F.lit(V.DISCOVERED_LOCATION))
     )

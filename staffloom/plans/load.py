@@ -479,7 +479,9 @@ class Load:
     @cached_property
     def enriched(self) -> DataFrame:
         """The next enriched snapshot."""
-        rows = enriched_changes(self.final, self.run_id, self.moment)
+        # Read once for new employees and once for known ones.
+        final = self.ws.settle(self.final, "final")
+        rows = enriched_changes(final, self.run_id, self.moment)
         return changes.upsert(
             schemas.ENRICHED.complete(self.before.enriched, self.moment),
             self._incoming(rows, "enriched-changes"),

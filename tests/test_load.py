@@ -309,6 +309,14 @@ def test_a_repeated_publish_without_rejects_clears_them(spark, tmp_path):
     assert [r.run_id for r in tables.read_table(spark, path, schemas.REJECTS).collect()] == ["d"]
 
 
+def test_few_and_many_new_departments_get_the_same_ids(spark, ws, monkeypatch):
+    known = before(spark).departments
+    names = spark.createDataFrame([(f"New {i % 30}",) for i in range(90)] + [(None,)], "department_name string")
+    few = rows_of(load.changes.discover_departments(names, known, ws))
+    monkeypatch.setattr(load.changes, "FEW_ROWS", 0)
+    assert rows_of(load.changes.discover_departments(names, known, ws)) == few and len(few) == 30
+
+
 def test_inserted_employees_are_counted(spark):
     tables_before = before(spark, employees=((7, "seven@x.com"),))
     staging = staged(spark, {"n": 1, "email": "seven@x.com"}, {"n": 2}, {"n": 3})
