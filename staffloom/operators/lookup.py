@@ -47,7 +47,7 @@ def lookup(
     if is_broadcastable(rows) if small_rows is None else small_rows:
         # Alike rows pack into few bytes: what counts is the number of keys.
         wanted = rows.select(*keys).dropna().distinct()
-        if wanted.limit(SMALL_KEYS + 1).count() <= SMALL_KEYS:
+        if small_rows or wanted.limit(SMALL_KEYS + 1).count() <= SMALL_KEYS:
             table = table.join(F.broadcast(wanted), list(keys), "left_semi")
             return rows.join(table, list(keys), "left")
     return _salted(rows, table, keys, spread_by, hot_rows, rows if keys_from is None else keys_from)

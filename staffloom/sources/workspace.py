@@ -25,7 +25,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="staffloom-"))
     return context.getCheckpointDir()

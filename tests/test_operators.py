@@ -148,7 +148,7 @@ def test_lookup_broadcasts_few_keys_only(spark, ws, monkeypatch):
     table = ws.settle(spark.range(1_000).select(F.col("id").alias("k"), F.lit(1).alias("x")), "t")
     for keys, hinted in ((10, True), (11, False)):
         rows = spark.range(5_000).select("id", (F.col("id") % keys).alias("k"))
-        found = lookup(rows, table, ["k"], "id", small_rows=True, small_table=False)
+        found = lookup(rows, table, ["k"], "id", small_table=False)
         plan = found._jdf.queryExecution().logical().toString()
         assert ("broadcast" in plan) is hinted
         assert found.filter("x = 1").count() == 5_000
