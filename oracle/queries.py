@@ -654,6 +654,12 @@ QUERIES: dict[str, str] = {
         FROM fx_employees LEFT JOIN (
             SELECT employee_id, arg_max(new_salary, change_seq) AS new_salary
             FROM fx_changes GROUP BY 1) USING (employee_id)""",
+    "salary_change_stamped": f"""
+        SELECT e.employee_id, coalesce(new_salary, salary) AS salary,
+               CASE WHEN c.employee_id IS NOT NULL THEN {AS_OF_TS} END AS updated_at
+        FROM fx_employees e LEFT JOIN (
+            SELECT employee_id, arg_max(new_salary, change_seq) AS new_salary
+            FROM fx_changes GROUP BY 1) c ON c.employee_id = e.employee_id""",
     "salary_audit": f"""
         SELECT c.employee_id, CASE WHEN e.employee_id IS NOT NULL THEN coalesce(
                    lag(new_salary) OVER (PARTITION BY c.employee_id ORDER BY change_seq), salary)

@@ -254,19 +254,22 @@ def salary_log(
 
 
 def change_salaries(
-    employees: DataFrame, changes: DataFrame, seq: str = "change_seq"
+    employees: DataFrame,
+    changes: DataFrame,
+    seq: str = "change_seq",
+    stamp: str | None = None,
+    now: Column | None = None,
 ) -> DataFrame:
-    """Employees after the batch: the last change of each employee holds."""
+    """Employees after the batch: the last change of each employee holds.
+
+    `stamp` names a column that gets `now` on every employee that was changed, as a row
+    trigger would set it; it is added when the table has none.
+    """
     last = latest_per_key(changes, ["employee_id"], [F.col(seq).desc()]).select(
         "employee_id", F.struct(F.col("new_salary").alias("value")).alias("_to")
     )
-    return (
-        employees.join(last, "employee_id", "left")
-        .withColumn(
-            "salary",
-            F.when(F.col("_to").isNotNull(), F.col("_to.value"))
-            .otherwise(F.col("salary"))
-            .cast(schemas.MONEY),
-        )
-        .select(*employees.columns)
-    )
+    met = employees.join(last, "employee_id", "left")
+    paid = {"salary": F.col("_to.value")}
+    changed = update(met, F.col("_to").isNotNull(), paid, stamp, now)
+    columns = [*employees.columns, *([stamp] if stamp and stamp not in employees.columns else [])]
+    return changed.withColumn("salary", F.col("salary").cast(schemas.MONEY)).select(*columns)

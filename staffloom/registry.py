@@ -630,6 +630,15 @@ def salary_change(fx):
     return changes.change_salaries(fx.employees(), fx.changes())
 
 
+@query
+def salary_change_stamped(fx):
+    """The same with the changed employees stamped."""
+    changed = changes.change_salaries(
+        fx.employees(), fx.changes(), stamp="updated_at", now=_moment()
+    )
+    return changed.select("employee_id", "salary", "updated_at")
+
+
 @query
 def salary_audit(fx):
     return changes.salary_log(fx.employees(), fx.changes(), _moment(), Workspace(fx.spark))
