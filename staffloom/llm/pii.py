@@ -108,6 +108,13 @@ def _contexts(scanned: DataFrame) -> DataFrame:
     )
 
 
+def _tells(n_word: Column, discloses: float) -> Column:
+    """Whether a word in `n_word` texts tells enough of the entity; the more, the less."""
+    told = F.log2(F.col("texts") * F.col("both") / (n_word * F.col("n_entity")))
+    content = F.log2(F.col("texts") / F.col("n_entity"))
+    return (content > 0) & (told >= discloses * content)
+
+
 def disclosing(
     scanned: DataFrame,
     df: DataFrame,
@@ -122,14 +129,23 @@ def disclosing(
     pairs = contexts.select(
         "h", "entity", F.xxhash64("near").alias("c"), F.explode(F.array_distinct("near")).alias("word")
     )
-    pairs = (
+    pairs = ws.settle(pairs, "near")
+    texts = scanned.select("h").distinct().agg(F.count("h").alias("texts"))
+    of_entity = contexts.groupBy("entity").agg(F.count_distinct("h").alias("n_entity"))
+    # A word is in no fewer texts than it is near entities in. Pairs that even this number
+    # rules out, as it does common words, are dropped before the corpus is searched.
+    near = pairs.groupBy("word").agg(F.count_distinct("h").alias("n_near"))
+    seen = (
         pairs.groupBy("word", "entity")
         .agg(F.count_distinct("c").alias("seen"), F.count_distinct("h").alias("both"))
         .filter(F.col("seen") >= witnesses)
-        .drop("seen")
+        .join(near, "word")
+        .join(of_entity, "entity")
+        .join(F.broadcast(texts), F.lit(True))
+        .filter(_tells(F.col("n_near"), discloses))
     )
-    pairs = ws.settle(pairs, "pairs")
-    wanted = ws.settle(pairs.select("word").distinct(), "words")
+    seen = ws.settle(seen.select("word", "both", "n_entity", "texts"), "pairs")
+    wanted = ws.settle(seen.select("word").distinct(), "words")
     held = (
         _rows(df, key, text)
         .select("h", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("word"))
@@ -137,15 +153,8 @@ def disclosing(
         .distinct()
     )
     held = ws.settle(held, "held")
-    texts = scanned.select("h").distinct().agg(F.count("h").alias("texts"))
     of_word = held.groupBy("word").agg(F.count("h").alias("n_word"))
-    of_entity = contexts.groupBy("entity").agg(F.count_distinct("h").alias("n_entity"))
-    counted = (
-        pairs.join(of_word, "word").join(of_entity, "entity").join(F.broadcast(texts), F.lit(True))
-    )
-    told = F.log2(F.col("texts") * F.col("both") / (F.col("n_word") * F.col("n_entity")))
-    content = F.log2(F.col("texts") / F.col("n_entity"))
-    words = counted.filter((content > 0) & (told >= discloses * content)).select("word").distinct()
+    words = seen.join(of_word, "word").filter(_tells(F.col("n_word"), discloses)).select("word").distinct()
     # Of one text; a text holds no more of them than words.
     listed = held.join(words, "word").groupBy("h").agg(F.array_sort(F.collect_set("word")).alias("words"))
     return listed.select(
