@@ -204,3 +204,89 @@ def sanitised(df: DataFrame, ws: Workspace, key: str = "doc_id", text: str = "te
     none = F.array().cast(marks.schema["marks"].dataType)
     clean = replaced(F.col("text"), F.coalesce("marks", none), by)
     return joined.select(F.col("key").alias(key), clean.alias(text))
+
+
+def _sql() -> str:
+    """The same in SQL, for unique keys."""
+    digits = "regexp_replace(hit, '[^0-9]', '', 'g')"
+    octet = r"(0*([0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5]))"
+    figure = f"substr(reverse({digits}), j, 1)::INT"
+    luhn = (
+        f"list_sum(list_transform(range(1, length({digits}) + 1), lambda j: CASE WHEN j % 2 = 1 THEN {figure}"
+        f" WHEN {figure} > 4 THEN 2 * {figure} - 9 ELSE 2 * {figure} END)) % 10 = 0"
+    )
+    shapes = {
+        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
+        "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", rf"regexp_full_match(hit, '{octet}(\.{octet}){{3}}')"),
+        "card": (
+            r"[0-9]([\x20-]?[0-9])+",
+            f"CASE WHEN length({digits}) BETWEEN 12 AND {CARD_MOST} THEN {luhn} ELSE false END",
+        ),
+        "phone": (PHONE, f"length({digits}) BETWEEN {PHONE_DIGITS[0]} AND {PHONE_DIGITS[1]}"),
+    }
+
+    def places(shape: str, source: str) -> str:
+        return f"""
+  SELECT doc_id, hit, "right"(gap, {AROUND}) AS before, "left"(next, {AROUND}) AS after,
+    (sum(length(gap)) OVER w + sum(length(hit)) OVER w - length(hit))::BIGINT AS start
+  FROM (SELECT doc_id, unnest(hits) AS hit, unnest(gaps[:len(hits)]) AS gap, unnest(gaps[2:]) AS next,
+          generate_subscripts(hits, 1) AS i
+        FROM (SELECT doc_id, regexp_extract_all(text, '{shape}') AS hits, string_split_regex(text, '{shape}') AS gaps
+              FROM {source}) WHERE len(hits) > 0)
+  WINDOW w AS (PARTITION BY doc_id ORDER BY i)"""
+
+    base = " UNION ALL ".join(
+        f"SELECT {n} AS n, '{kind}' AS kind, * FROM ({places(shape, 'texts')}) WHERE {test}"
+        for n, (kind, (shape, test)) in enumerate(shapes.items())
+    )
+    word = WORD
+    tells = (
+        "log2(texts / n_entity) > 0 AND log2(texts * shared / (n_word * n_entity))"
+        f" >= {DISCLOSES} * log2(texts / n_entity)"
+    )
+    return rf"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+base AS ({base}),
+contexts AS (
+  SELECT t.text, concat_ws(':', kind, CASE WHEN kind IN ('card', 'phone') THEN {digits} ELSE lower(hit) END) AS entity,
+    regexp_extract_all(lower(CASE WHEN length(before) < {AROUND} THEN before
+      ELSE regexp_replace(before, '^[\p{{L}}\p{{M}}]+', '') END), '{word}') AS l,
+    regexp_extract_all(lower(CASE WHEN length(after) < {AROUND} THEN after
+      ELSE regexp_replace(after, '[\p{{L}}\p{{M}}]+$', '') END), '{word}') AS r
+  FROM base JOIN texts t USING (doc_id)),
+near AS (SELECT text, entity, list_concat(l[-{NEAR_WORDS}:], r[:{NEAR_WORDS}]) AS words FROM contexts),
+pairs AS (
+  SELECT word, entity, count(DISTINCT text)::DOUBLE AS shared FROM (
+    SELECT text, entity, words, unnest(list_distinct(words)) AS word FROM near)
+  GROUP BY word, entity HAVING count(DISTINCT words) >= {WITNESSES}),
+entities AS (SELECT entity, count(DISTINCT text)::DOUBLE AS n_entity FROM near GROUP BY entity),
+held AS (
+  SELECT DISTINCT text, word FROM (
+    SELECT text, unnest(list_distinct(regexp_extract_all(lower(text), '{word}'))) AS word FROM texts)
+  WHERE word IN (SELECT word FROM pairs)),
+counts AS (SELECT word, count(*)::DOUBLE AS n_word FROM held GROUP BY word),
+telling AS (
+  SELECT DISTINCT word FROM pairs JOIN counts USING (word) JOIN entities USING (entity),
+    (SELECT count(DISTINCT text)::DOUBLE AS texts FROM texts)
+  WHERE {tells}),
+holders AS (
+  SELECT doc_id, text FROM texts WHERE text IN (SELECT text FROM held WHERE word IN (SELECT word FROM telling))),
+terms AS (
+  SELECT {len(KINDS)} AS n, '{TERM}' AS kind, * FROM ({places(r"[\p{L}\p{M}]+", "holders")})
+  WHERE lower(hit) IN (SELECT word FROM telling)),
+marks AS (
+  SELECT doc_id, n, start, concat_ws(':', kind, start, start + length(hit)) AS mark
+  FROM (SELECT * FROM base UNION ALL SELECT * FROM terms)),
+rows AS (
+  SELECT doc_id, count(*) FILTER (n = 0) AS n_email, count(*) FILTER (n = 1) AS n_ip,
+    count(*) FILTER (n = 2) AS n_card, count(*) FILTER (n = 3) AS n_phone,
+    string_agg(mark, ',' ORDER BY start, n) FILTER (n < {len(KINDS)}) AS base, string_agg(mark, ',' ORDER BY start, n) AS spans
+  FROM marks GROUP BY doc_id)
+SELECT doc_id, coalesce(n_email, 0)::BIGINT AS n_email, coalesce(n_ip, 0)::BIGINT AS n_ip,
+  coalesce(n_card, 0)::BIGINT AS n_card, coalesce(n_phone, 0)::BIGINT AS n_phone,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN rows USING (doc_id)
+"""
+
+
+SQL = _sql()

@@ -56,6 +56,9 @@ def op4_pii(spark, folder):
     return pii.report(documents(spark, folder), Workspace(spark))
 
 
+SQL["op4_pii"] = pii.SQL
+
+
 @query
 def op5_syncmer_fingerprints(spark, folder):
     return syncmers.compared(documents(spark, folder))
