@@ -40,6 +40,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_PAGES = 250
+# Elements that are judged together.
+AT_ONCE = 4_000
 TREES, DEPTH, RATE, LEAST_LEAF, CUTS = 80, 3, 0.1, 30, 32
 
 # Fixed values of HTML: elements without content, without text, and those in a line.
@@ -404,9 +406,32 @@ def block_text(nodes: list[Node], kept: np.ndarray) -> str:
     return "\n".join(b for b in clean if b)
 
 
+def main_texts(pages: list[str | None], forest: Forest) -> list[str]:
+    """The text of each page; the trees judge the elements of many pages at once."""
+    texts: list[str] = []
+    waiting: list[list[Node]] = []
+    elements = 0
+
+    def judge() -> None:
+        if waiting:
+            margin = forest.margin(np.concatenate([features(nodes) for nodes in waiting]))
+            ends = np.cumsum([len(nodes) for nodes in waiting])
+            for nodes, end in zip(waiting, ends):
+                texts.append(block_text(nodes, decode(nodes, margin[end - len(nodes) : end])))
+            waiting.clear()
+
+    for page in pages:
+        waiting.append(parse(page))
+        elements += len(waiting[-1])
+        if elements >= AT_ONCE:
+            judge()
+            elements = 0
+    judge()
+    return texts
+
+
 def main_text(html: str | None, forest: Forest) -> str:
-    nodes = parse(html)
-    return block_text(nodes, decode(nodes, forest.margin(features(nodes))))
+    return main_texts([html], forest)[0]
 
 
 def learn(pages: DataFrame, key: str = "page_id", html: str = "html", max_pages: int = MAX_PAGES) -> Forest:
@@ -442,7 +467,7 @@ def extracted(
 
     def run(batches):
         for batch in batches:
-            texts = [main_text(page, forest) for page in batch.column(2).to_pylist()]
+            texts = main_texts(batch.column(2).to_pylist(), forest)
             n = pa.array([len(t) for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), n], names=[key, url, "text", "n_chars"]
