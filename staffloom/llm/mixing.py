@@ -34,7 +34,7 @@ from staffloom.sources.workspace import Workspace
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 CAP = 3
-BINS = 1 << 14
+BINS = 1 << 12
 
 
 def measured(df: DataFrame, key: str, text: str, source: str) -> dict[str, Column]:
