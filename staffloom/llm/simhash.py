@@ -142,14 +142,17 @@ def one_of_each(
     max_bits: int = 2,
 ) -> DataFrame:
     """The rows of `df` with one row of each group: that of the least key, then of the
-    least text. Columns and values are as they were."""
-    print_of, group_of, first, place = "__fingerprint", "__group", "__first", "__place"
-    marked = ws.settle(fingerprints(df, text, shingle, print_of), "marked")
-    prints = marked.select(F.col(key).alias("key"), F.col(print_of).alias("fingerprint"))
-    found = groups(prints, ws, max_bits, "key").select(
-        F.col("group").alias(group_of), F.col("fingerprint").alias(print_of), F.col("first").alias(first)
-    )
-    least = marked.join(found, print_of).filter(F.col(key).eqNullSafe(F.col(first)))
-    # Several rows of a group are left only where the key itself repeats.
-    order = Window.partitionBy(group_of).orderBy(F.xxhash64(text), text)
-    return least.withColumn(place, F.row_number().over(order)).filter(F.col(place) == 1).select(*df.columns)
+    least hash of the text. Columns and values are as they were.
+
+    Who stays is decided on keys, hashes and row numbers; the rows with their texts are
+    written once, so that the numbers are fixed, and meet the decision in one join, which
+    is a sorted one at every size: who stays grows with the documents.
+    """
+    print_of, number = "__fingerprint", "__row"
+    marked = fingerprints(df, text, shingle, print_of).withColumn(number, F.monotonically_increasing_id())
+    marked = ws.settle(marked, "marked")
+    order = F.struct(F.col(key).isNull(), F.col(key), F.xxhash64(text), F.col(number).alias("row"))
+    prints = ws.settle(marked.select(order.alias("key"), F.col(print_of).alias("fingerprint")), "prints")
+    stays = groups(prints, ws, max_bits, "key").select(F.col("first.row").alias(number)).distinct()
+    stays = ws.settle(stays, "stays").hint("merge")
+    return marked.join(stays, number, "left_semi").select(*df.columns)
