@@ -120,7 +120,8 @@ def plan(
         F.sum("m_size").alias("m_words"), F.max("m_rest").alias("m_due")
     )
     summed = summed.withColumn("m_upto", F.sum("m_words").over(along))
-    cut = summed.filter("m_upto > m_due AND m_upto - m_words < m_due").select(
+    # The first bin that reaches what is due, also if it ends just there.
+    cut = summed.filter("m_upto >= m_due AND m_upto - m_words < m_due").select(
         F.col("m_source").alias("s"), F.col("m_bin").alias("b"), (F.col("m_upto") - F.col("m_words")).alias("m_before")
     )
     cut = ws.settle(cut, "cut")

@@ -9,6 +9,7 @@ import sys
 from collections import Counter
 from pathlib import Path
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -296,3 +297,19 @@ def test_expanded_agrees_with_mixed(spark, ws):
     frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
     copies = Counter(r["doc_id"] for r in mixing.expanded(frame, ws).collect())
     assert {r["doc_id"]: r["taken"] // r["size"] for r in mixing.mixed(frame, ws).collect() if r["taken"]} == copies
+
+
+@pytest.mark.parametrize("bins", [3, mixing.BINS])
+@pytest.mark.parametrize("words", [1, 7])
+def test_equal_documents_with_whole_targets(spark, ws, words, bins):
+    """What is due may end just where a bin ends."""
+    rows = [(i, "word " * words, "ab"[i % 2]) for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = sorted(tuple(r) for r in mixing.mixed(frame, ws, bins=bins).collect())
+    con = duckdb.connect()
+    con.register("documents", frame.toArrow())
+    assert out == sorted(con.sql(mixing.SQL).fetchall())
+    taken = Counter()
+    for doc_id, _, _, _, n in out:
+        taken["ab"[doc_id % 2]] += n
+    assert taken == {"a": 20 * words, "b": 40 * words}
