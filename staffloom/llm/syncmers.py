@@ -3,12 +3,12 @@
 A k-mer of characters is chosen if the least of its s-mers, by hash, is its first or its
 last. That depends on the k-mer alone, so the same passage gives the same anchors wherever
 it stands, and neighbours cannot unselect each other; about 2 / (k - s + 1) of all places
-are anchors. A fingerprint keeps the `KEPT` anchors of least hash with their places, in
-text order, which bounds its length whatever the text's.
+are anchors. A fingerprint keeps every anchor, each hash once at its first place, in text
+order, so that a passage is as well covered in a long text as in a short one.
 
-Likeness of two fingerprints: of the `KEPT` least hashes of both together, the share that
-both hold, counting only anchors that keep their order in both texts (the longest chain
-of rising places). 1 for equal texts, 0 without a common anchor.
+Likeness of two fingerprints: of the anchors of both together, the share that both hold,
+counting only anchors that keep their order in both texts (the longest chain of rising
+places). 1 for equal texts, 0 without a common anchor.
 
 A text shorter than k is one anchor, its whole hash; an empty text has none. Nulls: a NULL
 text is empty; two empty fingerprints are alike (1.0). A NULL key comes before all others.
@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 
 # K and S are powers of two: hashes of longer pieces are made from those of halves.
 K, S = 32, 8
-KEPT = 64
 # Rows that are meant to be sorted beside each other, and characters hashed at once.
 ROWS_PER_RANGE = 4_000
 # From so many ranges on they hold up to `MANY_ROWS` rows instead of growing in number.
@@ -95,27 +94,24 @@ def anchors(text: str) -> Anchors:
     return np.concatenate(hashes), np.concatenate(places)
 
 
-def kept(all_anchors: Anchors, most: int = KEPT) -> Anchors:
-    """The first places of the `most` least hashes, in text order."""
-    hashes, first = np.unique(all_anchors[0], return_index=True)
-    places = all_anchors[1][first[:most]]
-    order = np.argsort(places)
-    return hashes[:most][order], places[order]
+def kept(all_anchors: Anchors) -> Anchors:
+    """The first place of every hash, in text order."""
+    first = np.sort(np.unique(all_anchors[0], return_index=True)[1])
+    return all_anchors[0][first], all_anchors[1][first]
 
 
-def likeness(a: Anchors, b: Anchors, most: int = KEPT) -> float:
+def likeness(a: Anchors, b: Anchors) -> float:
     if not len(a[0]) or not len(b[0]):
         return float(len(a[0]) == len(b[0]))
-    both = np.union1d(a[0], b[0])[:most]
-    in_b = dict(zip(b[0].tolist(), b[1].tolist()))
-    among = set(both.tolist())
+    _, in_a, in_b = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    both = len(a[0]) + len(b[0]) - len(in_a)
     chain: list[int] = []
-    for h in a[0].tolist():
-        if h in in_b and h in among:
-            place = in_b[h]
-            at = bisect_left(chain, place)
-            chain[at : at + 1] = [place]
-    return len(chain) / len(both)
+    for place in b[1][in_b[np.argsort(in_a)]].tolist():
+        if not chain or place > chain[-1]:
+            chain.append(place)
+        else:
+            chain[bisect_left(chain, place)] = place
+    return len(chain) / both
 
 
 def written(a: Anchors) -> str:

@@ -245,6 +245,19 @@ def test_likeness():
     assert syncmers.likeness(none, none) == 1.0 and syncmers.likeness(own, none) == 0.0
 
 
+def test_passages_of_long_texts():
+    """Every anchor is kept, so a passage two long texts share is found in both."""
+    for seed in range(6):
+        rng = random.Random(seed)
+        one, other = ("".join(rng.choices("etaoin shrdlu", k=20_000)) for _ in range(2))
+        other = other[:9_000] + one[4_000:4_300] + other[9_300:]
+        a, b = (syncmers.kept(syncmers.anchors(t)) for t in (one, other))
+        assert set(a[0].tolist()) == set(syncmers.anchors(one)[0].tolist())
+        common = set(a[0].tolist()) & set(b[0].tolist())
+        assert len(common) >= 10 and syncmers.likeness(a, b) > 0
+        assert 4_000 <= min(p for h, p in zip(*a) if int(h) in common)
+
+
 @pytest.mark.parametrize("rows_per_range", [2, 1_000])
 def test_edited_texts(spark, rows_per_range):
     from hashlib import sha256
