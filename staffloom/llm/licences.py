@@ -1,15 +1,20 @@
 """Licence scan by a paragraph classifier, confirmed against templates.
 
-A paragraph is a line of the text. Its features are the hashed runs of one to three words;
+A paragraph is a line of the text, a sentence of it, or a stretch of words that stand in
+templates. Its features are the hashed runs of one to three words;
 a softmax regression (`fit`) gives the odds of each licence family and of `unknown`. It is
 trained on the templates below, cut, thinned and mixed with lines of the corpus, against a
 bounded sample of the corpus's own lines (`max_documents` documents, the first by a hash of
 the key) and templates with their words in disorder. The odds are calibrated on a part
 held out of training, by one temperature; a family is predicted if its calibrated odds
-reach one half. A prediction counts only if at least `CONFIRMED` of the line's runs of
-three words stand in a template of that family.
-
-Since no line with fewer template words than that can be confirmed, other lines are not
+reach one half. A prediction for a line or sentence counts only if at least `CONFIRMED` of
+its runs of three words stand in a template of that family. Where neither is found, the
+stretches are judged: runs that stand in templates, no more than `GAP` words apart. A
+stretch counts if it holds `CONFIRMED` of the runs of one template of its family, or
+`MATCHED` runs of them, so that notices inside a paragraph and their parts are found
+whatever stands around. A whole line of one family is one span.
+
+Since no line without a run of a template can be confirmed, such lines are not
 classified; the outcome is the same (`plain=True` classifies them all).
 
 Nulls: a NULL text is empty and holds none; a NULL key is passed through; repeated rows
@@ -43,6 +48,7 @@ TEMPLATES = {
         "Licensed under the Apache License, Version 2.0.",
         "Released under the Apache License 2.0.",
         "SPDX-License-Identifier: Apache-2.0",
+        "Apache License",
     ],
     "bsd": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
@@ -51,6 +57,7 @@ TEMPLATES = {
         "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
         "Released under the BSD 3-Clause License.",
         "SPDX-License-Identifier: BSD-3-Clause",
+        "BSD License",
     ],
     "cc-by": [
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
@@ -83,6 +90,7 @@ TEMPLATES = {
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
         "Released under the ISC License.",
         "SPDX-License-Identifier: ISC",
+        "ISC License",
     ],
     "lgpl": [
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
@@ -95,6 +103,7 @@ TEMPLATES = {
         "Released under the MIT License.",
         "Licensed under the MIT License.",
         "SPDX-License-Identifier: MIT",
+        "MIT License",
     ],
     "mpl-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
@@ -113,8 +122,11 @@ MAX_DOCUMENTS = 400
 LINES_PER_DOCUMENT = 8
 VARIANTS = 60
 CONFIRMED = 0.5
+# Words between two runs of a stretch, and runs that tell without half a template.
+GAP, MATCHED = 4, 8
 EPOCHS, BATCH, RATE, PULL = 12, 64, 0.5, 1e-5
 _WORD = re.compile(r"[0-9a-zß-￿]+(?:[.-][0-9a-z]+)*")
+_SENTENCE = re.compile(r"(?<=[.!?])[\"')\]]*\s+(?=[\"'(\[]*[A-Z])")
 
 
 def words_of(line: str) -> list[str]:
@@ -129,7 +141,14 @@ def runs(words: list[str], n: int) -> set[tuple[str, ...]]:
 _RUNS = {
     f: set().union(*(runs(words_of(t), 3) for t in texts)) for f, texts in TEMPLATES.items()
 }
-_VOCABULARY = {w for texts in TEMPLATES.values() for t in texts for w in words_of(t)}
+_ANY = set().union(*_RUNS.values())
+# Runs of each template; those of two words tell anywhere only as an identifier.
+_WHOLE = {
+    f: [r for t in texts if len(words_of(t)) > 2 or t.startswith("SPDX") for r in [runs(words_of(t), 3)]]
+    for f, texts in TEMPLATES.items()
+}
+_PAIRS = {r for r in _ANY if len(r) == 2}
+_SHORT = {r for sets in _WHOLE.values() for one in sets for r in one if len(r) < 3}
 
 
 def contained(words: list[str], family: str) -> float:
@@ -157,9 +176,7 @@ class Classifier:
     def family(self, line: str, plain: bool = False) -> str:
         """Family of a line, or `unknown`."""
         words = words_of(line)
-        if not words:
-            return UNKNOWN
-        if not plain and sum(w in _VOCABULARY for w in words) < CONFIRMED * max(1, len(words) - 2):
+        if not words or not (plain or runs(words, 3) & _ANY):
             return UNKNOWN
         odds = self.odds(places(words))
         best = int(odds.argmax())
@@ -167,6 +184,64 @@ class Classifier:
         return FAMILIES[best] if sure and contained(words, FAMILIES[best]) >= CONFIRMED else UNKNOWN
 
 
+    def stretch(self, words: list[str]) -> str:
+        """Family of a stretch of template words, or `unknown`."""
+        odds = self.odds(places(words))
+        best = int(odds.argmax())
+        if odds[best] < 0.5 or FAMILIES[best] == UNKNOWN:
+            return UNKNOWN
+        own = {tuple(words[i : i + n]) for n in (2, 3) for i in range(len(words) - n + 1)}
+        held = [(len(own & r), len(r)) for r in _WHOLE[FAMILIES[best]]]
+        sure = any(n >= CONFIRMED * of for n, of in held) or len(own & _RUNS[FAMILIES[best]]) >= MATCHED
+        return FAMILIES[best] if sure else UNKNOWN
+
+    def parts(self, line: str, plain: bool = False) -> list[tuple[int, int, str]]:
+        """(start, end, family) of what carries a licence in a line."""
+        if not plain and not _touches(words_of(line)):
+            return []
+        found: list[tuple[int, int, str]] = []
+        cuts = [m.span() for m in _SENTENCE.finditer(line)]
+        for a, b in zip([0, *(e for _, e in cuts)], [*(s for s, _ in cuts), len(line)]):
+            family = self.family(line[a:b], plain)
+            new = [(a, b, family)] if family != UNKNOWN else self._stretches(line, a, b)
+            for one in new:
+                if found and found[-1][2] == one[2] and not words_of(line[found[-1][1] : one[0]]):
+                    one = (found.pop()[0], *one[1:])
+                found.append(one)
+        whole = self.family(line, plain)
+        if whole != UNKNOWN and {f for _, _, f in found} <= {whole}:
+            return [(0, len(line), whole)]
+        return found
+
+    def _stretches(self, line: str, a: int, b: int) -> list[tuple[int, int, str]]:
+        low = line[a:b].lower()
+        if len(low) != b - a:  # a letter that is two in lower case
+            low = "".join(c.lower() if len(c.lower()) == 1 else c for c in line[a:b])
+        found = list(_WORD.finditer(low))
+        words = [m.group() for m in found]
+        hits = [
+            (i, i + n)
+            for n, known in ((2, _SHORT), (3, _ANY))
+            for i in range(len(words) - n + 1)
+            if tuple(words[i : i + n]) in known
+        ]
+        joined: list[list[int]] = []
+        for i, j in sorted(hits):
+            if joined and i - joined[-1][1] <= GAP:
+                joined[-1][1] = max(j, joined[-1][1])
+            else:
+                joined.append([i, j])
+        judged = ((i, j, self.stretch(words[i:j])) for i, j in joined)
+        return [(a + found[i].start(), a + found[j - 1].end(), f) for i, j, f in judged if f != UNKNOWN]
+
+
+def _touches(words: list[str]) -> bool:
+    """Whether any run of a template stands in the words."""
+    if len(words) < 3:
+        return tuple(words) in _ANY
+    return not _ANY.isdisjoint(zip(words, words[1:], words[2:])) or not _PAIRS.isdisjoint(zip(words, words[1:]))
+
+
 def examples(lines: list[str], seed: int = 5) -> tuple[list[list[str]], np.ndarray]:
     """Words and class of varied templates, of templates in disorder, and of `lines`."""
     rng = random.Random(seed)
@@ -249,12 +324,11 @@ def learn(
 
 
 def spans(text: str | None, classifier: Classifier, plain: bool = False) -> list[tuple[int, int, str]]:
-    """(start, end, family) of the lines of a whole text that carry a licence."""
+    """(start, end, family) of the lines of a whole text, or parts of them, that carry a
+    licence."""
     out, at = [], 0
     for line in (text or "").split("\n"):
-        family = classifier.family(line, plain)
-        if family != UNKNOWN:
-            out.append((at, at + len(line), family))
+        out += [(at + a, at + b, family) for a, b, family in classifier.parts(line, plain)]
         at += len(line) + 1
     return out
 

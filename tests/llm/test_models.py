@@ -195,6 +195,27 @@ def test_what_is_no_licence(classifier, spark):
             assert "icense" in r["text"][a:b] or "rights reserved" in r["text"][a:b]
 
 
+def test_notices_inside_paragraphs(classifier):
+    before = "We measured the yield of barley over nine seasons in the north and the weather was kind"
+    after = "Thanks go to all who carried water uphill during a very long and unusually dry summer that year."
+    for notice, family in (
+        ("Released under the MIT License.", "mit"),
+        ("Licensed under the Apache License, Version 2.0.", "apache-2.0"),
+        ("Licensed under CC BY-NC 4.0.", "cc-by-nc"),
+    ):
+        for text in (f"{before}. {notice} {after}", f"{before} and was {notice[:-1].lower()} {after.lower()}"):
+            (found,) = licences.spans(text, classifier)
+            assert found[2] == family and notice[-12:-1].lower() in text[found[0] : found[1]].lower()
+    two = f"{before}. Released under the MIT License. {after} Licensed under CC BY-NC 4.0."
+    assert [f for _, _, f in licences.spans(two, classifier)] == ["mit", "cc-by-nc"]
+    assert licences.spans("MIT License", classifier) == [(0, 11, "mit")]
+    assert licences.spans("see SPDX-License-Identifier: MIT in the header of every file", classifier)[0][2] == "mit"
+    assert licences.spans(f"{before}. {after}", classifier) == []
+    repeated = "Released under the MIT License. " + "tra la " * 30
+    assert [f for _, _, f in licences.spans(repeated, classifier)] == ["mit"]
+    assert licences.spans(repeated, classifier) == licences.spans(repeated, classifier, plain=True)
+
+
 def test_licences_of_messy_rows(spark, classifier):
     docs = messy.frame(spark)
     out = licences.scanned(docs, classifier).collect()
