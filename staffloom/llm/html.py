@@ -450,7 +450,10 @@ def learn(pages: DataFrame, key: str = "page_id", html: str = "html", max_pages:
                     names=["x", "y"],
                 )
 
-    told = rows.select("html").mapInArrow(run, "x binary, y binary").toPandas().sort_values(["x", "y"])
+    # Of the pages of one key one teaches, however often the key is repeated.
+    one = F.min(F.struct(F.xxhash64("html").alias("h"), "html")).alias("one")
+    rows = rows.groupBy("key").agg(one).select("one.html")
+    told = rows.mapInArrow(run, "x binary, y binary").toPandas().sort_values(["x", "y"])
     x = [np.frombuffer(b, "<f4").reshape(-1, len(NAMES)) for b in told["x"]]
     y = [np.frombuffer(b, "u1") for b in told["y"]]
     if not x:

@@ -318,8 +318,11 @@ def learn(
     ids = docs.select(F.col(key).alias("key")).dropna().distinct()
     ids = ids.orderBy(F.xxhash64("key"), "key").limit(max_documents)
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(ids), "key")
-    lines = rows.select(F.explode(F.slice(F.split("text", "\n"), 1, LINES_PER_DOCUMENT)).alias("line"))
-    told = lines.select(F.left("line", F.lit(1_000)).alias("line")).distinct()
+    lines = F.slice(F.split("text", "\n"), 1, LINES_PER_DOCUMENT)
+    heads = rows.dropna().select("key", F.transform(lines, lambda c: F.left(c, F.lit(1_000))).alias("lines"))
+    # Of the texts of one key one teaches, however often the key is repeated.
+    heads = heads.groupBy("key").agg(F.min(F.struct(F.xxhash64("lines").alias("h"), "lines")).alias("one"))
+    told = heads.select(F.explode("one.lines").alias("line")).distinct()
     return fit(sorted(r["line"] for r in told.collect()))
 
 

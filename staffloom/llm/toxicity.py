@@ -200,8 +200,9 @@ def learn(
 
     kind = known.schema["key"].dataType.simpleString()
     found = texts.join(F.broadcast(chosen), "key").select("key", "label", "text")
-    told = found.mapInArrow(run, f"label int, key {kind}, places binary").toPandas()
-    told = told.sort_values(["key", "places"]).drop_duplicates("key")
+    told = found.mapInArrow(run, f"label int, key {kind}, places binary")
+    # One row of a key reaches the driver, however often it is repeated.
+    told = told.groupBy("key", "label").agg(F.min("places").alias("places")).toPandas().sort_values("key")
     answer = told["label"].to_numpy().astype(float)
     sampled = {value: max(1, int((answer == value).sum())) for value in of_class}
     weights = np.array([of_class[int(a)] / sampled[int(a)] for a in answer])

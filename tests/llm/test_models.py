@@ -226,6 +226,31 @@ def test_licences_of_messy_rows(spark, classifier):
     assert licences.scanned(messy.empty(spark), licences.learn(messy.empty(spark))).count() == 0
 
 
+# --- bounds of what is fitted -----------------------------------------------------
+
+
+def test_repeated_keys_reach_the_driver_once(spark, monkeypatch):
+    rows = [(1, f"text number {i}\nline {i}") for i in range(300)] + [(i, f"other {i}") for i in range(2, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 8)], "doc_id long, toxic int")
+    pages = docs.selectExpr("doc_id AS page_id", "concat('<article><p>', text, '</p></article>') AS html")
+    sizes = []
+    real = type(docs).toPandas
+
+    def counted(df):
+        sizes.append(len(made := real(df)))
+        return made
+
+    monkeypatch.setattr(type(docs), "toPandas", counted)
+    lines = []
+    monkeypatch.setattr(licences, "fit", lines.extend)
+    toxicity.learn(docs, labels)
+    html.learn(pages)
+    licences.learn(docs)
+    assert len(sizes) == 2 and max(sizes) <= 7
+    assert 0 < len(lines) <= 8
+
+
 # --- syncmers --------------------------------------------------------------------
 
 
