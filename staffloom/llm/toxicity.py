@@ -5,10 +5,12 @@ their first four and five characters, which stand for their stems; hashed to 2^1
 
     bias + sum of w[i] + sum over pairs i < j of v[i] . v[j],
 
-so that two terms that say little alone can say much together. Terms that fewer than
-`MIN_DOCUMENTS` of the sample hold, or whose share in the two classes differs by fewer than
-`MIN_Z` standard errors, get no parameters: summed over a long text their noise would
-drown the rest.
+so that two terms that say little alone can say much together. A term gets parameters if
+its share in the two classes differs by `MIN_Z` standard errors and `MIN_DOCUMENTS` of the
+sample hold it, or, however alike its shares are, if `MIN_PAIRED` hold it and how often it
+meets some other such term, beyond what the shares of both make likely, differs between
+the classes by `MIN_PAIR_Z` standard errors. The rest get none: summed over a long text
+their noise would drown what tells. All pairs of such terms are looked at.
 
 The machine is fitted on the driver on a bounded sample (`max_rows` labelled rows, up to
 half of them of either class, the first by a hash of the key, weighted back to their
@@ -34,6 +36,11 @@ PLACES = 1 << 18
 FACTORS = 4
 MIN_DOCUMENTS = 4
 MIN_Z = 3.5
+# Documents that hold a term of a pair, and standard errors of a pair; millions are tried.
+MIN_PAIRED = 20
+MIN_PAIR_Z = 6.0
+# Terms whose pairs are counted at once.
+BLOCK = 1024
 MAX_ROWS = 12_000
 EPOCHS = 60
 BATCH = 256
@@ -105,7 +112,7 @@ def fit(
         sure = 4.0 if n and labels[0] else UNTAUGHT if not n else -4.0
         return Machine(sure, weight, factor)
     weights = np.ones(n) if weights is None else weights * n / weights.sum()
-    held = _telling(rows, labels)
+    held = _telling(rows, labels) | _meeting(rows, labels)
     kept = np.flatnonzero(held)
     index = np.full(PLACES, -1)
     index[kept] = np.arange(len(kept))
@@ -160,6 +167,53 @@ def held_out(key: str = "doc_id"):
     return F.crc32(F.col(key).cast("string")) % 5 == 0
 
 
+def _meeting(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+    """Which places meet some other place unlike in the two classes, given their shares.
+
+    The pairs of two blocks of places are counted by one product of 0/1 matrices.
+    """
+    out = np.zeros(PLACES, bool)
+    sides = [[r for r, y in zip(rows, labels) if bool(y) is side] for side in (True, False)]
+    n = [len(s) for s in sides]
+    held = [np.bincount(np.concatenate(s), minlength=PLACES) for s in sides]
+    places = np.flatnonzero(held[0] + held[1] >= MIN_PAIRED)
+    index = np.full(PLACES, -1)
+    index[places] = np.arange(len(places))
+    found = []
+    for side in sides:
+        doc = np.repeat(np.arange(len(side)), [len(r) for r in side])
+        term = index[np.concatenate(side)]
+        doc, term = doc[term >= 0], term[term >= 0]
+        order = np.argsort(term, kind="stable")
+        found.append((doc[order], term[order]))
+
+    def block(side: int, at: int) -> np.ndarray:
+        doc, term = found[side]
+        a, b = np.searchsorted(term, (at, at + BLOCK))
+        made = np.zeros((n[side], min(BLOCK, len(places) - at)), np.float32)
+        made[doc[a:b], term[a:b] - at] = 1
+        return made
+
+    meets = np.zeros(len(places), bool)
+    for at in range(0, len(places), BLOCK):
+        left = [block(side, at) for side in (0, 1)]
+        for to in range(at, len(places), BLOCK):
+            excess = spread = 0.0
+            for side, sign in ((0, 1), (1, -1)):
+                both = left[side].T @ (left[side] if to == at else block(side, to))
+                a, b = (held[side][places[i : i + BLOCK]] for i in (at, to))
+                likely = np.outer(a, b).astype(np.float32) / n[side]
+                excess = excess + sign * (both - likely) / n[side]
+                spread = spread + (both + likely + 1) / n[side] ** 2
+            unlike = np.abs(excess) >= MIN_PAIR_Z * np.sqrt(spread)
+            if to == at:
+                np.fill_diagonal(unlike, False)
+            meets[at : at + BLOCK] |= unlike.any(axis=1)
+            meets[to : to + BLOCK] |= unlike.any(axis=0)
+    out[places[meets]] = True
+    return out
+
+
 def learn(
     docs: DataFrame,
     labels: DataFrame,

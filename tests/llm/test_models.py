@@ -42,6 +42,22 @@ def test_pairs_are_learned():
     assert np.isfinite(v).all() and a != b
 
 
+def test_pairs_of_words_that_say_nothing_alone():
+    """Toxic where just one of two words stands: each is as common in either class."""
+    rng = random.Random(3)
+    terms = toxicity.Terms()
+    rows, labels = [], []
+    for i in range(3_000):
+        one, other = i % 2, i // 2 % 2
+        words = [f"w{rng.randrange(40)}" for _ in range(6)] + ["crowd"] * one + ["plain"] * other
+        rows.append(terms.of(" ".join(words)))
+        labels.append(float(one != other))
+    made = toxicity.fit(rows[:2_400], np.array(labels[:2_400]))
+    assert not toxicity._telling(rows[:2_400], np.array(labels[:2_400]))[terms.of("crowd plain")].any()
+    right = sum((made.score(r) >= 0.5) == bool(y) for r, y in zip(rows[2_400:], labels[2_400:]))
+    assert right >= 570
+
+
 def test_machine_against_pairs():
     rng = np.random.default_rng(2)
     made = toxicity.Machine(0.3, rng.normal(size=toxicity.PLACES), rng.normal(size=(toxicity.PLACES, 3)))
