@@ -5,16 +5,19 @@ their first four and five characters, which stand for their stems; hashed to 2^1
 
     bias + sum of w[i] + sum over pairs i < j of v[i] . v[j],
 
-so that two terms that say little alone can say much together. A term gets parameters if
-its share in the two classes differs by `MIN_Z` standard errors and `MIN_DOCUMENTS` of the
-sample hold it, or, however alike its shares are, if `MIN_PAIRED` hold it and how often it
-meets some other such term, beyond what the shares of both make likely, differs between
-the classes by `MIN_PAIR_Z` standard errors. The rest get none: summed over a long text
-their noise would drown what tells. All pairs of such terms are looked at.
+so that two terms that say little alone can say much together. Every term that
+`MIN_PAIRED` documents of the sample hold gets a weight and factors, and so does one that
+`MIN_DOCUMENTS` hold and whose share in the two classes differs by `MIN_Z` standard errors.
+The latter are pulled towards zero lightly. The others are pulled as a whole, each weight
+and each row of factors by a threshold below which it is exactly zero; which of `PULLS`
+that is, is decided by the loss on an inner fifth of the sample. So the noise of the many
+terms of a long text is kept out, and terms that say nothing alone but something in pairs
+are not.
 
 The machine is fitted on the driver on a bounded sample (`max_rows` labelled rows, up to
 half of them of either class, the first by a hash of the key, weighted back to their
-shares); scoring reads every whole text in tasks. Nothing but the text is an input.
+shares), by minibatches over the terms that the documents hold; scoring reads every whole
+text in tasks. Nothing but the text is an input.
 
 Nulls: a NULL text is an empty text and gets the score of the bias; NULL labels and NULL
 keys teach nothing. Several labels of a key count as the highest. Repeated rows are scored
@@ -36,18 +39,20 @@ PLACES = 1 << 18
 FACTORS = 4
 MIN_DOCUMENTS = 4
 MIN_Z = 3.5
-# Documents that hold a term of a pair, and standard errors of a pair; millions are tried.
+# Documents that hold a term which gets parameters whatever its shares are.
 MIN_PAIRED = 20
-MIN_PAIR_Z = 6.0
-# Terms whose pairs are counted at once.
-BLOCK = 1024
-MAX_ROWS = 12_000
-EPOCHS = 60
+MAX_ROWS = 6_000
+EPOCHS = 40
 BATCH = 256
 RATE = 0.1
-# Strength of the pull towards zero, for weights and for factors.
+# Strength of the pull towards zero, for weights and for factors of terms that tell alone.
 PULL = 2e-5
 FACTOR_PULL = 1e-4
+# For all other terms one of these, the best on the inner split after so many epochs.
+PULLS = (1e-3, 3e-3, 1e-2)
+TRIAL_EPOCHS = 12
+# Spread of the factors at the start.
+START, START_OTHERS = 0.01, 0.03
 UNTAUGHT = -1e-9
 # Distinct words whose places a worker remembers.
 REMEMBERED = 300_000
@@ -105,61 +110,96 @@ def fit(
     epochs: int = EPOCHS,
     seed: int = 7,
 ) -> Machine:
-    """Logistic loss, minibatches, a step size per parameter that shrinks as it learns."""
+    """Logistic loss; the pull of terms that do not tell alone by an inner split."""
     n = len(rows)
     weight, factor = np.zeros(PLACES, np.float32), np.zeros((PLACES, factors), np.float32)
     if not n or labels.min() == labels.max():
         sure = 4.0 if n and labels[0] else UNTAUGHT if not n else -4.0
         return Machine(sure, weight, factor)
     weights = np.ones(n) if weights is None else weights * n / weights.sum()
-    held = _telling(rows, labels) | _meeting(rows, labels)
-    kept = np.flatnonzero(held)
-    index = np.full(PLACES, -1)
-    index[kept] = np.arange(len(kept))
-    rows = [index[r[held[r]]] for r in rows]
+    inner = np.random.default_rng(seed).permutation(n)
+    tried, kept = inner[: n // 5], inner[n // 5 :]
+    pull = PULLS[len(PULLS) // 2]
+    if len(set(labels[kept])) == 2 and len(tried):
+        losses = []
+        for candidate in PULLS:
+            made = _trained([rows[i] for i in kept], labels[kept], weights[kept], factors, TRIAL_EPOCHS, seed, candidate)
+            scores = np.clip([made.score(rows[i]) for i in tried], 1e-9, 1 - 1e-9)
+            miss = -np.log(np.where(labels[tried] == 1, scores, 1 - scores))
+            losses.append(float((weights[tried] * miss).sum()))
+        pull = PULLS[int(np.argmin(losses))]
+    return _trained(rows, labels, weights, factors, epochs, seed, pull)
+
+
+def _trained(rows, labels, weights, factors, epochs, seed, pull) -> Machine:
+    """Minibatches with a step size per parameter that shrinks as it learns.
+
+    After each step a weight moves towards zero by its pull and stays there if it would
+    cross it; so does the length of a row of factors. Terms other than those that tell
+    alone, once all their parameters are zero, are left out of the later epochs.
+    """
+    n = len(rows)
+    tells, held = _telling(rows, labels)
+    places = np.flatnonzero(tells | (held >= MIN_PAIRED))
+    tells, k = tells[places], len(places)
+    index = np.full(PLACES, -1, np.int32)
+    index[places] = np.arange(k)
+    rows = [i[i >= 0] for i in (index[r] for r in rows)]
 
     rng = np.random.default_rng(seed)
-    w, v = np.zeros(len(kept)), rng.normal(0, 0.01, (len(kept), factors))
+    w = np.zeros(k)
+    v = rng.normal(0, 1, (k, factors)) * np.where(tells, START, START_OTHERS)[:, None]
+    pull_w, pull_v = np.where(tells, PULL, pull), np.where(tells, FACTOR_PULL, pull)
     share = float((weights * labels).sum() / weights.sum())
     bias = float(np.log(share / (1 - share)))
-    seen_w, seen_v, seen_b = np.full(len(kept), 1e-2), np.full(v.shape, 1e-2), 1e-2
-    for _ in range(epochs):
+    seen_w, seen_v, seen_b = np.full(k, 1e-2), np.full(v.shape, 1e-2), 1e-2
+    for epoch in range(epochs):
+        alive = tells | (w != 0) | v.any(axis=1)
+        if epoch and not alive.all():
+            rows = [r[alive[r]] for r in rows]
         order = rng.permutation(n)
         for at in range(0, n, BATCH):
             batch = order[at : at + BATCH]
-            size = np.array([len(rows[i]) for i in batch])
+            m = len(batch)
             ids = np.concatenate([rows[i] for i in batch])
-            doc = np.repeat(np.arange(len(batch)), size)
+            doc = np.repeat(np.arange(m), [len(rows[i]) for i in batch])
             vi = v[ids]
-            total = np.stack([np.bincount(doc, vi[:, f], len(batch)) for f in range(factors)], 1)
-            square = np.bincount(doc, (vi**2).sum(axis=1), len(batch))
-            x = bias + np.bincount(doc, w[ids], len(batch)) + 0.5 * ((total**2).sum(1) - square)
+            total = np.stack([np.bincount(doc, vi[:, f], m) for f in range(factors)], 1)
+            square = np.bincount(doc, (vi**2).sum(axis=1), m)
+            x = bias + np.bincount(doc, w[ids], m) + 0.5 * ((total**2).sum(1) - square)
             miss = weights[batch] * (1 / (1 + np.exp(-np.clip(x, -30, 30))) - labels[batch])
-            touched, place = np.unique(ids, return_inverse=True)
-            g = np.bincount(place, miss[doc]) / len(batch) + PULL * w[touched]
-            side = miss[doc][:, None] * (total[doc] - vi)
-            gv = np.stack([np.bincount(place, side[:, f]) for f in range(factors)], 1)
-            gv = gv / len(batch) + FACTOR_PULL * v[touched]
-            seen_w[touched] += g * g
-            seen_v[touched] += gv * gv
+            touched = np.bincount(ids, minlength=k) > 0
+            g = np.bincount(ids, miss[doc], k) / m
+            side = miss[:, None] * total
+            gv = np.stack([np.bincount(ids, side[doc, f], k) for f in range(factors)], 1) / m - v * g[:, None]
+            seen_w += g * g
+            seen_v += gv * gv
+            step, step_v = RATE / np.sqrt(seen_w), RATE / np.sqrt(seen_v)
+            w -= step * g
+            w = np.sign(w) * np.maximum(np.abs(w) - touched * step * pull_w, 0)
+            v -= step_v * gv
+            length = np.sqrt((v**2).sum(axis=1))
+            shrink = touched * step_v.mean(axis=1) * pull_v
+            v *= np.maximum(1 - shrink / np.maximum(length, 1e-12), 0)[:, None]
             gb = miss.mean()
             seen_b += gb * gb
-            w[touched] -= RATE * g / np.sqrt(seen_w[touched])
-            v[touched] -= RATE * gv / np.sqrt(seen_v[touched])
             bias -= RATE * gb / np.sqrt(seen_b)
-    weight[kept], factor[kept] = w, v
+    weight, factor = np.zeros(PLACES, np.float32), np.zeros((PLACES, factors), np.float32)
+    weight[places], factor[places] = w, v
     return Machine(bias, weight, factor)
 
 
-def _telling(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """Which places are held by documents enough, and unlike in the two classes."""
+def _telling(rows: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per place whether documents enough hold it and it is unlike in the two classes, and
+    how many documents hold it."""
     sides = [[r for r, y in zip(rows, labels) if bool(y) is side] for side in (True, False)]
     held = [np.bincount(np.concatenate(s), minlength=PLACES) for s in sides]
     n = [len(s) for s in sides]
-    share = (held[0] + held[1]) / sum(n)
+    both = held[0] + held[1]
+    share = both / sum(n)
     spread = np.sqrt(np.maximum(share * (1 - share) * (1 / n[0] + 1 / n[1]), 1e-12))
     unlike = np.abs(held[0] / n[0] - held[1] / n[1]) / spread
-    return (held[0] + held[1] >= MIN_DOCUMENTS) & (unlike >= MIN_Z)
+    return (both >= MIN_DOCUMENTS) & (unlike >= MIN_Z), both
 
 
 def held_out(key: str = "doc_id"):
@@ -167,53 +207,6 @@ def held_out(key: str = "doc_id"):
     return F.crc32(F.col(key).cast("string")) % 5 == 0
 
 
-def _meeting(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """Which places meet some other place unlike in the two classes, given their shares.
-
-    The pairs of two blocks of places are counted by one product of 0/1 matrices.
-    """
-    out = np.zeros(PLACES, bool)
-    sides = [[r for r, y in zip(rows, labels) if bool(y) is side] for side in (True, False)]
-    n = [len(s) for s in sides]
-    held = [np.bincount(np.concatenate(s), minlength=PLACES) for s in sides]
-    places = np.flatnonzero(held[0] + held[1] >= MIN_PAIRED)
-    index = np.full(PLACES, -1)
-    index[places] = np.arange(len(places))
-    found = []
-    for side in sides:
-        doc = np.repeat(np.arange(len(side)), [len(r) for r in side])
-        term = index[np.concatenate(side)]
-        doc, term = doc[term >= 0], term[term >= 0]
-        order = np.argsort(term, kind="stable")
-        found.append((doc[order], term[order]))
-
-    def block(side: int, at: int) -> np.ndarray:
-        doc, term = found[side]
-        a, b = np.searchsorted(term, (at, at + BLOCK))
-        made = np.zeros((n[side], min(BLOCK, len(places) - at)), np.float32)
-        made[doc[a:b], term[a:b] - at] = 1
-        return made
-
-    meets = np.zeros(len(places), bool)
-    for at in range(0, len(places), BLOCK):
-        left = [block(side, at) for side in (0, 1)]
-        for to in range(at, len(places), BLOCK):
-            excess = spread = 0.0
-            for side, sign in ((0, 1), (1, -1)):
-                both = left[side].T @ (left[side] if to == at else block(side, to))
-                a, b = (held[side][places[i : i + BLOCK]] for i in (at, to))
-                likely = np.outer(a, b).astype(np.float32) / n[side]
-                excess = excess + sign * (both - likely) / n[side]
-                spread = spread + (both + likely + 1) / n[side] ** 2
-            unlike = np.abs(excess) >= MIN_PAIR_Z * np.sqrt(spread)
-            if to == at:
-                np.fill_diagonal(unlike, False)
-            meets[at : at + BLOCK] |= unlike.any(axis=1)
-            meets[to : to + BLOCK] |= unlike.any(axis=0)
-    out[places[meets]] = True
-    return out
-
-
 def learn(
     docs: DataFrame,
     labels: DataFrame,
