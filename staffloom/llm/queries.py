@@ -7,7 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from staffloom.llm import bpe, html, licences, mixing, pii, quality, secrets, simhash, syncmers, toxicity
+from staffloom.llm import (
+    bpe,
+    html,
+    licences,
+    mixing,
+    periods,
+    pii,
+    quality,
+    secrets,
+    simhash,
+    syncmers,
+    toxicity,
+)
 from staffloom.sources.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,3 +103,8 @@ def op9_bpe_round_trip(spark, folder):
 @query
 def op10_toxicity(spark, folder):
     return toxicity.rated(documents(spark, folder), labels(spark, folder))
+
+
+@query
+def op13_periodic_runs(spark, folder):
+    return periods.report(documents(spark, folder))
