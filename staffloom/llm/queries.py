@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from staffloom.llm import (
     bpe,
+    chat,
     html,
     licences,
     mixing,
@@ -105,6 +106,15 @@ def op10_toxicity(spark, folder):
     return toxicity.rated(documents(spark, folder), labels(spark, folder))
 
 
+@query
+def op11_chat_formatting(spark, folder):
+    said = spark.read.parquet(f"{folder}/conversations.parquet")
+    return chat.read_back(chat.formatted(chat.with_trap(said)))
+
+
+SQL["op11_chat_formatting"] = chat.SQL
+
+
 @query
 def op13_periodic_runs(spark, folder):
     return periods.report(documents(spark, folder))
