@@ -13,6 +13,7 @@ from staffloom.llm import (
     html,
     licences,
     mixing,
+    negatives,
     periods,
     pii,
     quality,
@@ -115,6 +116,14 @@ def op11_chat_formatting(spark, folder):
 SQL["op11_chat_formatting"] = chat.SQL
 
 
+@query
+def op12_hard_negatives(spark, folder):
+    return negatives.every(spark.read.parquet(f"{folder}/embeddings.parquet"), Workspace(spark))
+
+
+SQL["op12_hard_negatives"] = negatives.SQL
+
+
 @query
 def op13_periodic_runs(spark, folder):
     return periods.report(documents(spark, folder))
