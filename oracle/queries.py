@@ -607,12 +607,23 @@ QUERIES: dict[str, str] = {
     "departments_after": "SELECT * FROM departments_next",
     "employee_final": "SELECT * FROM final",
     "employees_upsert": UPSERTED,
+    "employees_upsert_bucketed": UPSERTED,
     "second_load_employees": UPSERTED,
+    "published_stamps": f"""
+        SELECT employee_id,
+               CASE WHEN e.employee_id IS NOT NULL AND f.employee_id IS NOT NULL THEN {AS_OF_TS} END
+                   AS updated_at
+        FROM fx_employees_before e FULL JOIN final f USING (employee_id)""",
     "load_counters": f"""
         SELECT d.*, {V.COUNTER_STEP} * (SELECT count(*) FROM final f
             WHERE f.department_id = d.department_id
               AND f.employee_id NOT IN (SELECT employee_id FROM fx_employees_before))
             AS employee_count FROM departments_next d""",
+    "published_counters": f"""
+        SELECT d.*, {V.COUNTER_STEP} * (SELECT count(*) FROM final f
+            WHERE f.department_id = d.department_id
+              AND f.employee_id NOT IN (SELECT employee_id FROM fx_employees_before))
+            AS employee_count FROM departments_next d""",
     "target_upsert": """
         SELECT * FROM final_row UNION ALL
         SELECT * FROM newest WHERE employee_id NOT IN (SELECT employee_id FROM final_row)""",
@@ -624,6 +635,14 @@ QUERIES: dict[str, str] = {
                (SELECT count(*) FROM kept) AS loaded_row_count,
                {quote(V.FINAL_MESSAGE)} AS message
         FROM judged""",
+    "run_audit_new_id": f"""
+        SELECT 'run-under-test' AS run_id, {quote(V.PROCESS_NAME)} AS process_name,
+               {AS_OF_TS} AS started_at, {AS_OF_TS} AS finished_at,
+               {quote(V.FINAL_STATUS)} AS status, count(*) AS source_row_count,
+               count(*) - (SELECT count(*) FROM kept) AS rejected_row_count,
+               (SELECT count(*) FROM kept) AS loaded_row_count,
+               {quote(V.FINAL_MESSAGE)} AS message
+        FROM judged""",
     "run_audit_rate": f"""
         SELECT run_id, {percent("rejected_row_count", "source_row_count")} AS reject_rate_pct
         FROM fx_audit""",
@@ -668,6 +687,9 @@ QUERIES: dict[str, str] = {
     "dept_counter": f"""
         SELECT *, {V.COUNTER_STEP} * (SELECT count(*) FROM fx_hires h
             WHERE h.department_id = d.department_id) AS employee_count FROM fx_departments d""",
+    "departments_after_hire": f"""
+        SELECT *, {V.COUNTER_STEP} * (SELECT count(*) FROM fx_hires h
+            WHERE h.department_id = d.department_id) AS employee_count FROM fx_departments d""",
     "append_log": f"""
         SELECT * FROM fx_audit UNION ALL BY NAME
         SELECT 'run-by-hand' AS run_id, {quote(V.PROCESS_NAME)} AS process_name,

@@ -10,7 +10,7 @@ from staffloom import fixedvalues as V
 from staffloom.functions import rules
 from staffloom.functions.dates import days_before
 from staffloom.operators.hotkeys import HOT_ROWS
-from staffloom.operators.numbering import rank_in_groups
+from staffloom.operators.numbering import dense_ranks
 from staffloom.sources.workspace import Workspace
 
 
@@ -84,28 +84,20 @@ def rank_departments(
 ) -> DataFrame:
     """Three ranks over all departments.
 
-    The measures, one row per department, are settled to be counted; up to
-    `hot_rows` departments are ranked in one task, more by ranges.
+    The measures, one row per department, are settled and counted; up to `hot_rows`
+    departments are ranked in one task, more by ranges of the different values.
     """
-    measures = ws.settle(measures, "department-measures")
+    measures, rows = ws.settle_counted(measures, "department-measures")
     falling = {
         "rank_by_avg_salary": F.col("avg_salary"),
         "rank_by_data_rejects": F.col("total_rejects"),
         "rank_by_low_activity": -F.col("active_ratio_pct"),
     }
-    if measures.count() <= hot_rows:
-        return measures.withColumns(
-            {
-                name: F.dense_rank().over(Window.orderBy(value.desc()))
-                for name, value in falling.items()
-            }
-        )
-    ranked = measures
-    for name, value in falling.items():
-        keyed = ranked.withColumns({"_all": F.lit(0), "_value": value})
-        ranked = (
-            rank_in_groups(keyed, "_all", "_value", "department_id", ws)
-            .withColumnRenamed("value_rank", name)
-            .drop("_all", "_value", "value_tile")
-        )
-    return ranked
+    if rows > hot_rows:
+        return dense_ranks(measures, falling, "department_id", ws, hot_rows)
+    return measures.withColumns(
+        {
+            name: F.dense_rank().over(Window.orderBy(value.desc()))
+            for name, value in falling.items()
+        }
+    )

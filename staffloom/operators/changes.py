@@ -102,29 +102,44 @@ def insert_absent(table: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
 
 
 def upsert(
-    table: DataFrame, incoming: DataFrame, key: str, update: Sequence[str] | None = None
+    table: DataFrame,
+    incoming: DataFrame,
+    key: str,
+    update: Sequence[str] | None = None,
+    stamp: str | None = None,
+    now: Column | None = None,
 ) -> DataFrame:
     """Insert incoming rows with new keys; on known keys set the `update` columns.
 
+    `stamp` names a column that gets `now` on every known row that is met, as a row trigger
+    on updates would set it, and nothing on new rows; it is added when the table has none.
+
     Without `update` all columns `incoming` has are set. Incoming values win even
     when NULL. `incoming` holds each key once; columns only the table has stay as
     they are, and are NULL on new rows. A batch within the broadcast limit leaves the
     table where it is; a larger one meets it in one full outer join.
     """
-    columns = table.columns
-    given = [c for c in columns if c in incoming.columns and c != key]
+    given = [c for c in table.columns if c in incoming.columns and c != key]
     update = given if update is None else list(update)
+    if stamp:
+        kind = dict(table.dtypes).get(stamp, "timestamp_ntz")
+        if stamp not in table.columns:
+            table = table.withColumn(stamp, F.lit(None).cast(kind))
+        update = [c for c in update if c != stamp]
+        incoming = incoming.drop(stamp)
+    columns = table.columns
     small = is_broadcastable(incoming)
     incoming = align(incoming, table)
     if small:
         fresh = incoming.select(key, F.struct(*update).alias("_in"))
         hit = F.col("_in").isNotNull()
-        changed = table.join(fresh, key, "left").select(
-            *[
-                F.when(hit, F.col("_in")[c]).otherwise(F.col(c)).alias(c) if c in update else c
-                for c in columns
-            ]
-        )
+
+        def kept(c: str) -> Column:
+            if c == stamp:
+                return F.when(hit, now.cast(kind)).otherwise(F.col(c)).alias(c)
+            return F.when(hit, F.col("_in")[c]).otherwise(F.col(c)).alias(c) if c in update else F.col(c)
+
+        changed = table.join(fresh, key, "left").select(*map(kept, columns))
         return changed.unionByName(absent(incoming, table, key).select(*columns))
 
     rest = [c for c in columns if c != key]
@@ -134,6 +149,9 @@ def upsert(
 
     def pick(c: str) -> Column:
         before, after = F.col("_old")[c], F.col("_in")[c]
+        if c == stamp:
+            met = F.col("_old").isNotNull() & F.col("_in").isNotNull()
+            return F.when(met, now.cast(kind)).otherwise(before)
         if c in update:
             return F.when(F.col("_in").isNotNull(), after).otherwise(before)
         return F.when(F.col("_old").isNotNull(), before).otherwise(after)
@@ -152,13 +170,21 @@ def with_one_row(rows: DataFrame, one: DataFrame) -> DataFrame:
 
 
 def append_ids(
-    table: DataFrame, rows: DataFrame, key: str, order: Sequence[str], ws: Workspace
+    table: DataFrame,
+    rows: DataFrame,
+    key: str,
+    order: Sequence[str],
+    ws: Workspace,
+    of: str | None = None,
+    **how,
 ) -> DataFrame:
-    """`rows` with ids that continue the table's highest, dense in `order`."""
-    numbered = number_rows(
-        with_one_row(rows, highest_id(table, key, "_top")), order, key, ws, after=F.col("_top")
-    )
-    return numbered.drop("_top")
+    """`rows` with ids in `key` that continue the table's highest, dense in `order`.
+
+    `of` is the table's name of the id, if another; for the rest see `number_rows`.
+    """
+    numbered = number_rows(rows, order, "_place_after", ws, **how)
+    found = with_one_row(numbered, highest_id(table, of or key, "_top"))
+    return found.withColumn(key, F.col("_top") + F.col("_place_after")).drop("_top", "_place_after")
 
 
 # --- departments -------------------------------------------------------------
@@ -184,14 +210,19 @@ def unseen_departments(names: DataFrame, departments: DataFrame) -> DataFrame:
     return found.join(known, "_folded", "left_anti").select("department_name")
 
 
-def discover_departments(names: DataFrame, departments: DataFrame, ws: Workspace) -> DataFrame:
+def discover_departments(
+    names: DataFrame, departments: DataFrame, ws: Workspace, rows: int | None = None
+) -> DataFrame:
     """New department rows, numbered by name after the highest id in use.
 
     New names are few as a rule; up to `FEW_ROWS` of them are numbered in one task, more
-    by ranges.
+    by ranges. They are settled to be counted unless the caller knows that there are no more
+    than so many `rows` of names.
     """
-    unseen = ws.settle(unseen_departments(names, departments), "unseen")
-    if unseen.count() <= FEW_ROWS:
+    unseen = unseen_departments(names, departments)
+    if rows is None or rows > FEW_ROWS:
+        unseen, rows = ws.settle_counted(unseen, "unseen")
+    if rows <= FEW_ROWS:
         top = highest_id(departments, "department_id", "_top")
         place = F.row_number().over(Window.orderBy("department_name")).cast("bigint")
         numbered = with_one_row(unseen, top).withColumn("department_id", F.col("_top") + place)
@@ -230,6 +261,27 @@ def hire(
     return schemas.EMPLOYEES.conform(numbered.withColumn("hire_date", as_of), now)
 
 
+def hire_counted(
+    employees: DataFrame,
+    departments: DataFrame,
+    hires: DataFrame,
+    order: Sequence[str],
+    as_of: Column,
+    now: Column,
+    ws: Workspace,
+) -> tuple[DataFrame, DataFrame]:
+    """The rows a batch of hires adds, and the departments with these counted in."""
+    added = ws.settle(hire(employees, hires, order, as_of, now, ws), "hired")
+    return added, count_inserted(with_counter(departments), added)
+
+
+def with_counter(departments: DataFrame) -> DataFrame:
+    """Departments with `employee_count`, 0 where there is none yet."""
+    had = "employee_count" in departments.columns
+    count = F.coalesce("employee_count", F.lit(0)) if had else F.lit(0)
+    return departments.withColumn("employee_count", count.cast("bigint"))
+
+
 def salary_log(
     employees: DataFrame, changes: DataFrame, now: Column, ws: Workspace, seq: str = "change_seq"
 ) -> DataFrame:

@@ -25,36 +25,56 @@ def hot_parts(
 ) -> dict[int, int]:
     """Hash of each key with more than `hot_rows` rows -> how many parts to cut it into.
 
+    NULL keys count as a key.
+    """
+    return hot_parts_of(df, [key_hash(*keys)], hot_rows)[0]
+
+
+def hot_parts_of(
+    df: DataFrame, hashes: Sequence[Column], hot_rows: int = HOT_ROWS
+) -> list[dict[int, int]]:
+    """For each of several keys, given as its hash: hot hash -> how many parts.
+
     A part is meant to hold at most `hot_rows` / 2 rows, so all parts together number
     no more than the rows of the table over that, whatever the skew.
 
     A table of up to `hot_rows` rows has no hot key; rows are counted, not bytes, for
-    alike rows pack into next to nothing. Beyond that the keys are counted by a one-pass
-    sketch. Every task fills one of bounded size. Sketches are merged per part of the
-    tasks, so that no task merges those of all others, and their counts are added up.
-    All keys above `hot_rows` reach the driver as pairs of numbers: no more than rows /
-    `hot_rows` of them. NULL keys count as a key. The answer steers where rows go, never
-    what the result is, so a key the sketch estimates badly costs time and nothing else.
+    alike rows pack into next to nothing. Beyond that all keys are counted in one pass by
+    sketches. Every task fills one of bounded size for each key. Sketches are merged per part
+    of the tasks, so that no task merges those of all others, and their counts are added up.
+    All keys above `hot_rows` reach the driver as numbers: no more than rows / `hot_rows` of
+    them for each key. Rows whose hash is NULL are left out. The answer steers where rows go,
+    never what the result is, so a key the sketch estimates badly costs time and nothing else.
     """
     rows = df.count()
     if rows <= hot_rows:
-        return {}
+        return [{} for _ in hashes]
     listed = min(max(PART_KEYS, 1 << (2 * rows // hot_rows).bit_length()), MOST_PART_KEYS)
+    named = [h.alias(f"h{i}") for i, h in enumerate(hashes)]
+    sketch = "approx_top_k({0}, {1}, {2}) FILTER (WHERE {0} IS NOT NULL)"
     sketched = (
-        df.select(
-            key_hash(*keys).alias("h"), (F.spark_partition_id() % SKETCH_FAN).alias("part")
-        )
+        df.select(*named, (F.spark_partition_id() % SKETCH_FAN).alias("part"))
         .groupBy("part")
-        .agg(F.expr(f"approx_top_k(h, {listed}, {2 * listed})").alias("top"))
+        .agg(
+            *[
+                F.expr(sketch.format(f"h{i}", listed, 2 * listed)).alias(f"top{i}")
+                for i in range(len(hashes))
+            ]
+        )
     )
+    tops = [F.struct(F.lit(i).alias("of"), F.col(f"top{i}").alias("top")) for i in range(len(hashes))]
     hot = (
-        sketched.select(F.inline("top"))
-        .groupBy("item")
+        sketched.select(F.explode(F.array(*tops)).alias("t"))
+        .select("t.of", F.inline("t.top"))
+        .groupBy("of", "item")
         .agg(F.sum("count").alias("rows"))
         .filter(F.col("rows") > hot_rows)
     )
-    found = hot.agg(F.collect_list(F.struct("item", "rows"))).first()[0]
-    return {item: 1 << (2 * rows // hot_rows).bit_length() for item, rows in found}
+    found = hot.agg(F.collect_list(F.struct("of", "item", "rows"))).first()[0]
+    parts: list[dict[int, int]] = [{} for _ in hashes]
+    for of, item, n in found:
+        parts[of][item] = 1 << (2 * n // hot_rows).bit_length()
+    return parts
 
 
 def parts_of(hot: Mapping[int, int], *keys: Column) -> Column:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from staffloom.operators.hotkeys import HOT_ROWS, hot_parts, parts_of
+EPOCH = dt.datetime(1970, 1, 1)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -25,37 +26,34 @@ def latest_overall(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     return df.orderBy(*order).limit(1)
 
 
+def newest_first(name: str) -> Column:
+    """A value that is the smaller the later the time; no time is the greatest."""
+    age = F.lit(EPOCH).cast("timestamp_ntz") - F.col(name)
+    return F.struct(F.col(name).isNull().alias("none"), age.alias("age"))
+
+
 def mark_latest(
     df: DataFrame,
     key: str,
     order: Sequence[Column],
+    row: str,
     flag: str = "is_latest",
-    hot_rows: int = HOT_ROWS,
+    large: bool = False,
 ) -> DataFrame:
-    """All rows, with `flag` true on exactly one row per key: the first by `order`.
-
-    Rows of one key meet in one task, but for hot keys. A hot key is first ranked
-    in salted parts, and only the part winners meet in a second ranking. The salt
-    mixes row content with the input partition, so a key whose rows are all alike is
-    spread too.
-    """
-    hot = hot_parts(df, [F.col(key)], hot_rows)
-    first = F.row_number().over(Window.partitionBy(key).orderBy(*order)) == 1
-    if not hot:
-        return df.withColumn(flag, first)
-    parts = parts_of(hot, F.col(key))
-    cold = df.filter(parts == 1).withColumn(flag, first)
-    return cold.unionByName(_mark_in_parts(df.filter(parts > 1), key, parts, order, flag))
+    """All rows, with `flag` true on exactly one row per key: the one of least `order`.
 
+    `order` are values to be compared one after the other, NULL first; `row` names a number
+    no two rows share, which decides between equals. No key is a key as well.
 
-def _mark_in_parts(
-    df: DataFrame, key: str, parts: Column, order: Sequence[Column], flag: str
-) -> DataFrame:
-    part = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), parts)
-    within = Window.partitionBy(key, "_part").orderBy(*order)
-    ranked = df.withColumn("_part", part).withColumn("_won", F.row_number().over(within) == 1)
-    # Part winners compete in a part of their own, -1; the others stay where they
-    # are, with nothing to win.
-    placed = ranked.withColumn("_part", F.when(F.col("_won"), F.lit(-1)).otherwise(F.col("_part")))
-    first = F.row_number().over(within) == 1
-    return placed.withColumn(flag, first & (F.col("_part") == -1)).drop("_part", "_won")
+    Every task brings each of its keys down to one row before anything is shuffled, so a hot
+    key costs no more than another, and the rows then meet the numbers of the winners, which
+    are spread evenly by nature. `df` is read twice, so it should be a settled table. The
+    winners are broadcast where they are few, unless they are said to be a `large` number.
+    """
+    values = [value.alias(f"_{i}") for i, value in enumerate(order)]
+    best = F.min(F.struct(*values, F.col(row).alias("row")))
+    won = df.groupBy(key).agg(best.alias("_best")).select(F.col("_best.row").alias("_won"))
+    if large:
+        won = won.hint("merge")
+    met = df.join(won, F.col(row) == F.col("_won"), "left")
+    return met.withColumn(flag, F.col("_won").isNotNull()).drop("_won")

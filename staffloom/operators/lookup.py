@@ -6,10 +6,10 @@ import operator
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staffloom.operators.hotkeys import HOT_ROWS, hot_parts, parts_of
+from staffloom.operators.hotkeys import HOT_ROWS, hot_parts_of, key_hash, parts_of
 from staffloom.sources.workspace import is_broadcastable
 
 # Rows without a key are scattered over so many values; they have no table rows to
@@ -42,28 +42,70 @@ def lookup(
     looked for in `keys_from`, a cheaper frame in which the keys occur as they do
     in `rows`, where there is one.
     """
-    if is_broadcastable(table) if small_table is None else small_table:
-        return rows.join(table, list(keys), "left")
+    small_tables = None if small_table is None else [small_table]
+    return lookups(rows, [(table, keys)], spread_by, hot_rows, keys_from, small_rows, small_tables)
+
+
+def lookups(
+    rows: DataFrame,
+    tables: Sequence[tuple[DataFrame, Sequence[str]]],
+    spread_by: str,
+    hot_rows: int = HOT_ROWS,
+    keys_from: DataFrame | None = None,
+    small_rows: bool | None = None,
+    small_tables: Sequence[bool] | None = None,
+) -> DataFrame:
+    """`lookup` of several tables in turn, each by columns that `rows` has from the start.
+
+    The hot keys of all joins that must be salted are looked for in one pass.
+    """
+    keys_from = rows if keys_from is None else keys_from
+    small_tables = [is_broadcastable(t) for t, _ in tables] if small_tables is None else small_tables
+    ways = [_way(rows, keys, small, small_rows) for (_, keys), small in zip(tables, small_tables)]
+    salted = [keys for (_, keys), way in zip(tables, ways) if way == "salted"]
+    hashes = [F.when(~_unmatched(keys), key_hash(*map(F.col, keys))) for keys in salted]
+    hot = iter(hot_parts_of(keys_from, hashes, hot_rows) if hashes else ())
+    for (table, keys), way in zip(tables, ways):
+        if way == "salted":
+            rows = _salted(rows, table, keys, spread_by, next(hot))
+            continue
+        if way == "cut":
+            # A batch known to be small is broadcast with its repeats, which saves a shuffle.
+            wanted = rows.select(*keys).dropna() if small_rows else _wanted(rows, keys)
+            table = table.join(F.broadcast(wanted), list(keys), "left_semi")
+        rows = rows.join(table, list(keys), "left")
+    return rows
+
+
+def _wanted(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return rows.select(*keys).dropna().distinct()
+
+
+def _unmatched(keys: Sequence[str]) -> Column:
+    return reduce(operator.or_, [F.col(k).isNull() for k in keys])
+
+
+def _way(rows: DataFrame, keys, small_table: bool, small_rows: bool | None) -> str:
+    if small_table:
+        return "plain"
     if is_broadcastable(rows) if small_rows is None else small_rows:
         # Alike rows pack into few bytes: what counts is the number of keys.
-        wanted = rows.select(*keys).dropna().distinct()
-        if small_rows or wanted.limit(SMALL_KEYS + 1).count() <= SMALL_KEYS:
-            table = table.join(F.broadcast(wanted), list(keys), "left_semi")
-            return rows.join(table, list(keys), "left")
-    return _salted(rows, table, keys, spread_by, hot_rows, rows if keys_from is None else keys_from)
+        if small_rows or _wanted(rows, keys).limit(SMALL_KEYS + 1).count() <= SMALL_KEYS:
+            return "cut"
+    return "salted"
 
 
-def _salted(rows, table, keys, spread_by, hot_rows, keys_from) -> DataFrame:
+def _salted(rows, table, keys, spread_by, hot) -> DataFrame:
     """Both sides shuffle. A key holding many rows is cut into parts by `spread_by`
     and its one table row repeated per part; rows with a NULL key need no partner and
     are spread over all partitions."""
-    columns = [F.col(k) for k in keys]
-    unmatched = reduce(operator.or_, [k.isNull() for k in columns])
-    parts = parts_of(hot_parts(keys_from.filter(~unmatched), columns, hot_rows), *columns)
+    parts = parts_of(hot, *map(F.col, keys))
     everywhere = F.lit(NULL_PARTS)
     left = rows.withColumn(
         "_part",
-        F.pmod(F.xxhash64(spread_by), F.when(unmatched, everywhere).otherwise(parts)).cast("int"),
+        F.pmod(
+            F.xxhash64(spread_by), F.when(_unmatched(keys), everywhere).otherwise(parts)
+        ).cast("int"),
     )
     right = table.withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
     return left.join(right, [*keys, "_part"], "left").drop("_part")

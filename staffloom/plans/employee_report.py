@@ -52,12 +52,22 @@ def employee_report(
     """One row per employee of interest beside the latest run; empty without a run.
 
     Ranks and quartiles are over all employees of a department, so every filter
-    stays above them. Department statistics are settled first: they are small, and
-    their largest head count decides how the ranks are computed.
+    stays above them. What is known of a department, names and statistics, is settled first
+    as one small table; its largest head count decides how the ranks are computed.
     """
     day = today(as_of)
-    stats = ws.settle(salary_statistics(employees), "salary-statistics")
-    largest = stats.agg(F.max("dept_employee_count")).first()[0] or 0
+    named = departments.select(
+        "department_id",
+        "department_name",
+        "location",
+        rules.report_region(F.col("location")).alias("geo_region"),
+    )
+    # Employees may name no department or an unknown one: those have statistics alone.
+    places, largest = ws.settle_counted(
+        named.join(salary_statistics(employees), "department_id", "full_outer"),
+        "places",
+        F.max("dept_employee_count"),
+    )
     sources = ws.settle(recent_rejects(rejects, now(as_of_ts), reject_days), "recent-rejects")
 
     base = employees.select(
@@ -88,7 +98,7 @@ def employee_report(
         }
     )
     ranked = rank_in_groups(
-        facts,
+        ws.settle(facts, "facts"),
         "department_id",
         "effective_salary",
         "employee_id",
@@ -101,15 +111,8 @@ def employee_report(
         & (F.col("effective_salary") >= min_salary)
         & (F.col("service_months") >= min_months)
     )
-    places = departments.select(
-        "department_id",
-        "department_name",
-        "location",
-        rules.report_region(F.col("location")).alias("geo_region"),
-    )
     joined = lookup(wanted, places, ["department_id"], "employee_id", hot_rows, employees)
     joined = joined.filter(F.col("geo_region").isin(*regions))
-    joined = lookup(joined, stats, ["department_id"], "employee_id", hot_rows, employees)
     joined = lookup(
         joined, sources, ["source_system", "source_employee_id"], "employee_id", hot_rows, enriched
     )

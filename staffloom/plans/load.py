@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -16,9 +17,8 @@ from staffloom.functions import cleaning, rules
 from staffloom.functions.dates import Clock, complete_years, now, today
 from staffloom.operators import changes
 from staffloom.operators.hotkeys import HOT_ROWS
-from staffloom.operators.latest import latest_overall, mark_latest
-from staffloom.operators.lookup import lookup
-from staffloom.operators.numbering import number_rows
+from staffloom.operators.latest import latest_overall, mark_latest, newest_first
+from staffloom.operators.lookup import lookup, lookups
 from staffloom.sources import schemas
 from staffloom.sources.tables import append_to, read_table, replace_part, write_snapshot
 from staffloom.sources.workspace import Workspace, is_broadcastable
@@ -94,19 +94,23 @@ def validate(normalised: DataFrame) -> DataFrame:
     return normalised.withColumn("reject_reason", cleaning.first_failure(*map(F.col, checked)))
 
 
-def judge(staging: DataFrame, as_of_ts: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Every staging row once, with `kept` and, where not kept, why.
+def judge(
+    staging: DataFrame, as_of_ts: Column, ws: Workspace, large: bool = False
+) -> DataFrame:
+    """Every staging row once, with `kept` and, where not kept, why; `row_id` numbers them.
 
     The newest row of a business key is found before validity is looked at, so an
     invalid newest row takes its older valid ones down as duplicates. Rows that tie
     on both times are told apart by their text; rows that tie on that too are alike,
-    and any one of them stands for the others.
+    and any one of them stands for the others. `large` says that the newest rows are too
+    many to be broadcast by their numbers.
     """
     told_apart = ("source_system", "source_employee_id", *RAW_COLUMNS)
-    newest = [F.col("event_ts").desc(), F.col("ingested_at").desc(), *map(F.col, told_apart)]
-    # Only the raw text goes through the shuffle; it is parsed on the other side.
+    newest = [newest_first("event_ts"), newest_first("ingested_at"), *map(F.col, told_apart)]
+    # The trimmed text is settled, read for the newest rows and read again for the outcome.
+    trimmed = trim_fields(staging, as_of_ts).withColumn("row_id", F.monotonically_increasing_id())
     marked = mark_latest(
-        trim_fields(staging, as_of_ts), "business_key", newest, hot_rows=hot_rows
+        ws.settle(trimmed, "trimmed"), "business_key", newest, "row_id", large=large
     )
     judged = validate(read_fields(marked))
     kept = F.col("reject_reason").isNull() & F.col("is_latest")
@@ -114,7 +118,7 @@ def judge(staging: DataFrame, as_of_ts: Column, hot_rows: int = HOT_ROWS) -> Dat
     return judged.withColumns({"kept": kept, "rejection_reason": F.when(~kept, reason)})
 
 
-def survivors(judged: DataFrame) -> DataFrame:
+def survivors(judged: DataFrame, *more: str) -> DataFrame:
     return judged.filter("kept").select(
         "source_system",
         "source_employee_id",
@@ -129,13 +133,18 @@ def survivors(judged: DataFrame) -> DataFrame:
         "event_ts",
         "ingested_at",
         "business_key",
+        *more,
     )
 
 
 def rejects(
     judged: DataFrame, run_id: str, as_of_ts: Column, reject_log: DataFrame, ws: Workspace
 ) -> DataFrame:
-    """The rows the batch adds to the reject log, ids continuing the log's."""
+    """The rows the batch adds to the reject log, ids continuing the log's.
+
+    Ids go by business key and times; `judged` is read for these alone and once for the rows,
+    so it should be settled.
+    """
     refused = judged.filter("NOT kept").select(
         F.lit(run_id).alias("run_id"),
         "source_system",
@@ -149,11 +158,11 @@ def rejects(
         "business_key",
         "event_ts",
         "ingested_at",
+        "row_id",
     )
     order = ["business_key", "event_ts", "ingested_at"]
-    text = [c for c in schemas.REJECTS.schema.names if c in refused.columns and c not in order]
     return schemas.REJECTS.conform(
-        changes.append_ids(reject_log, refused, "reject_id", order + text, ws)
+        changes.append_ids(reject_log, refused, "reject_id", order, ws, row="row_id")
     )
 
 
@@ -184,13 +193,8 @@ def resolve(
         .agg(F.min("employee_id").alias("existing_employee_id"))
     )
     folded = kept.withColumn("_folded", F.lower("department_name"))
-    found = folded
-    for table, key in (
-        (by_id, "department_id_from_source"),
-        (by_name, "_folded"),
-        (by_email, "email"),
-    ):
-        found = lookup(found, table, [key], "business_key", hot_rows, folded, small)
+    tables = [(by_id, ["department_id_from_source"]), (by_name, ["_folded"]), (by_email, ["email"])]
+    found = lookups(folded, tables, "business_key", hot_rows, folded, small)
     return found.select(
         "source_system",
         "source_employee_id",
@@ -210,32 +214,44 @@ def resolve(
         ).alias("department_name"),
         "existing_employee_id",
         "business_key",
+        "row_id",
     )
 
 
-def number(resolved: DataFrame, employees: DataFrame, ws: Workspace) -> DataFrame:
+def number(
+    resolved: DataFrame, kept: DataFrame, employees: DataFrame, ws: Workspace, rows: int
+) -> DataFrame:
     """Give every survivor its employee id: the known one, or a new one.
 
-    All survivors are numbered, known ones too, so new ids have gaps.
+    All survivors are numbered, known ones too, so new ids have gaps. They are put in order
+    by the keys of `kept`, the `rows` survivors as they were settled, so that resolving them
+    runs once.
     """
-    top = changes.highest_id(employees, "employee_id", "_top")
-    numbered = number_rows(
-        changes.with_one_row(resolved, top), ["business_key"], "_new", ws, after=F.col("_top")
+    numbered = changes.append_ids(
+        employees, resolved, "_new", ["business_key"], ws, "employee_id",
+        row="row_id", keys_from=kept, total=rows,
     )
     return numbered.withColumn(
         "employee_id", F.coalesce("existing_employee_id", "_new")
-    ).drop("_new", "_top")
+    ).drop("_new")
 
 
 def enrich(
-    numbered: DataFrame, as_of: Column, ws: Workspace, hot_rows: int = HOT_ROWS
+    numbered: DataFrame,
+    as_of: Column,
+    ws: Workspace,
+    hot_rows: int = HOT_ROWS,
+    small: bool = False,
 ) -> DataFrame:
-    """Add salary band, tenure and compensation index."""
-    averages = ws.settle(
-        numbered.groupBy("department_id").agg(F.avg("salary").alias("_average")),
-        "department-averages",
+    """Add salary band, tenure and compensation index.
+
+    `small` says that the rows are within the broadcast limit, so the averages are too.
+    """
+    averages = numbered.groupBy("department_id").agg(F.avg("salary").alias("_average"))
+    averages = F.broadcast(averages) if small else ws.settle(averages, "department-averages")
+    beside = lookup(
+        numbered, averages, ["department_id"], "business_key", hot_rows, small_table=small or None
     )
-    beside = lookup(numbered, averages, ["department_id"], "business_key", hot_rows)
     return beside.withColumn(
         "tenure_years", complete_years(F.col("hire_date"), as_of)
     ).select(
@@ -303,17 +319,12 @@ def enriched_changes(final: DataFrame, run_id: str, as_of_ts: Column) -> DataFra
             "loaded_at": as_of_ts,
         }
     )
-    known = F.col("existing_employee_id").isNotNull()
     values = [c for c in schemas.ENRICHED.schema.names if c != "employee_id"]
-    last = (
-        row.filter(known)
-        .groupBy("employee_id")
-        .agg(F.max_by(F.struct(*values), F.col("business_key")).alias("_row"))
-        .select("employee_id", "_row.*")
-    )
-    return schemas.ENRICHED.conform(row.filter(~known)).unionByName(
-        schemas.ENRICHED.conform(last)
+    # New ids are met once, so one aggregate by the id, which the upsert needs anyway, does.
+    last = row.groupBy("employee_id").agg(
+        F.max_by(F.struct(*values), F.col("business_key")).alias("_row")
     )
+    return schemas.ENRICHED.conform(last.select("employee_id", "_row.*"))
 
 
 def open_run(spark: SparkSession, run_id: str, as_of_ts: Column) -> DataFrame:
@@ -374,11 +385,13 @@ class Tables:
     rejects: DataFrame
 
 
-def next_departments(departments: DataFrame, kept: DataFrame, ws: Workspace) -> DataFrame:
-    """Departments with the default one and every name the batch discovers."""
+def next_departments(
+    departments: DataFrame, kept: DataFrame, ws: Workspace, rows: int | None = None
+) -> DataFrame:
+    """Departments with the default one and every name the batch of `rows` discovers."""
     base = schemas.DEPARTMENTS.complete(departments)
     base = changes.insert_absent(base, changes.default_department(ws.spark), "department_id")
-    return base.unionByName(changes.align(changes.discover_departments(kept, base, ws), base))
+    return base.unionByName(changes.align(changes.discover_departments(kept, base, ws, rows), base))
 
 
 class Load:
@@ -398,6 +411,7 @@ class Load:
         final_status: str = V.FINAL_STATUS,
         ws: Workspace | None = None,
         hot_rows: int = HOT_ROWS,
+        new_run_id: Callable[[], str] = lambda: str(uuid.uuid4()),
     ):
         if as_of_ts is None:
             # One clock for the whole load: a lazy current_timestamp moves per query. It is
@@ -405,7 +419,7 @@ class Load:
             as_of_ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         self.staging = staging
         self.before = before
-        self.run_id = run_id or str(uuid.uuid4())
+        self.run_id = run_id or new_run_id()
         self.moment = now(as_of_ts)
         self.day = today(as_of) if as_of is not None else self.moment.cast("date")
         self.final_status = final_status
@@ -415,73 +429,75 @@ class Load:
     @cached_property
     def judged(self) -> DataFrame:
         """Every staging row: typed values where kept, raw text where refused."""
-        rows = judge(self.staging, self.moment, self.hot_rows)
+        rows = judge(self.staging, self.moment, self.ws)
         one_sided = {c: F.when(~F.col("kept"), F.col(c)) for c in RAW_COLUMNS}
         one_sided |= {c: F.when(F.col("kept"), F.col(c)) for c in TYPED_COLUMNS}
-        return self.ws.settle(rows.withColumns(one_sided), "judged")
+        rows = rows.withColumns(one_sided)
+        judged, self._kept = self.ws.settle_counted(rows, "judged", F.count_if("kept"))
+        return judged
 
     @cached_property
     def small_batch(self) -> bool:
         """Whether the survivors, by size on disk and by number, can be broadcast."""
-        kept = survivors(self.judged)
-        return is_broadcastable(kept) and kept.count() <= SMALL_BATCH_ROWS
+        return is_broadcastable(survivors(self.judged)) and self._kept <= SMALL_BATCH_ROWS
 
     @cached_property
     def departments(self) -> DataFrame:
         """The next departments snapshot."""
-        rows = next_departments(self.before.departments, survivors(self.judged), self.ws)
+        kept = survivors(self.judged)
+        rows = next_departments(self.before.departments, kept, self.ws, self._kept)
         return self.ws.settle(rows, "departments")
 
     @cached_property
     def numbered(self) -> DataFrame:
         """The survivors with their departments and employee ids."""
+        kept = survivors(self.judged, "row_id")
         resolved = resolve(
-            survivors(self.judged),
-            self.departments,
-            self.before.employees,
-            self.hot_rows,
-            self.small_batch,
+            kept, self.departments, self.before.employees, self.hot_rows, self.small_batch
         )
-        return number(resolved, self.before.employees, self.ws)
+        numbered = number(resolved, kept, self.before.employees, self.ws, self._kept)
+        return self.ws.settle(numbered, "numbered")
 
     @cached_property
     def final(self) -> DataFrame:
         """The survivors, resolved, numbered and enriched."""
-        return enrich(self.numbered, self.day, self.ws, self.hot_rows)
+        return enrich(self.numbered, self.day, self.ws, self.hot_rows, self.small_batch)
 
     def _incoming(self, rows: DataFrame, name: str) -> DataFrame:
         # An upsert reads a small batch several times, a large one once; settled, the
         # small one is also seen to be small.
         return self.ws.settle(rows, name) if self.small_batch else rows
 
+    @cached_property
+    def _employee_changes(self) -> DataFrame:
+        return self._incoming(employee_changes(self.numbered, self.moment), "employee-changes")
+
+    def _next_employees(self, **stamp) -> DataFrame:
+        before = schemas.EMPLOYEES.complete(self.before.employees, self.moment)
+        return changes.upsert(before, self._employee_changes, "employee_id", EMPLOYEE_UPDATES, **stamp)
+
     @cached_property
     def employees(self) -> DataFrame:
         """The next employees snapshot."""
-        return changes.upsert(
-            schemas.EMPLOYEES.complete(self.before.employees, self.moment),
-            self._incoming(employee_changes(self.numbered, self.moment), "employee-changes"),
-            "employee_id",
-            EMPLOYEE_UPDATES,
-        )
+        return self._next_employees()
+
+    @cached_property
+    def stamped_employees(self) -> DataFrame:
+        """The next employees snapshot with `updated_at` on every employee the load updates, as
+        a row trigger would set it."""
+        return self._next_employees(stamp="updated_at", now=self.moment)
 
     @cached_property
     def counted_departments(self) -> DataFrame:
         """The next departments snapshot with `employee_count` raised, from 0 where there
         is none, for every employee the load inserts, as a row trigger would."""
-        came = changes.absent(
-            employee_changes(self.numbered, self.moment), self.before.employees, "employee_id"
-        )
-        had = "employee_count" in self.departments.columns
-        count = F.coalesce("employee_count", F.lit(0)) if had else F.lit(0)
-        counted = self.departments.withColumn("employee_count", count.cast("bigint"))
-        return changes.count_inserted(counted, came)
+        came = changes.absent(self._employee_changes, self.before.employees, "employee_id")
+        return changes.count_inserted(changes.with_counter(self.departments), came)
 
     @cached_property
     def enriched(self) -> DataFrame:
         """The next enriched snapshot."""
-        # Read once for new employees and once for known ones.
-        final = self.ws.settle(self.final, "final")
-        rows = enriched_changes(final, self.run_id, self.moment)
+        rows = enriched_changes(self.final, self.run_id, self.moment)
         return changes.upsert(
             schemas.ENRICHED.complete(self.before.enriched, self.moment),
             self._incoming(rows, "enriched-changes"),
@@ -501,7 +517,8 @@ class Load:
         return close_run(opened, self.run_id, counts, self.moment, self.final_status)
 
     def publish(self, folder: str) -> None:
-        """Write the outcome. The audit row comes last: it marks a whole run.
+        """Write the outcome, counters and stamps of the row triggers included. The audit row
+        comes last: it marks a whole run.
 
         A broken attempt is published again under its run id; what it left is
         replaced. A whole run is not published twice.
@@ -511,8 +528,8 @@ class Load:
         if not run_audit_of(audit, self.run_id).isEmpty():
             raise ValueError(f"run {self.run_id} is already published")
         snapshot = f"{folder}/snapshots/{self.run_id}"
-        write_snapshot(self.departments, f"{snapshot}/departments", replace=True)
-        write_snapshot(self.employees, f"{snapshot}/employees", replace=True)
+        write_snapshot(self.counted_departments, f"{snapshot}/departments", replace=True)
+        write_snapshot(self.stamped_employees, f"{snapshot}/employees", replace=True)
         write_snapshot(self.enriched, f"{snapshot}/employee_enriched_target", replace=True)
         log = f"{folder}/etl_employee_rejects"
         replace_part(self.new_rejects, log, "run_id", self.run_id)

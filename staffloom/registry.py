@@ -17,7 +17,7 @@ from staffloom.operators.numbering import rank_in_groups
 from staffloom.plans import department_dashboard as dashboard
 from staffloom.plans import employee_report as report
 from staffloom.plans import load, views
-from staffloom.sources import schemas, tables
+from staffloom.sources import buckets, schemas, tables
 from staffloom.sources.fixtures import AS_OF, AS_OF_TS, RUN_ID, Fixtures
 from staffloom.sources.workspace import Workspace
 
@@ -29,6 +29,7 @@ QUERIES: dict[str, Query] = {}
 ACTIVE_PCT = 20
 VIEW_STATUS = "Active"
 HIRED_AFTER = "1999-01-01"
+BUCKETS = 16
 
 
 def query(fn: Callable[[Fixtures], DataFrame]) -> Callable:
@@ -413,8 +414,8 @@ def stg_validated(fx):
     return checked.select("business_key", "event_ts", "ingested_at", "reject_reason")
 
 
-def _judged(fx):
-    return load.judge(fx.staging(), _moment())
+def _judged(fx, **how):
+    return load.judge(fx.staging(), _moment(), Workspace(fx.spark), **how)
 
 
 def _kept(fx):
@@ -428,8 +429,8 @@ def stg_survivors(fx):
 
 @query
 def stg_survivors_salted(fx):
-    """The same with every repeated business key ranked in salted parts first."""
-    return load.survivors(load.judge(fx.staging(), _moment(), hot_rows=1))
+    """The same with more newest rows than can be broadcast: both sides meet by row number."""
+    return load.survivors(_judged(fx, large=True))
 
 
 @query
@@ -516,7 +517,38 @@ def second_load_employees(fx):
     first.publish(folder)
     staging = fx.staging().withColumn("email", F.coalesce("email", F.lit("no mail")))
     before = load.published(fx.spark, folder)
-    return load.Load(staging, before, "second", AS_OF, AS_OF_TS, ws=ws).employees
+    second = load.Load(staging, before, "second", AS_OF, AS_OF_TS, ws=ws)
+    return second.employees.select(*schemas.EMPLOYEES.schema.names)
+
+
+@query
+def published_stamps(fx):
+    """When the published employees were updated: those the load met, at its time."""
+    return _published(fx).employees.select("employee_id", "updated_at")
+
+
+@query
+def published_counters(fx):
+    """The published departments, inserted employees counted."""
+    return _published(fx).departments
+
+
+def _published(fx):
+    ws = Workspace(fx.spark)
+    folder = f"{ws.root}/published"
+    _loaded(fx, final_status="SUCCESS", ws=ws).publish(folder)
+    return load.published(fx.spark, folder)
+
+
+@query
+def employees_upsert_bucketed(fx):
+    """The same upsert into a table in hash buckets, of which it replaces those it meets."""
+    job = _loaded(fx)
+    path = f"{job.ws.root}/employees-in-buckets"
+    buckets.write_buckets(fx.employees_before(), path, "employee_id", BUCKETS)
+    incoming = load.employee_changes(job.numbered, job.moment)
+    buckets.upsert_buckets(incoming, path, "employee_id", BUCKETS, job.ws, load.EMPLOYEE_UPDATES)
+    return buckets.read_buckets(fx.spark, path)
 
 
 @query
@@ -535,6 +567,15 @@ def run_audit_close(fx):
     return _loaded(fx).audit_row
 
 
+@query
+def run_audit_new_id(fx):
+    """The audit row of a run that takes its id from a given source of new ids."""
+    target = report.latest_enriched(fx.enriched())
+    before = load.Tables(fx.employees_before(), fx.departments(), target, fx.rejects())
+    clock = {"as_of": AS_OF, "as_of_ts": AS_OF_TS}
+    return load.Load(fx.staging(), before, **clock, new_run_id=lambda: RUN_ID).audit_row
+
+
 @query
 def run_audit_rate(fx):
     """Runs with their reject rate."""
@@ -618,6 +659,14 @@ def batch_hire(fx):
     return changes.hire(fx.employees(), fx.hires(), ["email"], _day(), _moment(), ws)
 
 
+@query
+def departments_after_hire(fx):
+    """Departments with a batch of hires counted in as they are added."""
+    ws = Workspace(fx.spark)
+    how = (["email"], _day(), _moment(), ws)
+    return changes.hire_counted(fx.employees(), fx.departments(), fx.hires(), *how)[1]
+
+
 @query
 def employees_after_hire(fx):
     """The employees table with the batch of hires in it."""

@@ -10,7 +10,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -44,6 +45,16 @@ class Workspace:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def settle_counted(
+        self, df: DataFrame, name: str, measure: Column | None = None
+    ) -> tuple[DataFrame, int]:
+        """`settle`, and how many rows there are, or another aggregate, found while they are
+        written."""
+        seen = Observation()
+        wanted = F.count(F.lit(1)) if measure is None else measure
+        settled = self.settle(df.observe(seen, wanted.alias("wanted")), name)
+        return settled, seen.get.get("wanted") or 0
+
 
 def planned_bytes(df: DataFrame) -> int:
     """Catalyst's size of `df`: compressed bytes for a scan, a product above joins.

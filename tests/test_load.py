@@ -324,6 +324,49 @@ def test_inserted_employees_are_counted(spark):
     assert sum(r.employee_count for r in counted.collect()) == 2 * V.COUNTER_STEP
 
 
+def test_publishing_counts_and_stamps(spark, tmp_path):
+    """What row triggers would do is in what is published, and a second load goes on from it."""
+    folder = str(tmp_path)
+    tables_before = before(spark, employees=((7, "seven@x.com"), (8, "eight@x.com")))
+    run(spark, staged(spark, {"n": 1, "email": "seven@x.com"}, {"n": 2}), tables_before).publish(folder)
+    after = load.published(spark, folder)
+    stamps = {r.employee_id: r.updated_at for r in after.employees.collect()}
+    assert stamps == {7: dt.datetime(2024, 1, 31), 8: None, 10: None}
+    counts = {r.department_id: r.employee_count for r in after.departments.collect()}
+    assert counts == {0: 0, 1: V.COUNTER_STEP, 5: 0}
+    more = staged(spark, {"n": 3, "email": "eight@x.com"}, {"n": 4}, {"n": 5, "department_id_raw": "5"})
+    load.Load(more, after, "r2", "2024-01-01", "2024-02-01 00:00:00").publish(folder)
+    last = load.published(spark, folder)
+    stamps = {r.employee_id: r.updated_at for r in last.employees.collect()}
+    assert stamps[7] == dt.datetime(2024, 1, 31) and stamps[8] == dt.datetime(2024, 2, 1)
+    counts = {r.department_id: r.employee_count for r in last.departments.collect()}
+    assert counts == {0: 0, 1: 2 * V.COUNTER_STEP, 5: V.COUNTER_STEP}
+
+
+def test_run_ids(spark):
+    ids = iter(["first", "second"])
+    staging, tables_before = staged(spark, {"n": 1}), before(spark)
+    made = [load.Load(staging, tables_before, new_run_id=lambda: next(ids)) for _ in range(2)]
+    assert [job.run_id for job in made] == ["first", "second"]
+    assert {job.audit_row.first().run_id for job in made} == {"first", "second"}
+    assert load.Load(staging, tables_before).run_id != load.Load(staging, tables_before).run_id
+
+
+def test_lookups_run_once_and_planning_takes_few_jobs(spark):
+    """Resolving is settled with the ids; what reads it reads one table."""
+    fx = Fixtures(spark, "/root/testdata/sf0.001")
+    enriched = schemas.ENRICHED.empty(spark)
+    tables_before = load.Tables(fx.employees_before(), fx.departments(), enriched, fx.rejects())
+    fx.staging()
+    tracker = spark.sparkContext.statusTracker()
+    for name, most in (("final", 35), ("employees", 37), ("enriched", 39)):
+        started = len(tracker.getJobIdsForGroup(None))
+        job = load.Load(fx.staging(), tables_before, RUN_ID, AS_OF, AS_OF_TS)
+        text = getattr(job, name)._jdf.queryExecution().executedPlan().toString()
+        assert len(tracker.getJobIdsForGroup(None)) - started <= most
+        assert "_by_name" not in text and "_by_id" not in text
+
+
 def test_a_broken_publish_is_repeated(spark, tmp_path, monkeypatch):
     staging = staged(spark, {"n": 1}, {"n": 2, "salary_raw": "x"})
     folder = str(tmp_path)

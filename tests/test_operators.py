@@ -13,9 +13,9 @@ from conftest import rows_of
 from staffloom.functions.dates import now, today
 from staffloom.operators import aggregates, changes, checks, evolve
 from staffloom.operators.aggregates import rank_departments
-from staffloom.operators.hotkeys import hot_parts, parts_of
-from staffloom.operators.latest import latest_overall, latest_per_key, mark_latest
-from staffloom.operators.lookup import lookup
+from staffloom.operators.hotkeys import hot_parts, hot_parts_of, parts_of
+from staffloom.operators.latest import latest_overall, latest_per_key, mark_latest, newest_first
+from staffloom.operators.lookup import lookup, lookups
 from staffloom.operators.numbering import number_rows, previous_in_order, rank_in_groups
 from staffloom.plans import load, views
 from staffloom.sources import schemas, tables
@@ -48,10 +48,9 @@ def test_hot_parts_finds_the_hot_keys(spark, skewed):
     assert all(r.n > 1 for r in cut if r.k in ("hot", None))
 
 
-@pytest.mark.parametrize("hot_rows", [10, 100, 2_000_000])
-def test_mark_latest_marks_one_row_per_key(skewed, hot_rows):
-    order = [F.col("t").desc(), F.col("id").desc()]
-    marked = mark_latest(skewed, "k", order, hot_rows=hot_rows)
+@pytest.mark.parametrize("large", [False, True])
+def test_mark_latest_marks_one_row_per_key(skewed, large):
+    marked = mark_latest(skewed, "k", [-F.col("t"), -F.col("id")], "id", large=large)
     best = {}
     for r in skewed.collect():
         if r.k not in best or (r.t, r.id) > best[r.k]:
@@ -64,11 +63,17 @@ def test_mark_latest_marks_one_row_per_key(skewed, hot_rows):
 
 
 def test_mark_latest_with_rows_all_alike(spark):
-    alike = spark.range(500, numPartitions=5).select(F.lit("k").alias("k"), F.lit(1).alias("t"))
-    marked = mark_latest(alike, "k", [F.col("t").desc()], hot_rows=10)
+    alike = spark.range(500, numPartitions=5).select("id", F.lit("k").alias("k"), F.lit(1).alias("t"))
+    marked = mark_latest(alike, "k", [-F.col("t")], "id")
     assert Counter(r.is_latest for r in marked.collect()) == {True: 1, False: 499}
 
 
+def test_newest_first(spark):
+    rows = [(1, "2024-01-01 00:00:00"), (2, "1901-05-01 00:00:00.000001"), (3, None), (4, "2024-01-01 00:00:00.000001")]
+    df = spark.createDataFrame(rows, "id long, at string").withColumn("at", F.col("at").cast("timestamp_ntz"))
+    assert [r.id for r in df.orderBy(newest_first("at")).collect()] == [4, 1, 2, 3]
+
+
 def test_latest_per_key_and_overall(skewed):
     order = [F.col("t").desc(), F.col("id").desc()]
     best = {}
@@ -93,6 +98,12 @@ def test_number_rows_of_nothing(skewed, ws):
     assert number_rows(skewed.filter("id < 0"), ["id"], "n", ws).count() == 0
 
 
+def test_numbering_few_rows_in_one_task_is_the_same(skewed, ws, monkeypatch):
+    few = rows_of(number_rows(skewed, ["k", "t", "id"], "n", ws, after=F.lit(10)))
+    monkeypatch.setattr("staffloom.operators.numbering.FEW_ROWS", 0)
+    assert rows_of(number_rows(skewed, ["k", "t", "id"], "n", ws, after=F.lit(10))) == few
+
+
 @pytest.mark.parametrize("tiles", [4, 7])
 def test_rank_in_groups_by_ranges_equals_one_window(spark, ws, tiles):
     rng = random.Random(3)
@@ -127,6 +138,32 @@ def test_global_ranks_keep_those_without_a_department(spark, ws):
     assert rows_of(rank_departments(df, ws, hot_rows=1)) == rows_of(rank_departments(df, ws))
 
 
+def test_several_keys_are_sketched_in_one_job(spark, skewed):
+    rows = skewed.withColumn("none", F.lit(None).cast("string"))
+    columns = ("k", "s", "none")
+    hashes = [F.when(F.col(c).isNotNull(), F.xxhash64(c)) for c in columns]
+    tracker = spark.sparkContext.statusTracker()
+    found = hot_parts_of(rows, hashes, hot_rows=100)
+    several = len(tracker.getJobIdsForGroup(None))
+    alone = hot_parts_of(rows, hashes[:1], hot_rows=100)
+    one = len(tracker.getJobIdsForGroup(None)) - several
+    before = len(tracker.getJobIdsForGroup(None))
+    hot_parts_of(rows, hashes, hot_rows=100)
+    assert len(tracker.getJobIdsForGroup(None)) - before == one
+    assert found[0] == alone[0] and found[2] == {}
+    counts = {c: rows.filter(F.col(c).isNotNull()).groupBy(F.xxhash64(c).alias("h")).count() for c in columns[:2]}
+    for i, c in enumerate(columns[:2]):
+        assert set(found[i]) == {r.h for r in counts[c].filter("count > 100").collect()}
+
+
+def test_lookups_in_turn(skewed, ws, no_broadcast):
+    table = skewed.filter("k IS NOT NULL").groupBy("k").agg(F.max("t").alias("top"))
+    other = skewed.filter("s IS NOT NULL").groupBy("s").agg(F.min("t").alias("low"))
+    got = lookups(skewed, [(table, ["k"]), (other, ["s"])], "id", hot_rows=50)
+    want = skewed.join(table, "k", "left").join(other, "s", "left").select(*got.columns)
+    assert rows_of(got) == rows_of(want)
+
+
 def test_hot_keys_hide_in_few_bytes(spark, ws):
     """Millions of alike rows pack into next to nothing; they are found all the same."""
     alike = spark.range(3_000_000).select(F.lit("k").alias("k"))
@@ -496,6 +533,7 @@ def test_groups_are_counted_once(spark, skewed):
 
 def test_copies_do_not_crowd_one_range(spark, ws, monkeypatch):
     alike = spark.range(4000, numPartitions=8).select(F.lit("k").alias("k"))
+    monkeypatch.setattr("staffloom.operators.numbering.FEW_ROWS", 0)
     settled = []
     settle = ws.settle
     monkeypatch.setattr(ws, "settle", lambda *a: settled.append(settle(*a)) or settled[-1])
@@ -505,7 +543,7 @@ def test_copies_do_not_crowd_one_range(spark, ws, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert got == list(range(1, 4001))
-    ranges = settled[0].groupBy(F.shiftright("_at", 33)).count().collect()
+    ranges = settled[1].groupBy(F.shiftright("_at", 33)).count().collect()
     assert len(ranges) >= 6 and max(r["count"] for r in ranges) <= 1000
 
 
