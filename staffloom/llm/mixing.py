@@ -7,17 +7,21 @@ digits of its size, so documents of one source and digit count form a group. The
 are shared among the groups in the same way, which gives every document of a group the
 same expected number of copies, at most `cap`. Its whole part is allotted for certain; the
 fraction is the inclusion odds of a Pareto sample: rank by u/(1-u) over p/(1-p), u a fixed
-number from the key, and take the front of the order whose words come nearest to what is
-still due.
+number from the key and the text, and take the front of the order whose words come nearest
+to what is still due.
 
 No source is sorted whole. The order is cut into `BINS` even bins per source, the words of
-bins are added up, and only the one bin in which the cut falls is ranked, a source's rows
-over `BINS` on average. The cut is then a bound per source, so that any row is judged by
-itself. Nothing but tables of sources, groups and bins is joined to the rows; they are
-settled, so Spark broadcasts them when they are small by measure.
+bins are added up, and only the one bin in which the cut falls is looked at: a source's
+rows over `BINS` on average, brought down to their different places in the order before
+they are ranked. Equal rows share a place, and the cut may fall between them: of the place
+it falls in, the tasks' counts say in whose part, and only that part is numbered. The cut
+is then a bound per source, so that any row is judged by itself. Nothing but tables of
+sources, groups and bins is joined to the rows; they are settled, so Spark broadcasts them
+when they are small by measure.
 
 Nulls: a NULL text has size 0; a NULL source is a source, the last in order; a NULL key is
-a key of its own. Rows of equal key and size stand and fall together. Documents of size 0
+a key of its own. Of equal rows it is not said which are taken, only how many, so reruns
+give the same rows. Repeated keys with other texts are judged one by one. Documents of size 0
 are taken with 0 words (`expanded` keeps one row for each whole copy their group gets).
 Empty tables give empty results.
 """
@@ -38,15 +42,18 @@ BINS = 1 << 12
 
 
 def measured(df: DataFrame, key: str, text: str, source: str) -> dict[str, Column]:
-    """What the rows are judged by: key as text, source, size, group and u."""
+    """What the rows are judged by: key as text, source, size, u, and a number of the row
+    (task and position) that holds once the rows are settled."""
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint")
     name = F.coalesce(F.col(key).cast("string"), F.lit(""))
-    drawn = F.conv(F.substring(F.md5(name), 1, 13), 16, 10).cast("bigint")
+    said = F.concat(name, F.lit("\n"), F.coalesce(F.col(text), F.lit("")))
+    drawn = F.conv(F.substring(F.md5(said), 1, 13), 16, 10).cast("bigint")
     return {
         "m_key": name,
         "m_source": F.col(source),
         "m_size": size,
         "m_u": (drawn + F.lit(0.5)) / F.lit(float(1 << 52)),
+        "m_id": F.monotonically_increasing_id(),
     }
 
 
@@ -127,16 +134,45 @@ def plan(
     cut = ws.settle(cut, "cut")
     same = F.col("m_source").eqNullSafe(F.col("s"))
     opened = ranked.join(cut, same & (F.col("m_bin") == F.col("b")))
-    order = Window.partitionBy("m_source").orderBy("m_q", "m_key", "m_size")
-    upto = F.col("m_before") + F.sum("m_size").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    taken = opened.withColumn("m_upto", upto).filter("2 * m_upto - m_size <= 2 * m_rest")
-    last = taken.groupBy("m_source").agg(F.max(F.struct("m_q", "m_key")).alias("m_last"))
-    last = last.select(F.col("m_source").alias("t"), "m_last")
-    ends = cut.join(last, F.col("s").eqNullSafe(F.col("t")), "left").select("s", F.col("b").alias("m_open"), "m_last")
+    ends = cut.join(_last_taken(opened, ws), F.col("s").eqNullSafe(F.col("t")), "left")
+    ends = ends.select("s", F.col("b").alias("m_open"), "m_last")
     whole = due.join(ends, same, "left").drop("s")
     return ws.settle(whole, "plan")
 
 
+def _last_taken(opened: DataFrame, ws: Workspace) -> DataFrame:
+    """Per source (`t`) the last row taken of its open bin, `m_last`: place and number."""
+    place = ["m_source", "m_q", "m_key", "m_size"]
+    kinds = opened.groupBy(*place).agg(
+        F.count(F.lit(1)).alias("m_n"), F.max("m_rest").alias("m_rest"), F.max("m_before").alias("m_before")
+    )
+    before = Window.partitionBy("m_source").orderBy(*place[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.col("m_before") + F.coalesce(F.sum(F.col("m_n") * F.col("m_size")).over(before), F.lit(0))
+    size, n = F.col("m_size"), F.col("m_n")
+    half = F.floor((2 * (F.col("m_rest") - F.col("m_before")) + size) / (2 * size)).cast("bigint")
+    all_fit = 2 * (F.col("m_before") + n * size) - size <= 2 * F.col("m_rest")
+    taken = F.when(all_fit, n).otherwise(F.least(n - 1, F.greatest(half, F.lit(0))))
+    kinds = kinds.withColumn("m_before", earlier).withColumn("m_taken", taken).filter("m_taken > 0")
+    last = kinds.groupBy("m_source").agg(F.max(F.struct(*place[1:], "m_taken")).alias("m_at"))
+    last = ws.settle(last.select(F.col("m_source").alias("t"), "m_at"), "last-places")
+    # Of the rows at that place, those up to the one with number `m_taken`.
+    same = F.col("m_source").eqNullSafe(F.col("t"))
+    for name in place[1:]:
+        same &= F.col(name) == F.col(f"m_at.{name}")
+    there = opened.join(last, same).select("t", "m_at", "m_id", F.shiftright("m_id", 33).alias("m_task"))
+    tasks = there.groupBy("t", "m_task").agg(F.count(F.lit(1)).alias("m_n"), F.max("m_at.m_taken").alias("m_taken"))
+    along = Window.partitionBy("t").orderBy("m_task")
+    tasks = tasks.withColumn("m_upto", F.sum("m_n").over(along))
+    tasks = tasks.filter("m_upto >= m_taken AND m_upto - m_n < m_taken").select(
+        F.col("t").alias("o"), F.col("m_task").alias("m_in"), (F.col("m_taken") - F.col("m_upto") + F.col("m_n")).alias("m_nth")
+    )
+    part = there.join(tasks, F.col("t").eqNullSafe(F.col("o")) & (F.col("m_task") == F.col("m_in")))
+    nth = F.row_number().over(Window.partitionBy("t").orderBy("m_id"))
+    one = part.withColumn("m_place", nth).filter("m_place = m_nth")
+    end = F.struct("m_at.m_q", "m_at.m_key", "m_at.m_size", "m_id")
+    return one.select("t", end.alias("m_last"))
+
+
 def _beside(rows: DataFrame, table: DataFrame) -> DataFrame:
     """Rows beside the row of their source and group."""
     keyed = table.withColumnsRenamed({"m_source": "s", "m_digits": "d"})
@@ -162,7 +198,7 @@ def allotted(rows: DataFrame, table: DataFrame, bins: int = BINS) -> DataFrame:
         (F.col("m_bin") < F.col("m_open"))
         | (
             (F.col("m_bin") == F.col("m_open"))
-            & (F.struct("m_q", "m_key") <= F.col("m_last"))
+            & (F.struct("m_q", "m_key", "m_size", "m_id") <= F.col("m_last"))
         )
     )
     drawn = F.when(F.col("m_q").isNotNull() & inside, 1).otherwise(0)
@@ -202,12 +238,14 @@ def expanded(
     cap: int = CAP,
     bins: int = BINS,
 ) -> DataFrame:
-    """The mix itself: every row of `df` as often as it is taken, columns as they were."""
+    """The mix itself: every row of `df` as often as it is taken, columns as they were.
+
+    The rows are settled whole, since the numbers that tell equal rows apart are theirs.
+    """
     made = measured(df, key, text, source)
-    rows = ws.settle(df.select(*(c.alias(n) for n, c in made.items())), "sizes")
-    table = plan(rows, ws, weights, cap, bins)
     held = F.struct(*df.columns).alias("m_row")
-    wide = allotted(df.select(held, *(c.alias(n) for n, c in made.items())), table, bins)
+    rows = ws.settle(df.select(held, *(c.alias(n) for n, c in made.items())), "measured")
+    wide = allotted(rows, plan(rows.drop("m_row"), ws, weights, cap, bins), bins)
     times = F.explode(F.sequence(F.lit(1), F.col("m_copies").cast("int")))
     kept = wide.filter("m_copies > 0").select("m_row", times.alias("m_time"))
     return kept.select("m_row.*")
@@ -215,9 +253,9 @@ def expanded(
 
 SQL = r"""
 WITH sized AS (
-  SELECT doc_id, source, doc_id::VARCHAR AS k,
+  SELECT doc_id, source, coalesce(doc_id::VARCHAR, '') AS k,
     len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-    (('0x' || substr(md5(doc_id::VARCHAR), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u
+    (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || chr(10) || coalesce(text, '')), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u
   FROM documents),
 rows AS (SELECT *, length(bin(size))::BIGINT AS digits FROM sized),
 per_source AS (

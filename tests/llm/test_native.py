@@ -313,3 +313,23 @@ def test_equal_documents_with_whole_targets(spark, ws, words, bins):
     for doc_id, _, _, _, n in out:
         taken["ab"[doc_id % 2]] += n
     assert taken == {"a": 20 * words, "b": 40 * words}
+
+
+@pytest.mark.parametrize("bins", [1, mixing.BINS])
+@pytest.mark.parametrize("alike", [True, False])
+def test_a_key_held_by_a_third_of_a_source(spark, ws, alike, bins):
+    """Targets are met within a document whatever key a crowd of rows shares; SQL agrees."""
+    for crowd in (7, 11, 23):
+        rows = [(crowd if i < 1_000 else 5_000 + i, "word " * (5 if alike and i < 1_000 else 1 + i % 9), "a") for i in range(3_000)]
+        rows += [(20_000 + i, "word " * 4, "b") for i in range(900)]
+        frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+        frame = ws.settle(frame, "crowd")
+        out = sorted(tuple(r) for r in mixing.mixed(frame, ws, bins=bins).collect())
+        con = duckdb.connect()
+        con.register("documents", frame.toArrow())
+        assert out == sorted(con.sql(mixing.SQL).fetchall())
+        for low, high in ((0, 10_000), (20_000, 30_000)):
+            some = [r for r in out if low <= r[0] < high]
+            assert abs(sum(r[4] for r in some) - some[0][3]) <= 9
+        again = mixing.expanded(frame, ws, bins=bins)
+        assert again.count() == sum(r[4] // r[1] for r in out)
