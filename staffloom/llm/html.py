@@ -10,7 +10,9 @@ taken, bottom up (`decode`), so an ancestor and its descendants never contradict
 
 There are no marked pages, so the trees learn from weak marks: in a bounded sample of
 pages (`max_pages`, the first by a hash of the id) what stands inside `article` or `main`
-and outside of furniture is content. Every sampled page is shown as it is, and again
+and outside of furniture is content; on a page without these, what stands inside of elements
+whose attributes speak of content; without such, blocks of sentences with few links. Every
+sampled page is shown as it is, and again
 with its elements renamed to plain `div` and their role told by the tokens of a class
 attribute; so the trees learn attributes and shape and do not hang on two tag names. Either
 way it is shown once more with some content repeated beside and inside of the article as furniture (comments,
@@ -18,12 +20,13 @@ notices, adverts with words of their own), which is no content then.
 
 The text is that of the kept elements: character references decoded, white space inside a
 block one space, blocks in page order joined by a line feed. Script, style and the like
-never hold text.
+never hold text, nor do forms, but for one around the article (with a heading or article
+in it or half of the page's text), which is a box like any other.
 
 Nulls: a NULL page is empty and gives an empty text; so does a page without any kept
 element. A NULL id is passed through; repeated rows give repeated rows; an empty table
 gives an empty result, and without pages to learn from everything is kept. Broken markup
-is closed as browsers do for paragraphs, list items, table cells and options. Other
+is closed as browsers do for paragraphs, list items, table cells and options; declarations of any kind are comments. Other
 columns are not looked at.
 """
 
@@ -42,13 +45,15 @@ from pyspark.sql import functions as F
 MAX_PAGES = 250
 # Elements that are judged together.
 AT_ONCE = 4_000
+# Characters of a block that passes for told where nothing else says what content is.
+LEAST_TOLD = 60
 TREES, DEPTH, RATE, LEAST_LEAF, CUTS = 80, 3, 0.1, 30, 32
 
 # Fixed values of HTML: elements without content, without text, and those in a line.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset(
     "script style noscript template title head svg math iframe object canvas audio video select"
-    " textarea button form".split()
+    " textarea button".split()
 )
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp"
@@ -147,15 +152,43 @@ class _Reader(HTMLParser):
         self.nodes[self.open[-1]].pieces.append((self.order, data))
         self.order += 1
 
+    def parse_marked_section(self, i, report=1):
+        # `<![...` is none of HTML: a comment up to the next `>`, whatever it says.
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else -1
+
 
 def parse(html: str | None) -> list[Node]:
     """Elements in page order; the first is the page itself."""
     reader = _Reader()
     reader.feed(html or "")
     reader.close()
+    _judge_forms(reader.nodes)
     return reader.nodes
 
 
+def _judge_forms(nodes: list[Node]) -> None:
+    """A form around the article is a box like any other; other forms are silent.
+
+    The former holds a heading, an article or half of the page's text.
+    """
+    if not any(n.tag == "form" for n in nodes):
+        return
+    chars = [0 if n.silent else sum(len(t.strip()) for _, t in n.pieces) for n in nodes]
+    holds = [n.tag in ("article", "main", "h1") and not n.silent for n in nodes]
+    for i in range(len(nodes) - 1, 0, -1):
+        chars[nodes[i].parent] += chars[i]
+        holds[nodes[i].parent] |= holds[i]
+    for i, node in enumerate(nodes):
+        if node.tag == "form" and not node.silent:
+            if holds[i] or 2 * chars[i] >= chars[0]:
+                node.tag = "div"
+            else:
+                node.silent = True
+        elif i and nodes[node.parent].silent:
+            node.silent = True
+
+
 NAMES = (
     "chars links elements density link_share depth place siblings same_tag sibling_chars share_of_parent"
     " mean_block marks furniture content furniture_above content_above inline paragraph heading list row"
@@ -294,16 +327,29 @@ def _grow(binned, cuts, grad, hess):
 
 
 def weak_marks(nodes: list[Node]) -> np.ndarray:
-    """1 for elements that hold content by their names alone, and all above those."""
+    """1 for elements that hold content by their names alone, and all above those.
+
+    Where no element is an `article` or `main`, attributes that speak of content count; where
+    none does, blocks of sentences with few links.
+    """
+    words = [set(_TOKEN.findall(n.words)) for n in nodes]
+    bad = [n.silent or bool((w | {n.tag}) & FURNITURE) for n, w in zip(nodes, words)]
+    marked = _marked(nodes, bad, lambda i: nodes[i].tag in ("article", "main"))
+    if not marked.any():
+        marked = _marked(nodes, bad, lambda i: bool(words[i] & CONTENT))
+    if not marked.any():
+        told = _told(nodes)
+        marked = _marked(nodes, bad, lambda i: told[i])
+    return marked
+
+
+def _marked(nodes: list[Node], bad: list[bool], begins) -> np.ndarray:
     inside = np.zeros(len(nodes), bool)
     marked = np.zeros(len(nodes))
     for i, node in enumerate(nodes):
-        if i and node.tag in ("article", "main"):
-            inside[i] = True
-        elif i:
-            inside[i] = inside[node.parent]
-        words = set(_TOKEN.findall(f"{node.words} {node.tag}"))
-        if node.silent or words & FURNITURE:
+        if i:
+            inside[i] = begins(i) or inside[node.parent]
+        if bad[i]:
             inside[i] = False
         if inside[i] and any(t.strip() for _, t in node.pieces):
             up = i
@@ -313,6 +359,40 @@ def weak_marks(nodes: list[Node]) -> np.ndarray:
     return marked
 
 
+def _told(nodes: list[Node]) -> list[bool]:
+    """Blocks without blocks inside that hold sentences and few links, outside of furniture,
+    and what stands in one box with mostly such."""
+    n = len(nodes)
+    chars, links, marks = [0] * n, [0] * n, [0] * n
+    leaf, ok = [True] * n, [True] * n
+    for i, node in enumerate(nodes):
+        if i:
+            said = set(_TOKEN.findall(f"{node.words} {node.tag}"))
+            ok[i] = ok[node.parent] and not node.silent and not said & FURNITURE
+        if not node.silent:
+            own = "".join(t for _, t in node.pieces)
+            chars[i], marks[i] = len(own.strip()), sum(own.count(c) for c in ".!?")
+    for i in range(n - 1, 0, -1):
+        up = nodes[i].parent
+        links[i] = chars[i] if nodes[i].tag == "a" else links[i]
+        chars[up] += chars[i]
+        links[up] += links[i]
+        marks[up] += marks[i]
+        if nodes[i].tag not in INLINE and nodes[i].tag not in VOID:
+            leaf[up] = False
+    plain = [i > 0 and ok[i] and 4 * links[i] < chars[i] for i in range(n)]
+    told = [
+        plain[i] and leaf[i] and nodes[i].tag not in INLINE and chars[i] >= LEAST_TOLD and marks[i] > 0
+        for i in range(n)
+    ]
+    # Short blocks, such as headings, belong to those they stand among.
+    among = [
+        2 * sum(told[c] for c in node.children) >= max(4, sum(chars[c] > 0 for c in node.children))
+        for node in nodes
+    ]
+    return [told[i] or (plain[i] and leaf[i] and among[nodes[i].parent]) for i in range(n)]
+
+
 def disguised(nodes: list[Node], marks: np.ndarray, rng: random.Random) -> list[Node]:
     """The page with plain names; a top-most part of either kind is dressed by a class."""
     out = []

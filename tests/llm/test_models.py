@@ -167,9 +167,48 @@ def test_forest_separates():
     assert ((made.margin(x[1_500:]) > 0) == y[1_500:]).mean() > 0.95
 
 
+def _sentence(rng):
+    words = "the story of a town that grew with its river and then lost it in one long summer".split()
+    return " ".join(rng.choice(words) for _ in range(rng.randint(12, 30))).capitalize() + "."
+
+
+@pytest.mark.parametrize("named", [True, False])
+def test_tables_of_pages_without_article_or_main(spark, named):
+    """Nothing but div: names of classes teach, or else sentences and links."""
+    rng = random.Random(8)
+    rows, want = [], {}
+    for i in range(60):
+        told = [_sentence(rng) for _ in range(rng.randint(3, 8))]
+        say = (lambda k: f' class="{k}"') if named else (lambda k: "")
+        menu = "".join(f"<div><a href=x>{w}</a></div>" for w in ("Home", "News", "Sport", "Contact us"))
+        body = "".join(f"<div>{t}</div>" for t in told)
+        foot = f"<div{say('footer')}><a href=z>Imprint</a> <a href=y>Terms of use</a> &copy; 2020</div>"
+        rows.append((i, "u", f"<html><body><div{say('menu')}>{menu}</div><div{say('text')}>{body}</div>{foot}</body></html>"))
+        want[i] = "\n".join(told)
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = {r["page_id"]: r["text"] for r in html.extracted(pages, html.learn(pages, max_pages=40)).collect()}
+    assert sum(out[i] == want[i] for i in want) >= 57
+
+
+def test_forms(forest):
+    """A form around the article is a box, any other one is left out."""
+    rng = random.Random(9)
+    one, other = _sentence(rng), _sentence(rng)
+    search = "<form class=search>Search here <input name=q><select><option>all of it</select></form>"
+    for open_, close in (("<article>", "</article>"), ("<div class=content>", "</div>")):
+        inner = f"{open_}<h1>A title</h1><p>{one}</p><p>{other}</p>{close}"
+        for page in (
+            f"<body><div class=menu><a href=x>Home</a></div><form id=aspnetForm>{inner}</form>{search}</body>",
+            f"<body><form id=aspnetForm><div class=menu><a href=x>Home</a></div>{inner}{search}</form></body>",
+            f"<body>{search}{inner}<form>Your name <input> <p>We send a letter a week.</p></form></body>",
+        ):
+            assert html.main_text(page, forest) == f"A title\n{one}\n{other}"
+
+
 def test_messy_pages(spark, forest):
     schema = "page_id long, url string, html string, text string, n_chars int, x binary"
-    odd = ["<p>" * 3_000 + "deep", "<div>" * 400 + "x", "</p></div>", "<a<b>&am &#x41;&copy", "<ul><li>a<li>b", "\x00<p>\x00"]
+    odd = ["<![foo[bar]]><p>x", "<![if !IE]>a<![endif]>", "<![", "<![CDATA[x", "<!", "<!foo [<!ENTITY a 'b'>]>t"]
+    odd += ["<p>" * 3_000 + "deep", "<div>" * 400 + "x", "</p></div>", "<a<b>&am &#x41;&copy", "<ul><li>a<li>b", "\x00<p>\x00"]
     rows = [(i, "u", t, "t", 1, b"") for i, t in enumerate(odd)]
     rows += [(None, None, None, None, None, None), (1, "u", "", "", 1, b""), (1, "u", PAGE, "", 1, b"")]
     out = html.extracted(spark.createDataFrame(rows, schema), forest).collect()
