@@ -75,7 +75,7 @@ SQL["op4_pii"] = pii.SQL
 
 @query
 def op5_syncmer_fingerprints(spark, folder):
-    return syncmers.compared(documents(spark, folder))
+    return syncmers.compared(documents(spark, folder), Workspace(spark))
 
 
 @query

@@ -12,27 +12,31 @@ places). 1 for equal texts, 0 without a common anchor.
 
 A text shorter than k is one anchor, its whole hash; an empty text has none. Nulls: a NULL
 text is empty; two empty fingerprints are alike (1.0). A NULL key comes before all others.
-Rows of one key are ordered by their text. Repeated rows follow each other. Empty tables
-give empty results; a single row is its own successor. Other columns are not looked at.
+Keys may be of any type that has an order. Rows of one key are ordered by a hash of their
+text. Repeated rows follow each other. Empty tables give empty results; a single row is its
+own successor. Other columns are not looked at.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from staffloom.sources.workspace import Workspace
+
 # K and S are powers of two: hashes of longer pieces are made from those of halves.
 K, S = 32, 8
 # Rows that are meant to be sorted beside each other, and characters hashed at once.
 ROWS_PER_RANGE = 4_000
-# From so many ranges on they hold up to `MANY_ROWS` rows instead of growing in number.
-MANY_RANGES, MANY_ROWS = 10_000, 100_000
+# There are never more ranges than this; beyond it they hold more rows. A task goes through
+# its range in order and holds two rows of it at a time.
+MOST_RANGES = 20_000
 CHUNK = 1 << 18
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -137,54 +141,68 @@ def fingerprints(df: DataFrame, text: str = "text", out: str = "fingerprint") ->
     return df.mapInArrow(run, df.withColumn(out, F.lit("")).schema)
 
 
-def _ranges(df: DataFrame, rows_per_range: int) -> tuple[DataFrame, int]:
-    """`df` (key, text) with `range`: ranges of keys of about so many rows.
+def _order(key: object) -> tuple:
+    """Keys in Spark's order: NULL first, NaN last."""
+    if key is None:
+        return (0, 0)
+    return (2, 0) if key != key else (1, key)
 
-    The bounds are approximate quantiles of the keys, which are numbers; one bound per
-    range reaches the driver. Spark finds a key's range by binary search.
-    """
-    rows = df.agg(F.count(F.lit(1))).first()[0]
-    n = min(-(-rows // rows_per_range), max(MANY_RANGES, -(-rows // MANY_ROWS)))
-    bounds = []
-    if n > 1:
-        at = F.percentile_approx("key", [i / n for i in range(1, n)], max(10_000, 20 * n))
-        bounds = sorted({float(x) for x in df.agg(at.alias("b")).first()["b"] or ()})
-    splits = [float("-inf"), *bounds, float("inf")]
-    if len(splits) < 3:
-        return df.withColumn("range", F.lit(0)), 1
-    as_number = df.withColumn("__at", F.coalesce(F.col("key").cast("double"), F.lit(float("-inf"))))
-    cut = Bucketizer(splits=splits, inputCol="__at", outputCol="__range").transform(as_number)
-    return cut.withColumn("range", F.col("__range").cast("int")).drop("__at", "__range"), len(splits) - 1
-
-
-def beside_next(df: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+
+def _heads(narrow: DataFrame, rows: int, rows_per_range: int) -> list:
+    """First key and hash of each of some even ranges of (key, hash): bounded in number."""
+    n = max(1, min(-(-rows // rows_per_range), MOST_RANGES))
+    ranged = narrow.repartitionByRange(n, "key", "h")
+    firsts = ranged.groupBy(F.spark_partition_id().alias("at")).agg(F.min(F.struct("key", "h")).alias("f"))
+    return [r["f"] for r in sorted(firsts.collect(), key=lambda r: r["at"])]
+
+
+def beside_next(df: DataFrame, ws: Workspace, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """`df` (key, text) dealt into ranges and sorted, `ghost` false; and at the end of each
     range, as a ghost, a copy of the row that follows (after the last: the first).
 
-    One shuffle of the texts. What is gathered for the ghosts is one key per range.
+    Ranges are of key and hash of the text, so a key that many rows share is cut like any
+    other; only equal rows stay together. Their bounds come from a table of keys and hashes.
+    One shuffle of the texts, each range to a task of its own.
     """
-    ranged, n = _ranges(df, rows_per_range)
-    heads = ranged.groupBy("range").agg(F.min(F.struct("key")).alias("first"))
-    heads = sorted((r["range"], r["first"]["key"]) for r in heads.collect())
+    hashed = df.withColumn("h", F.xxhash64("text"))
+    narrow, rows = ws.settle_counted(hashed.select("key", "h"), "keys")
+    heads = _heads(narrow, rows, rows_per_range)
     if not heads:
-        return ranged.withColumn("ghost", F.lit(False))
-    before = [heads[i - 1][0] for i in range(len(heads))]
+        return hashed.withColumns({"range": F.lit(0), "ghost": F.lit(False)})
+    bounds = [(_order(f["key"]), f["h"]) for f in heads]
+
+    @F.arrow_udf("int")
+    def range_of(keys: pa.Array, hashes: pa.Array) -> pa.Array:
+        pairs = zip(keys.to_pylist(), hashes.to_pylist())
+        found = [max(0, bisect_right(bounds, (_order(k), h)) - 1) for k, h in pairs]
+        return pa.array(found, pa.int32())
+
     kind = df.schema["key"].dataType.simpleString()
     wanted = df.sparkSession.createDataFrame(
-        [(key, at) for (_, key), at in zip(heads, before)], f"head {kind}, range int"
+        [(f["key"], f["h"], (i - 1) % len(heads)) for i, f in enumerate(heads)],
+        f"head {kind}, head_h long, range int",
     )
+    same = F.col("key").eqNullSafe(F.col("head")) & (F.col("h") == F.col("head_h"))
     ghosts = (
-        df.join(F.broadcast(wanted), F.col("key").eqNullSafe(F.col("head")))
-        .groupBy("range", "key")
-        .agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
-        .select("key", "text", "range", F.lit(True).alias("ghost"))
+        hashed.join(F.broadcast(wanted), same)
+        .groupBy("range", "key", "h")
+        .agg(F.min("text").alias("text"))
+        .select("key", "text", "h", "range", F.lit(True).alias("ghost"))
+    )
+    placed = hashed.withColumns({"range": range_of("key", "h"), "ghost": F.lit(False)})
+    return (
+        placed.unionByName(ghosts)
+        .repartitionById(len(heads), F.col("range"))
+        .sortWithinPartitions("range", "ghost", "key", "h", "text")
     )
-    rows = ranged.withColumn("ghost", F.lit(False)).unionByName(ghosts)
-    return rows.repartition(n, "range").sortWithinPartitions("range", "ghost", "key", "text")
 
 
 def compared(
-    df: DataFrame, key: str = "doc_id", text: str = "text", rows_per_range: int = ROWS_PER_RANGE
+    df: DataFrame,
+    ws: Workspace,
+    key: str = "doc_id",
+    text: str = "text",
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Per row: its fingerprint, that of its edited text, and how alike they and the next
     row's are.
@@ -202,19 +220,18 @@ def compared(
 
     def run(batches):
         out: list[tuple] = []
-        for found in _compared(batches):
+        kept_type = None
+        for type_, found in _compared(batches):
+            kept_type = type_
             out.append(found)
             if len(out) >= 1_000:
-                yield _batch(out, names, key_type(kind))
+                yield _batch(out, names, kept_type)
                 out = []
         if out:
-            yield _batch(out, names, key_type(kind))
-
-    return beside_next(rows, rows_per_range).select("key", "text", "range", "ghost").mapInArrow(run, schema)
+            yield _batch(out, names, kept_type)
 
-
-def key_type(kind: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    dealt = beside_next(rows, ws, rows_per_range)
+    return dealt.select("key", "text", "range", "ghost").mapInArrow(run, schema)
 
 
 def _batch(rows: list[tuple], names: list[str], key: pa.DataType) -> pa.RecordBatch:
@@ -223,26 +240,23 @@ def _batch(rows: list[tuple], names: list[str], key: pa.DataType) -> pa.RecordBa
     return pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def _compared(batches) -> Iterator[tuple]:
-    from hashlib import sha256
-
-    last = None
+def _compared(batches) -> Iterator[tuple[pa.DataType, tuple]]:
+    """Type of the keys and what is said of each row, in the order of the rows."""
+    last, edit = None, None
     for batch in batches:
+        type_ = batch.column(0).type
         columns = (c.to_pylist() for c in batch.columns)
         for key, text, range_, ghost in zip(*columns):
-            own = kept(anchors(text))
+            # A crowd of copies is worked on once.
+            copy = last is not None and last[1] == text
+            own = last[4] if copy else kept(anchors(text))
             if last is not None and last[2] == range_ and not last[3]:
                 old_key, old_text, _, _, old = last
-                half = len(old_text) // 2
-                edited = old_text[: len(old_text) - half] + text[:half]
-                new = kept(anchors(edited))
-                yield (
-                    old_key,
-                    len(old_text),
-                    sha256(edited.encode()).hexdigest(),
-                    written(old),
-                    written(new),
-                    likeness(old, new),
-                    likeness(old, own),
-                )
+                if not (copy and edit and edit[0] == text):
+                    half = len(old_text) // 2
+                    edited = old_text[: len(old_text) - half] + text[:half]
+                    new = kept(anchors(edited))
+                    said = (written(old), written(new), likeness(old, new), likeness(old, own))
+                    edit = (text if copy else None, sha256(edited.encode()).hexdigest(), said)
+                yield type_, (old_key, len(old_text), edit[1], *edit[2])
             last = (key, text, range_, ghost, own)

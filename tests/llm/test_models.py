@@ -5,11 +5,13 @@ from __future__ import annotations
 import random
 import sys
 import zlib
+from hashlib import sha256
 from itertools import product
 from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from staffloom.llm import html, licences, syncmers, toxicity
 
@@ -360,9 +362,7 @@ def test_passages_of_long_texts():
 
 
 @pytest.mark.parametrize("rows_per_range", [2, 1_000])
-def test_edited_texts(spark, rows_per_range):
-    from hashlib import sha256
-
+def test_edited_texts(spark, ws, rows_per_range):
     rows = [r for r in messy.rows()]
     ordered = sorted(((r[0] is not None, r[0] or 0, r[1] or ""), r) for r in rows)
     texts = [r[1] or "" for _, r in ordered]
@@ -372,8 +372,36 @@ def test_edited_texts(spark, rows_per_range):
         half = len(own) // 2
         edited = own[: len(own) - half] + after[:half]
         want.append((r[0], len(own), sha256(edited.encode()).hexdigest(), syncmers.fingerprint(own), syncmers.fingerprint(edited)))
-    out = syncmers.compared(messy.frame(spark), rows_per_range=rows_per_range).collect()
+    out = syncmers.compared(messy.frame(spark), ws, rows_per_range=rows_per_range).collect()
     got = [tuple(r)[:5] for r in out]
     assert sorted(got, key=str) == sorted(want, key=str)
     assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in out)
-    assert syncmers.compared(messy.empty(spark)).count() == 0
+    assert syncmers.compared(messy.empty(spark), ws).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["string", "smallint", "decimal(12,2)", "date", "double"])
+def test_keys_of_any_type(spark, ws, kind):
+    rng = random.Random(12)
+    rows = [(None if i == 30 else rng.randrange(25), f"text {i % 40} " * rng.randrange(9)) for i in range(120)]
+    of = {"string": "concat('d', k)", "date": "date_add(DATE '2020-01-01', k)"}.get(kind, f"CAST(k AS {kind})")
+    df = spark.createDataFrame(rows, "k int, text string").selectExpr(f"{of} AS doc_id", "text")
+    ordered = df.selectExpr("doc_id", "text", "xxhash64(text) AS h").orderBy("doc_id", "h").collect()
+    want = []
+    for i, r in enumerate(ordered):
+        after = ordered[(i + 1) % len(ordered)]["text"]
+        half = len(r["text"]) // 2
+        edited = r["text"][: len(r["text"]) - half] + after[:half]
+        want.append((r["doc_id"], len(r["text"]), sha256(edited.encode()).hexdigest(), syncmers.fingerprint(r["text"])))
+    out = syncmers.compared(df, ws, rows_per_range=7)
+    assert out.schema["doc_id"].dataType == df.schema["doc_id"].dataType
+    assert sorted((tuple(r)[:4] for r in out.collect()), key=str) == sorted(want, key=str)
+
+
+def test_ranges_are_even_whatever_the_keys(spark, ws):
+    """A key that a third of the rows share is cut like others; no two ranges in a task."""
+    df = spark.range(12_000).selectExpr("IF(id % 3 = 0, 5, id) AS key", "concat('text ', id) AS text")
+    dealt = syncmers.beside_next(df, ws, rows_per_range=1_000)
+    tasks = dealt.groupBy(F.spark_partition_id().alias("task"), "range").count().collect()
+    assert len({r["task"] for r in tasks}) == len(tasks) == 12
+    assert max(r["count"] for r in tasks) <= 2 * 12_000 / 12
+    assert dealt.filter("ghost").count() == 12
