@@ -8,7 +8,13 @@ near an entity discloses it if the corpus shows that who reads the word learns t
 
 with n counted over distinct texts, so that copies of a text are one witness, and with at
 least `WITNESSES` different contexts of the pair, so that a rare word that once stood
-beside an address is no evidence. Such words are marked wherever they stand in the corpus,
+beside an address is no evidence.
+
+Most entities occur in one or two texts and never have so many contexts. There the count is
+corrected to its lower bound: a name among the `NEAR_NAMES` words beside an entity that
+`FEW_TEXTS` texts hold at most (a capital and small letters, not at the start of a sentence)
+discloses it if no text of the corpus holds the word without the entity beside it, so that
+n(word) = n(word, entity). Words of either kind are marked wherever they stand in the corpus,
 and `sanitised` generalises entities to their kind and removes the words.
 
 All of it is counted over the whole corpus: contexts are gathered around every entity,
@@ -47,6 +53,10 @@ AROUND, NEAR_WORDS = 160, 8
 WORD = r"[\p{L}\p{M}]{3,}"
 WITNESSES = 3
 DISCLOSES = 0.9
+# Names beside entities of few texts: words on either side, texts, and how they are written.
+NEAR_NAMES, FEW_TEXTS = 3, 2
+NAME = r"^\p{Lu}[\p{Ll}\p{M}]+$"
+OPENING = r"([.!?:\n])[^\p{L}\p{M}]*[\p{L}\p{M}]+"
 
 
 def _digits(text: Column) -> Column:
@@ -87,7 +97,8 @@ def _rows(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _contexts(scanned: DataFrame) -> DataFrame:
-    """(h, entity, near): every entity with its words on either side, lowered."""
+    """(h, entity, near, names): every entity with its words on either side, lowered, and
+    those right beside it that are written as names."""
     each = [
         scanned.select("h", F.lit(kind).alias("kind"), F.explode(kind).alias("s")) for kind in KINDS
     ]
@@ -100,19 +111,30 @@ def _contexts(scanned: DataFrame) -> DataFrame:
     after = F.when(F.length("s.after") < AROUND, F.col("s.after")).otherwise(after)
     left = F.regexp_extract_all(F.lower(before), F.lit(WORD), F.lit(0))
     right = F.regexp_extract_all(F.lower(after), F.lit(WORD), F.lit(0))
-    last = F.greatest(F.size(left) - NEAR_WORDS, F.lit(0))
+
+    def beside(l: Column, r: Column, n: int) -> Column:
+        last = F.greatest(F.size(l) - n, F.lit(0))
+        return F.concat(F.slice(l, last + 1, F.lit(n)), F.slice(r, F.lit(1), F.lit(n)))
+
+    # Words that open a sentence say nothing by their capital; nor does the text's first.
+    inner = [F.regexp_replace(c, OPENING, "$1") for c in (F.concat(F.lit("."), before), after)]
+    inner = [F.regexp_extract_all(c, F.lit(WORD), F.lit(0)) for c in inner]
+    named = F.filter(beside(*inner, NEAR_NAMES), lambda w: w.rlike(NAME))
     return spans.select(
         "h",
         F.concat_ws(":", "kind", value).alias("entity"),
-        F.concat(F.slice(left, last + 1, F.lit(NEAR_WORDS)), F.slice(right, F.lit(1), F.lit(NEAR_WORDS))).alias("near"),
+        beside(left, right, NEAR_WORDS).alias("near"),
+        F.transform(named, F.lower).alias("names"),
     )
 
 
 def _tells(n_word: Column, discloses: float) -> Column:
-    """Whether a word in `n_word` texts tells enough of the entity; the more, the less."""
+    """Whether a word in `n_word` texts tells enough of the entity; the more, the less. With
+    `few` contexts no other text may hold it."""
     told = F.log2(F.col("texts") * F.col("both") / (n_word * F.col("n_entity")))
     content = F.log2(F.col("texts") / F.col("n_entity"))
-    return (content > 0) & (told >= discloses * content)
+    sure = ~F.col("few") | (n_word <= F.col("both"))
+    return (content > 0) & (told >= discloses * content) & sure
 
 
 def disclosing(
@@ -127,8 +149,8 @@ def disclosing(
     """(h, pattern): the texts that hold disclosing words, and what matches those words."""
     contexts = ws.settle(_contexts(scanned), "contexts")
     pairs = contexts.select(
-        "h", "entity", F.xxhash64("near").alias("c"), F.explode(F.array_distinct("near")).alias("word")
-    )
+        "h", "entity", F.xxhash64("near").alias("c"), "names", F.explode(F.array_distinct("near")).alias("word")
+    ).withColumn("named", F.array_contains("names", F.col("word"))).drop("names")
     pairs = ws.settle(pairs, "near")
     texts = scanned.select("h").distinct().agg(F.count("h").alias("texts"))
     of_entity = contexts.groupBy("entity").agg(F.count_distinct("h").alias("n_entity"))
@@ -137,14 +159,20 @@ def disclosing(
     near = pairs.groupBy("word").agg(F.count_distinct("h").alias("n_near"))
     seen = (
         pairs.groupBy("word", "entity")
-        .agg(F.count_distinct("c").alias("seen"), F.count_distinct("h").alias("both"))
-        .filter(F.col("seen") >= witnesses)
+        .agg(
+            F.count_distinct("c").alias("seen"),
+            F.count_distinct("h").alias("both"),
+            F.max("named").alias("named"),
+        )
+        .withColumn("few", F.col("seen") < witnesses)
+        .filter(~F.col("few") | F.col("named"))
         .join(near, "word")
         .join(of_entity, "entity")
+        .filter(~F.col("few") | (F.col("n_entity") <= FEW_TEXTS))
         .join(F.broadcast(texts), F.lit(True))
         .filter(_tells(F.col("n_near"), discloses))
     )
-    seen = ws.settle(seen.select("word", "both", "n_entity", "texts"), "pairs")
+    seen = ws.settle(seen.select("word", "both", "n_entity", "texts", "few"), "pairs")
     wanted = ws.settle(seen.select("word").distinct(), "words")
     held = (
         _rows(df, key, text)
@@ -252,13 +280,21 @@ contexts AS (
     regexp_extract_all(lower(CASE WHEN length(before) < {AROUND} THEN before
       ELSE regexp_replace(before, '^[\p{{L}}\p{{M}}]+', '') END), '{word}') AS l,
     regexp_extract_all(lower(CASE WHEN length(after) < {AROUND} THEN after
-      ELSE regexp_replace(after, '[\p{{L}}\p{{M}}]+$', '') END), '{word}') AS r
+      ELSE regexp_replace(after, '[\p{{L}}\p{{M}}]+$', '') END), '{word}') AS r,
+    regexp_extract_all(regexp_replace('.' || CASE WHEN length(before) < {AROUND} THEN before
+      ELSE regexp_replace(before, '^[\p{{L}}\p{{M}}]+', '') END, '{OPENING}', '\1', 'g'), '{word}') AS li,
+    regexp_extract_all(regexp_replace(CASE WHEN length(after) < {AROUND} THEN after
+      ELSE regexp_replace(after, '[\p{{L}}\p{{M}}]+$', '') END, '{OPENING}', '\1', 'g'), '{word}') AS ri
   FROM base JOIN texts t USING (doc_id)),
-near AS (SELECT text, entity, list_concat(l[-{NEAR_WORDS}:], r[:{NEAR_WORDS}]) AS words FROM contexts),
+near AS (
+  SELECT text, entity, list_concat(l[-{NEAR_WORDS}:], r[:{NEAR_WORDS}]) AS words,
+    list_transform(list_filter(list_concat(li[-{NEAR_NAMES}:], ri[:{NEAR_NAMES}]),
+      lambda w: regexp_matches(w, '{NAME}')), lambda w: lower(w)) AS names
+  FROM contexts),
 pairs AS (
-  SELECT word, entity, count(DISTINCT text)::DOUBLE AS shared FROM (
-    SELECT text, entity, words, unnest(list_distinct(words)) AS word FROM near)
-  GROUP BY word, entity HAVING count(DISTINCT words) >= {WITNESSES}),
+  SELECT word, entity, count(DISTINCT text)::DOUBLE AS shared, count(DISTINCT words) < {WITNESSES} AS few FROM (
+    SELECT text, entity, words, names, unnest(list_distinct(words)) AS word FROM near)
+  GROUP BY word, entity HAVING count(DISTINCT words) >= {WITNESSES} OR bool_or(list_contains(names, word))),
 entities AS (SELECT entity, count(DISTINCT text)::DOUBLE AS n_entity FROM near GROUP BY entity),
 held AS (
   SELECT DISTINCT text, word FROM (
@@ -268,7 +304,7 @@ counts AS (SELECT word, count(*)::DOUBLE AS n_word FROM held GROUP BY word),
 telling AS (
   SELECT DISTINCT word FROM pairs JOIN counts USING (word) JOIN entities USING (entity),
     (SELECT count(DISTINCT text)::DOUBLE AS texts FROM texts)
-  WHERE {tells}),
+  WHERE {tells} AND (NOT few OR (n_entity <= {FEW_TEXTS} AND n_word <= shared))),
 holders AS (
   SELECT doc_id, text FROM texts WHERE text IN (SELECT text FROM held WHERE word IN (SELECT word FROM telling))),
 terms AS (

@@ -333,3 +333,30 @@ def test_a_key_held_by_a_third_of_a_source(spark, ws, alike, bins):
             assert abs(sum(r[4] for r in some) - some[0][3]) <= 9
         again = mixing.expanded(frame, ws, bins=bins)
         assert again.count() == sum(r[4] // r[1] for r in out)
+
+
+def test_names_beside_entities_of_few_texts(spark, ws):
+    """A name beside an address that stands in one or two texts discloses it, unless other
+    texts hold the name too; what opens a sentence is no name, nor is what stands further off."""
+    texts = [
+        "please write to Petronella Quax at pq17@hq.example about it",
+        "the office of Wolfhard, +49 (30) 1234-567, is closed",
+        "again to Petronella at pq17@hq.example today",
+        "we met Gerlinde yesterday", "ask Gerlinde under +49 (40) 7654-321 now",
+        "it was late. Thorvald 10.20.30.40 answered nothing",
+        "Bertrand of the house far down the road by the sea 10.20.30.41 answered",
+        "we saw that wolfhard was there", "Thorvald is long gone",
+    ]
+    texts += [f"other text {i} with nothing in it" for i in range(400)]
+    got = {r["doc_id"]: r["spans"].split(",") for r in pii.report(_docs(spark, texts), ws).collect()}
+
+    def terms(i):
+        return {texts[i][int(a) : int(b)] for kind, a, b in (s.split(":") for s in got[i] if s) if kind == "term"}
+
+    assert terms(0) == {"Petronella", "Quax"} and terms(2) == {"Petronella"}
+    # "Wolfhard" stands in another text alone, so that text and this one need not be one.
+    assert not any(terms(i) for i in (1, 3, 4, 5, 6, 7, 8)) and not any(terms(i) for i in range(9, 60))
+    con = duckdb.connect()
+    con.register("documents", _docs(spark, texts).toArrow())
+    want = sorted(con.sql(pii.SQL).fetchall())
+    assert sorted(tuple(r) for r in pii.report(_docs(spark, texts), ws).collect()) == want
