@@ -1,16 +1,17 @@
 """Byte-pair encoding as a streaming transducer with bounded lookahead, and its inverse.
 
-A text is cut at blank places into blocks, so that no more than a block is held at a
-time, a block into runs of visible characters, and a run into pre-tokens by the
-published pattern of the vocabulary. What a worker has met often enough to remember is
-looked up; new pre-tokens of up to `SHORT` bytes are merged many at a time in arrays
-(`merged_many`), as each is whole and needs no lookahead. A longer one goes through
-`Transducer`: it buffers bytes, applies the merge list to the buffer and
-emits every token that ends at least `lookahead` bytes before the buffer's end. Those
-tokens are stable: whether a merge at a place is taken depends on the text to its right
-only along a chain of ever earlier merges, each beginning in the last symbol of the one
-before, and `sufficient_lookahead` is the longest such chain of the merge list. What
-follows a stable token is encoded as if it stood alone, for no merge crossed its border.
+A text is cut into stretches of whole pre-tokens (`stretches`), so that no more than a
+window is in work at a time, whatever the text is made of; a stretch into runs of visible
+characters and a run into pre-tokens by the published pattern of the vocabulary. Every
+pre-token goes through `Transducer`, which remembers short ones: it buffers bytes, applies
+the merge list to the buffer and emits every token that ends at least `lookahead` bytes
+before the buffer's end. Those tokens are stable: whether a merge at a place is taken
+depends on the text to its right only along a chain of ever earlier merges, each beginning
+in the last symbol of the one before, and `sufficient_lookahead` is the longest such chain
+of the merge list. What follows a stable token is encoded as if it stood alone, for no merge
+crossed its border. The end of a pre-token is a border too: there all that is buffered is
+stable. So pre-tokens of twice the lookahead and more (256 bytes for the vocabulary in use)
+come out in parts, shorter ones at their end, and one longer than a window is fed in pieces.
 
 Decoding feeds token bytes to an incremental UTF-8 state machine; broken sequences
 become U+FFFD as in the public decoders.
@@ -26,6 +27,7 @@ import codecs
 import heapq
 import json
 import re
+from array import array
 from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 
@@ -45,13 +47,12 @@ PRETOKEN = (
 BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # Borders of pre-tokens beside white space, of which the pattern has more inside.
 RUN = rf" ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+"
-# Characters of a text that are cut into runs at once, and of all texts at once.
+# Characters of a text that are in work at once.
 BLOCK_CHARS = 1 << 16
-GROUP_CHARS = 1 << 21
 # Encoded runs and pre-tokens that a worker remembers, and the longest in characters.
 REMEMBERED = 400_000
 REMEMBERED_CHARS = 40
-# The longest pre-token in bytes that is merged beside others of its length.
+# Up to so many bytes a search for the least rank is faster than a heap.
 SHORT = 48
 
 
@@ -66,7 +67,10 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-NONE = 1 << 40
+# A merge as one number: rank, then the new symbol in the low bits.
+NEW_BITS = 32
+NEW = (1 << NEW_BITS) - 1
+NONE = 1 << 62
 MARKS = frozenset(".,;:!?")
 
 
@@ -78,27 +82,19 @@ class Vocabulary:
         self.merges = merges
         self.special: dict[str, int] = dict(special)
         self.rank = {(a, b): (rank, c) for rank, (a, b, c) in reversed([*enumerate(merges)])}
-        self.byte_ids = np.zeros(256, np.int64)
+        self.coded = {pair: rank << NEW_BITS | c for pair, (rank, c) in self.rank.items()}
+        self.byte_list = [0] * 256
         for i, token in tokens.items():
             if len(token) == 1:
-                self.byte_ids[token[0]] = i
+                self.byte_list[token[0]] = i
         self.lookahead = sufficient_lookahead(tokens, merges)
-        # The same in arrays: merges by pair, token bytes one after the other.
+        # Token bytes one after the other.
         self.width = max(tokens, default=0) + 1
-        pairs = sorted((a * self.width + b, *x) for (a, b), x in self.rank.items())
-        self.pairs, self.pair_rank, self.pair_new = np.array([*pairs, (1 << 62, NONE, 0)]).T.copy()
         self.token_size = np.array([len(tokens.get(i, b"")) for i in range(self.width + 1)])
         self.token_start = np.cumsum(self.token_size) - self.token_size
         flat = b"".join(tokens.get(i, b"") for i in range(self.width))
         self.token_bytes = np.frombuffer(flat, np.uint8)
 
-    def ranks(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank (`NONE` if there is no such merge) and new symbol of each pair."""
-        wanted = left * self.width + right
-        at = np.searchsorted(self.pairs, wanted)
-        found = self.pairs[at] == wanted
-        return np.where(found, self.pair_rank[at], NONE), self.pair_new[at]
-
     @classmethod
     def from_file(cls, path: str) -> Vocabulary:
         with open(path, encoding="utf-8") as file:
@@ -134,12 +130,19 @@ def sufficient_lookahead(
 
 
 class Transducer:
-    """Bytes in, ids out, in constant memory."""
+    """Pre-tokens in, in pieces of any size, ids out, in constant memory.
+
+    `feed` takes bytes of the pre-token that is being read and gives the ids that no further
+    byte can change: of tokens that end `lookahead` bytes before the last byte known. `finish`
+    ends the pre-token, after which nothing can change either. `whole` is both, for a
+    pre-token that is there at once, with a memo of those met before.
+    """
 
     def __init__(self, vocabulary: Vocabulary, block: int | None = None):
         self.vocabulary = vocabulary
-        self.block = block or 4 * vocabulary.lookahead
+        self.block = block or vocabulary.lookahead
         self.buffer = b""
+        self.known: dict[str, bytes] = {}
 
     def feed(self, data: bytes) -> Iterator[int]:
         """Ids that have become stable."""
@@ -160,53 +163,43 @@ class Transducer:
         rest, self.buffer = self.buffer, b""
         yield from merged(self.vocabulary, rest)
 
-
-def merged_many(vocabulary: Vocabulary, words: Sequence[bytes]) -> list[bytes]:
-    """The packed ids of each word; words of one length advance together, a merge at a
-    time in each."""
-    out: list[bytes] = [b""] * len(words)
-    by_size: dict[int, list[int]] = {}
-    for i, word in enumerate(words):
-        by_size.setdefault(len(word), []).append(i)
-    for size, places in by_size.items():
-        data = np.frombuffer(b"".join([words[i] for i in places]), np.uint8)
-        symbols = vocabulary.byte_ids[data].reshape(len(places), size)
-        final = np.full(symbols.shape, -1, np.int64)
-        rank, new = vocabulary.ranks(symbols[:, :-1], symbols[:, 1:])
-        row = np.arange(len(places))
-        while size > 1 and len(row):
-            every, at = np.arange(len(row)), rank.argmin(axis=1)
-            done = rank[every, at] >= NONE
-            if done.any():
-                final[row[done], : symbols.shape[1]] = symbols[done]
-                on = ~done
-                symbols, rank, new, row, at = symbols[on], rank[on], new[on], row[on], at[on]
-                every = np.arange(len(row))
-            merged_to = new[every, at]
-            left = np.arange(symbols.shape[1] - 1)[None, :] <= at[:, None]
-            symbols = np.where(left, symbols[:, :-1], symbols[:, 1:])
-            symbols[every, at] = merged_to
-            if symbols.shape[1] == 1:
-                break
-            left = left[:, :-1]
-            rank = np.where(left, rank[:, :-1], rank[:, 1:])
-            new = np.where(left, new[:, :-1], new[:, 1:])
-            for beside, has in ((at - 1, at > 0), (at, at < symbols.shape[1] - 1)):
-                r, b = every[has], beside[has]
-                rank[r, b], new[r, b] = vocabulary.ranks(symbols[r, b], symbols[r, b + 1])
-        final[row, : symbols.shape[1]] = symbols
-        held = final >= 0
-        flat = final[held].astype("<u4").tobytes()
-        ends = (4 * np.cumsum(held.sum(axis=1))).tolist()
-        for i, start, end in zip(places, [0, *ends], ends):
-            out[i] = flat[start:end]
-    return out
+    def whole(self, word: str) -> bytes:
+        """The packed ids of one pre-token."""
+        if (ids := self.known.get(word)) is None:
+            ids = array("I", self.feed(word.encode()))
+            ids.extend(self.finish())
+            ids = ids.tobytes()
+            if len(word) <= REMEMBERED_CHARS:
+                self.known[word] = ids
+        return ids
 
 
 def merged(vocabulary: Vocabulary, data: bytes) -> list[int]:
     """The merge list applied to one stretch of bytes: lowest rank first, then leftmost."""
+    way = _merged_short if len(data) <= SHORT else _merged_long
+    return way(vocabulary, data)
+
+
+def _merged_short(vocabulary: Vocabulary, data: bytes) -> list[int]:
+    """By looking for the least rank each time."""
+    coded = vocabulary.coded.get
+    symbols = [*map(vocabulary.byte_list.__getitem__, data)]
+    codes = [coded(pair, NONE) for pair in zip(symbols, symbols[1:])]
+    while codes and (least := min(codes)) < NONE:
+        at = codes.index(least)
+        symbols[at : at + 2] = [least & NEW]
+        del codes[at]
+        if at < len(codes):
+            codes[at] = coded((symbols[at], symbols[at + 1]), NONE)
+        if at:
+            codes[at - 1] = coded((symbols[at - 1], symbols[at]), NONE)
+    return symbols
+
+
+def _merged_long(vocabulary: Vocabulary, data: bytes) -> list[int]:
+    """By a heap of the pairs that can be merged."""
     rank = vocabulary.rank
-    symbols = [*map(int, vocabulary.byte_ids[np.frombuffer(data, np.uint8)])]
+    symbols = [*map(vocabulary.byte_list.__getitem__, data)]
     after = [*range(1, len(symbols)), -1]
     before = [*range(-1, len(symbols) - 1)]
     heap = [
@@ -240,92 +233,106 @@ class Encoder:
         self.vocabulary = vocabulary
         self.runs = re.compile(RUN)
         self.pretokens = regex.compile(PRETOKEN)
+        self.transducer = Transducer(vocabulary)
         self.known: dict[str, bytes] = {}
         names = sorted(vocabulary.special, key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
 
     def encode(self, text: str | None) -> bytes:
-        return self.encode_many([text])[0]
+        pieces: list[bytes] = []
+        for part in self.special.split(text or "") if self.special else [text or ""]:
+            if self.special and part in self.vocabulary.special:
+                pieces.append(self.vocabulary.special[part].to_bytes(4, "little"))
+                continue
+            for start, end, long in stretches(part, self.pretokens, BLOCK_CHARS):
+                if long:
+                    pieces.append(self._long(part, start, end))
+                else:
+                    pieces.append(self._runs(part[start:end]))
+        return b"".join(pieces)
 
     def encode_many(self, texts: Iterable[str | None]) -> list[bytes]:
-        """Of each text; about `GROUP_CHARS` characters are in work at a time."""
-        out: list[list[bytes]] = []
-        waiting: list[tuple[list[bytes], str]] = []
-        size = 0
-        for text in texts:
-            out.append([])
-            for part in self.special.split(text or "") if self.special else [text or ""]:
-                if self.special and part in self.vocabulary.special:
-                    size += self._encode(waiting)
-                    out[-1].append(self.vocabulary.special[part].to_bytes(4, "little"))
-                    continue
-                for block in blocks(part):
-                    waiting.append((out[-1], block))
-                    size += len(block)
-                    if size >= GROUP_CHARS:
-                        size += self._encode(waiting)
-        self._encode(waiting)
-        return [b"".join(pieces) for pieces in out]
-
-    def _encode(self, waiting: list[tuple[list[bytes], str]]) -> int:
-        """Encode the waiting blocks in place; minus the characters that waited."""
-        runs = [self.runs.findall(block) for _, block in waiting]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        long = self._learn(set().union(*runs).difference(self.known))
-        look = self.known.__getitem__
-        for (pieces, _), found in zip(waiting, runs):
-            pieces.append(b"".join(map(look, found)))
-        for piece in long:
-            del self.known[piece]
-        size = sum(len(block) for _, block in waiting)
-        waiting.clear()
-        return -size
-
-    def _learn(self, runs: set[str]) -> list[str]:
-        """Add the runs and their pre-tokens to what is known; those too long to stay."""
-        known, words, joined = self.known, set(), {}
-        for run in runs:
-            core = run[1:] if run[0] == " " else run
-            if core.isalpha():  # one pre-token, no pattern needed
-                words.add(run)
-                continue
-            if core[-1:] in MARKS and core[:-1].isalpha():
-                found = [run[:-1], run[-1]]
-            else:
-                found = self.pretokens.findall(run)
-            words.update(found)
-            joined[run] = found
-        fresh = [*words.difference(known)]
-        data = [w.encode() for w in fresh]
-        short = [i for i, d in enumerate(data) if len(d) <= SHORT]
-        for i, ids in zip(short, merged_many(self.vocabulary, [data[i] for i in short])):
-            known[fresh[i]] = ids
-        for word, d in zip(fresh, data):
-            if len(d) > SHORT:
-                run = Transducer(self.vocabulary)
-                known[word] = np.array([*run.feed(d), *run.finish()], "<u4").tobytes()
-        look = known.__getitem__
-        for run, found in joined.items():
-            known[run] = b"".join(map(look, found))
-        return [x for x in {*fresh, *joined} if len(x) > REMEMBERED_CHARS]
-
-
-def blocks(text: str, size: int = BLOCK_CHARS) -> Iterator[str]:
-    """The text in blocks that begin where a pre-token does: at a blank between two
-    characters that are not white space."""
+        return [self.encode(text) for text in texts]
+
+    def _runs(self, text: str) -> bytes:
+        """Of a stretch of whole pre-tokens."""
+        runs = self.runs.findall(text)
+        known = self.known
+        if len(known) > REMEMBERED:
+            known.clear()
+            self.transducer.known.clear()
+        out = [*map(known.get, runs)]
+        if None in out:
+            for i, ids in enumerate(out):
+                if ids is None:
+                    out[i] = self._run(runs[i])
+        return b"".join(out)
+
+    def _run(self, run: str) -> bytes:
+        """Of one run of visible characters, or of white space, which is remembered."""
+        if (ids := self.known.get(run)) is not None:
+            return ids
+        core = run[1:] if run[0] == " " else run
+        if core.isalpha():  # one pre-token, no pattern needed
+            words = [run]
+        elif core[-1:] in MARKS and core[:-1].isalpha():
+            words = [run[:-1], run[-1]]
+        else:
+            words = self.pretokens.findall(run)
+        ids = b"".join(map(self.transducer.whole, words))
+        if len(run) <= REMEMBERED_CHARS:
+            self.known[run] = ids
+        return ids
+
+    def _long(self, text: str, start: int, end: int) -> bytes:
+        """Of one pre-token longer than a window, fed in pieces."""
+        run, ids = Transducer(self.vocabulary), array("I")
+        for at in range(start, end, BLOCK_CHARS):
+            ids.extend(run.feed(text[at : min(end, at + BLOCK_CHARS)].encode()))
+        ids.extend(run.finish())
+        return ids.tobytes()
+
+
+_BLANKS_END = re.compile(f"[{BLANK}][{BLANK}][^{BLANK}]")
+# A long pre-token goes on as it began: letters, digits, white space or anything else.
+_GOES_ON = {
+    "letters": regex.compile(r"\p{L}*+"),
+    "digits": regex.compile(r"\p{N}*+"),
+    "blank": regex.compile(r"\p{White_Space}*+"),
+    "other": regex.compile(r"[^\p{White_Space}\p{L}\p{N}]*+"),
+}
+
+
+def stretches(text: str, pretokens, size: int = BLOCK_CHARS) -> Iterator[tuple[int, int, bool]]:
+    """The text in stretches of about `size` characters that begin and end where pre-tokens
+    do; a pre-token longer than that is a stretch of its own, and said to be long."""
     start = 0
     while len(text) - start > size:
-        cut = start + size
-        while (cut := text.find(" ", cut)) >= 0:
-            if cut + 1 < len(text) and not text[cut - 1].isspace() and not text[cut + 1].isspace():
-                break
-            cut += 1
-        if cut < 0:
-            break
-        yield text[start:cut]
-        start = cut
-    yield text[start:]
+        cut = text.rfind(" ", start + 1, start + size)
+        while cut > start and (text[cut - 1].isspace() or text[cut + 1].isspace()):
+            cut = text.rfind(" ", start + 1, cut)
+        if cut <= start:
+            # The last pre-token of a window may go on beyond it; those before it do not. A
+            # stretch must not end in several blanks that visible text follows: the last of
+            # them is a pre-token, and alone they would be one.
+            cut = start
+            for found in pretokens.finditer(text, start, start + size):
+                at = found.start()
+                alone = at - 2 >= start and _BLANKS_END.match(text, at - 2)
+                if at > start and not alone:
+                    cut = at
+        if cut > start:
+            yield start, cut, False
+            start = cut
+            continue
+        ends = {name: p.match(text, start + size - 1).end() for name, p in _GOES_ON.items()}
+        end = max(ends.values())
+        if end == ends["blank"] and end < len(text):
+            end -= 1  # the last blank belongs to what follows
+        yield start, end, True
+        start = end
+    if start < len(text):
+        yield start, len(text), False
 
 
 class Decoder:

@@ -78,7 +78,55 @@ def test_lookahead_of_a_small_list():
         data = bytes(rng.choices(b"abcd", k=rng.randint(1, 60)))
         run = bpe.Transducer(small, block=4)
         assert [*run.feed(data), *run.finish()] == bpe.merged(small, data)
-        assert bpe.merged_many(small, [data])[0] == np.array(bpe.merged(small, data), "<u4").tobytes()
+        assert bpe._merged_short(small, data) == bpe._merged_long(small, data)
+
+
+def test_short_and_long_merges_agree(encoder):
+    rng = random.Random(7)
+    for _ in range(500):
+        data = "".join(rng.choices(PIECES, k=rng.randint(0, 30))).encode()
+        assert bpe._merged_short(encoder.vocabulary, data) == bpe._merged_long(encoder.vocabulary, data)
+
+
+def test_stretches_hold_whole_pretokens(encoder):
+    rng, cut = random.Random(8), encoder.pretokens.findall
+    for n in range(4_000):
+        mixed = "".join(rng.choices(PIECES, k=rng.randint(0, 60)))
+        text = mixed if n % 2 else "".join(rng.choice(PIECES) * rng.randint(1, 40) for _ in range(rng.randint(1, 6)))
+        for size in (8, 17, 40):
+            found = []
+            for start, end, long in bpe.stretches(text, encoder.pretokens, size):
+                found += [text[start:end]] if long else cut(text[start:end])
+                assert long or end - start <= size
+            assert found == cut(text)
+
+
+@pytest.mark.parametrize("piece", ["\n", "a\n", "漢字。", "漢", "x", "\n\n ", "a\u2028", "7", "=\n"])
+def test_windows_without_blanks(library, encoder, piece, monkeypatch):
+    """Whatever a text is made of, only a window is in work, and the ids are the library's."""
+    monkeypatch.setattr(bpe, "BLOCK_CHARS", 500)
+    text = "one " + piece * 3_000 + " two"
+    sizes = [end - start for start, end, long in bpe.stretches(text, encoder.pretokens, 500) if not long]
+    assert max(sizes) <= 500
+    assert ids_of(encoder.encode(text)) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_every_byte_goes_through_the_transducer(library, monkeypatch):
+    fed, real = [], bpe.Transducer.feed
+
+    def feed(self, data):
+        fed.append(data)
+        return real(self, data)
+
+    monkeypatch.setattr(bpe.Transducer, "feed", feed)
+    encoder = bpe.Encoder(bpe.vocabulary_of(PATH))
+    text = "one two, three\nand so on: 12 漢字 " + "etaoin" * 200
+    assert ids_of(encoder.encode(text)) == library.encode(text, add_special_tokens=False).ids
+    words = encoder.pretokens.findall(text)
+    assert sorted(fed) == sorted({w.encode() for w in words})
+    fed.clear()
+    assert ids_of(encoder.encode(text)) == library.encode(text, add_special_tokens=False).ids
+    assert fed == [("etaoin" * 200).encode()] or fed == [(" " + "etaoin" * 200).encode()]
 
 
 def test_broken_bytes_and_unknown_ids(library, encoder):
