@@ -50,7 +50,7 @@ RUN = rf" ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+"
 # Characters of a text that are in work at once.
 BLOCK_CHARS = 1 << 16
 # Encoded runs and pre-tokens that a worker remembers, and the longest in characters.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 REMEMBERED_CHARS = 40
 # Up to so many bytes a search for the least rank is faster than a heap.
 SHORT = 48

@@ -55,7 +55,7 @@ TRIAL_EPOCHS = 12
 START, START_OTHERS = 0.01, 0.03
 UNTAUGHT = -1e-9
 # Distinct words whose places a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 # Lengths of the word beginnings that are terms of their own.
 STEMS = (4, 5)
 _MARKS = bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum())
