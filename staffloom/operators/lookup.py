@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staffloom.operators.hotkeys import HOT_ROWS, hot_parts_of, key_hash, parts_of
+from staffloom.operators.hotkeys import HOT_ROWS, HotKeys, hot_keys_of, key_hash, with_parts
 from staffloom.sources.workspace import is_broadcastable
 
 # Rows without a key are scattered over so many values; they have no table rows to
@@ -64,7 +64,7 @@ def lookups(
     ways = [_way(rows, keys, small, small_rows) for (_, keys), small in zip(tables, small_tables)]
     salted = [keys for (_, keys), way in zip(tables, ways) if way == "salted"]
     hashes = [F.when(~_unmatched(keys), key_hash(*map(F.col, keys))) for keys in salted]
-    hot = iter(hot_parts_of(keys_from, hashes, hot_rows) if hashes else ())
+    hot = iter(hot_keys_of(keys_from, hashes, hot_rows) if hashes else ())
     for (table, keys), way in zip(tables, ways):
         if way == "salted":
             rows = _salted(rows, table, keys, spread_by, next(hot))
@@ -95,17 +95,16 @@ def _way(rows: DataFrame, keys, small_table: bool, small_rows: bool | None) -> s
     return "salted"
 
 
-def _salted(rows, table, keys, spread_by, hot) -> DataFrame:
+def _salted(
+    rows: DataFrame, table: DataFrame, keys: Sequence[str], spread_by: str, hot: HotKeys
+) -> DataFrame:
     """Both sides shuffle. A key holding many rows is cut into parts by `spread_by`
     and its one table row repeated per part; rows with a NULL key need no partner and
     are spread over all partitions."""
-    parts = parts_of(hot, *map(F.col, keys))
-    everywhere = F.lit(NULL_PARTS)
-    left = rows.withColumn(
-        "_part",
-        F.pmod(
-            F.xxhash64(spread_by), F.when(_unmatched(keys), everywhere).otherwise(parts)
-        ).cast("int"),
-    )
-    right = table.withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
-    return left.join(right, [*keys, "_part"], "left").drop("_part")
+    unmatched, spread = _unmatched(keys), F.xxhash64(spread_by)
+    parts = F.when(unmatched, F.lit(NULL_PARTS)).otherwise(F.col("_parts"))
+    left = with_parts(rows, hot, keys, unmatched, spread)
+    left = left.withColumn("_part", F.pmod(spread, parts).cast("int")).drop("_parts")
+    right = with_parts(table, hot, keys, unmatched, key_hash(*map(F.col, keys)))
+    right = right.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    return left.join(right.drop("_parts"), [*keys, "_part"], "left").drop("_part")

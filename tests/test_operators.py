@@ -13,7 +13,7 @@ from conftest import rows_of
 from staffloom.functions.dates import now, today
 from staffloom.operators import aggregates, changes, checks, evolve
 from staffloom.operators.aggregates import rank_departments
-from staffloom.operators.hotkeys import hot_parts, hot_parts_of, parts_of
+from staffloom.operators.hotkeys import hot_keys_of, hot_parts, hot_parts_of, parts_of
 from staffloom.operators.latest import latest_overall, latest_per_key, mark_latest, newest_first
 from staffloom.operators.lookup import lookup, lookups
 from staffloom.operators.numbering import number_rows, previous_in_order, rank_in_groups
@@ -178,6 +178,29 @@ def test_hot_keys_beyond_a_thousand(spark):
     assert len(hot_parts(many, [F.col("k")], hot_rows=20)) == 1_200
 
 
+def test_more_hot_keys_than_can_be_listed(spark, skewed, ws, no_broadcast, monkeypatch):
+    """Most hot keys stay in a table; only the heaviest reach the driver, and none is left out."""
+    from staffloom.operators import hotkeys
+
+    monkeypatch.setattr(hotkeys, "LISTED_KEYS", 5)
+    hashes = [F.when(F.col("k").isNotNull(), F.xxhash64("k"))]
+    (hot,) = hot_keys_of(skewed, hashes, hot_rows=3)
+    counts = skewed.filter("k IS NOT NULL").groupBy(F.xxhash64("k").alias("h")).count()
+    many = {r.h: 1 << (2 * r["count"] // 3).bit_length() for r in counts.filter("count > 3").collect()}
+    assert len(hot.listed) == 1 and len(many) > 100
+    others = {r["_hash"]: r["_parts"] for r in hot.others.collect()}
+    assert hot.listed | others == many and not hot.listed.keys() & others.keys()
+
+    monkeypatch.setattr(hotkeys, "hot_parts_of", None)
+    table = ws.settle(_lookup_case(skewed), "table")
+    got = lookup(skewed, table, ["k"], "id", hot_rows=3)
+    assert rows_of(got) == rows_of(skewed.join(table, "k", "left"))
+    other = skewed.filter("s IS NOT NULL").groupBy("s").agg(F.min("t").alias("low"))
+    got = lookups(skewed, [(table, ["k"]), (other, ["s"])], "id", hot_rows=3)
+    want = skewed.join(table, "k", "left").join(other, "s", "left").select(*got.columns)
+    assert rows_of(got) == rows_of(want)
+
+
 def test_lookup_broadcasts_few_keys_only(spark, ws, monkeypatch):
     from staffloom.operators import lookup as module
 
