@@ -34,6 +34,16 @@ def test_report_by_ranges_equals_report_by_windows(inputs, ws, request):
     assert rows_of(employee_report(*inputs, ws, **CLOCK, hot_rows=5)) == small
 
 
+def test_report_with_more_hot_keys_than_can_be_listed(inputs, ws, request, monkeypatch):
+    from staffloom.operators import hotkeys
+
+    small = rows_of(employee_report(*inputs, ws, **CLOCK))
+    request.getfixturevalue("no_broadcast")
+    monkeypatch.setattr(hotkeys, "LISTED_KEYS", 5)
+    monkeypatch.setattr(hotkeys, "hot_parts_of", None)
+    assert rows_of(employee_report(*inputs, ws, **CLOCK, hot_rows=5)) == small
+
+
 def test_dashboard_both_ways(inputs, ws, request):
     how = {**CLOCK, "min_active_ratio_pct": 0}
     small = rows_of(department_dashboard(*inputs, ws, **how))
