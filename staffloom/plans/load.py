@@ -527,6 +527,9 @@ class Load:
         audit = read_table(self.ws.spark, audit_path, schemas.RUN_AUDIT)
         if not run_audit_of(audit, self.run_id).isEmpty():
             raise ValueError(f"run {self.run_id} is already published")
+        if not self.small_batch:
+            # Counters and stamps both read them.
+            self._employee_changes = self.ws.settle(self._employee_changes, "employee-changes")
         snapshot = f"{folder}/snapshots/{self.run_id}"
         write_snapshot(self.counted_departments, f"{snapshot}/departments", replace=True)
         write_snapshot(self.stamped_employees, f"{snapshot}/employees", replace=True)

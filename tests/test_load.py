@@ -493,3 +493,15 @@ def test_evolved_tables_keep_their_columns_and_types(spark, request, small):
     assert dict(job.departments.dtypes)["department_id"] == "int"
     counts = {r.department_id: r.employee_count for r in job.departments.collect()}
     assert counts == {0: None, 1: 3, 5: 3, 6: None}
+
+
+def test_publish_works_out_a_large_batch_once(spark, tmp_path, no_broadcast):
+    """Counters and stamps read the changes of a batch beyond the broadcast limit as settled."""
+    old = before(spark, [(7, "a1@x.com")])
+    job = load.Load(staged(spark, {"n": 1}, {"n": 2}), old, "r1", **CLOCK, final_status="SUCCESS")
+    assert not job.small_batch
+    job.publish(str(tmp_path / "lake"))
+    plan = job._employee_changes._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "Relation" in plan
+    after = load.published(spark, str(tmp_path / "lake"))
+    assert rows_of(after.employees.select("email")) == rows_of(job.employees.select("email"))
