@@ -35,3 +35,8 @@ def test_a_local_session_makes_one_of_its_own():
     local = session(master="local[2]")
     assert shared_folder(local) == shared_folder(local)
     assert "staffloom-" in shared_folder(local)
+
+
+def test_settled_files_are_packed_tightly(spark, ws):
+    settled = ws.settle(spark.range(10), "ten")
+    assert all(".zstd." in f for f in settled.inputFiles())
