@@ -8,13 +8,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from staffloom.sources.workspace import Workspace
+from staffloom.sources.workspace import broadcast_limit
 
-# So many keys whose newest rows tie are broadcast.
-FEW_TIES = 100_000
 # Row numbers are kept as bits, so many words of 64 of them in one row.
 _WORDS, _WORD_BITS = 16, 6
 _BLOCK_BITS = _WORD_BITS + 4
+_BLOCK_BYTES = 160
 
 EPOCH = dt.datetime(1970, 1, 1)
 
@@ -47,7 +46,7 @@ def mark_latest(
     row: str,
     flag: str = "is_latest",
     large: bool = False,
-    deciding: int | None = None,
+    total: int | None = None,
 ) -> DataFrame:
     """All rows, with `flag` true on exactly one row per key: the one of least `order`.
 
@@ -55,22 +54,20 @@ def mark_latest(
     no two rows share, which decides between equals. No key is a key as well.
 
     Every task brings each of its keys down to one row before anything is shuffled, so a hot
-    key costs no more than another. The numbers of the winners, one bit each, are settled,
-    and the rows meet them by number: `df` stays where it is as long as the bits can be
-    broadcast, unless they are said to be a `large` number. Numbers should lie close together,
-    as those of `monotonically_increasing_id` do. The first `deciding` values are narrow and
-    hardly ever tie: the others are looked at for the keys where these tie. `df` is read twice,
-    or three times with ties, so it should be a settled table.
+    key costs no more than another. The numbers of the winners become bits, and the rows meet
+    them by number: `df` stays where it is where its `total` of rows, if the caller knows it,
+    lets the bits be broadcast, unless they are said to be a `large` number. Numbers should lie
+    close together, as those of `monotonically_increasing_id` do. `df` is read twice, so it
+    should be a settled table.
     """
-    ws = Workspace(df.sparkSession)
     values = [value.alias(f"_{i}") for i, value in enumerate(order)]
-    if deciding is None:
-        won = _least(df, key, values, row)
-    else:
-        won = _least_with_ties(df, key, values, row, deciding, ws)
-    marks = ws.settle(_as_bits(won), "latest")
+    best = F.min(F.struct(*values, F.col(row).alias("row")))
+    won = df.groupBy(key).agg(best.alias("_best")).select(F.col("_best.row").alias("_won"))
+    marks = _as_bits(won)
     if large:
         marks = marks.hint("merge")
+    elif total is not None and (total >> _BLOCK_BITS) * _BLOCK_BYTES <= broadcast_limit(df.sparkSession):
+        marks = F.broadcast(marks)
     met = df.join(marks, F.shiftright(row, _BLOCK_BITS) == F.col("_block"), "left")
     number = F.col(row)
     word = F.shiftright(row, _WORD_BITS).bitwiseAND(_WORDS - 1).cast("int")
@@ -78,36 +75,6 @@ def mark_latest(
     return met.withColumn(flag, F.coalesce(bit == 1, F.lit(False))).drop("_block", "_words")
 
 
-def _least(df: DataFrame, key: str, values: Sequence[Column], row: str) -> DataFrame:
-    best = F.min(F.struct(*values, F.col(row).alias("row")))
-    return df.groupBy(key).agg(best.alias("_best")).select(F.col("_best.row").alias("_won"))
-
-
-def _least_with_ties(df, key, values, row, deciding, ws) -> DataFrame:
-    """`_least` in two steps: by the first values alone, then by all where these tie, which
-    shows in the lowest and the highest row number being two."""
-    lead, number = values[:deciding], F.col(row)
-    firsts = df.groupBy(F.col(key).alias("_key")).agg(
-        F.min(F.struct(*lead, number.alias("row"))).alias("_low"),
-        F.min(F.struct(*lead, (-number).alias("row"))).alias("_high"),
-    )
-    tie = F.struct("_key", *[F.col(f"_low._{i}") for i in range(deciding)])
-    tied = F.col("_low.row") != -F.col("_high.row")
-    firsts, ties = ws.settle_counted(
-        firsts.select(F.col("_low.row").alias("_won"), F.when(tied, tie).alias("_tie")),
-        "firsts",
-        F.count_if(F.col("_tie").isNotNull()),
-    )
-    alone = firsts.filter("_tie IS NULL").select("_won")
-    if not ties:
-        return alone
-    rivals = firsts.filter("_tie IS NOT NULL").select("_tie")
-    boxed = df.withColumn("_tie", F.struct(F.col(key).alias("_key"), *lead))
-    few = ties <= FEW_TIES
-    among = boxed.join(F.broadcast(rivals) if few else rivals, "_tie", "left_semi")
-    return alone.unionByName(_least(among, key, values, row))
-
-
 def _as_bits(won: DataFrame) -> DataFrame:
     """Row numbers in `_won` as bits of `_words` by `_block`."""
     word = F.shiftright("_won", _WORD_BITS).bitwiseAND(_WORDS - 1)
